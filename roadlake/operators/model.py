@@ -32,6 +32,7 @@ MAX_BINS = 200
 @dataclass
 class Trained:
     pipeline: PipelineModel
+    data: DataFrame
     forest: RandomForestClassificationModel
     train: DataFrame
     test: DataFrame
@@ -68,7 +69,7 @@ def train_model(joined: DataFrame) -> Trained:
     train, test = split(data)
     rf = forest().fit(train)
     pipeline = PipelineModel(stages=[*cat_models, lab, vec, rf])
-    return Trained(pipeline, rf, train, test, rf.transform(test), features)
+    return Trained(pipeline, data, rf, train, test, rf.transform(test), features)
 
 
 def accuracy(predictions: DataFrame) -> DataFrame:

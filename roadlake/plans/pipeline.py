@@ -1,0 +1,195 @@
+"""End-to-end jobs: CSV -> Bronze -> Silver -> Gold -> KPIs, and model training.
+
+Each job takes the caller's session and paths; none stops the session.
+
+* ``run_feeder``   daily CSV files -> Bronze (one scan of all picked files)
+* ``run_silver``   Bronze -> the three Silver tables, per Bronze day
+* ``build_gold``   Silver accidents -> the three marts (+ optional JDBC export)
+* ``kpis``         Gold marts -> KPI frames
+* ``run_training`` Silver -> fitted pipeline, accuracy, saved model
+
+Idempotence: every write replaces exactly the Bronze/Silver days it covers
+(dynamic partition overwrite), so a rerun after a lost executor or a failed
+run rewrites the same partitions instead of appending duplicates.
+"""
+
+from __future__ import annotations
+
+import logging
+from dataclasses import dataclass, field
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
+
+from roadlake.operators import bronze, features, gold, kpi, model, silver
+from roadlake.sources import catalog, csv_batches, sinks, store
+
+log = logging.getLogger(__name__)
+
+SILVER_TABLES = ("accidents", "weather", "road_features")
+
+
+@dataclass
+class FeederReport:
+    files: list[str]
+    written_days: list[str]
+    bronze_path: str
+
+
+def _existing_days(spark: SparkSession, bronze_path: str) -> set:
+    """Days already in Bronze (partition values only; one row per day)."""
+    try:
+        return {r[0] for r in store.loaded_days(spark, bronze_path).collect()}
+    except AnalysisException:
+        return set()
+
+
+def run_feeder(spark: SparkSession, input_dir: str, bronze_path: str, year: int, month: int,
+               n_batches: int = 3) -> FeederReport:
+    """Load the first ``n_batches`` daily files of a month into Bronze.
+
+    Days already in Bronze are not rewritten but still accumulate into the
+    last day, which is always rewritten and holds every picked batch.  All
+    picked files are read in one scan.
+    """
+    picked = csv_batches.select_batches(csv_batches.list_csv_files(spark, input_dir), year, month, n_batches)
+    plan = picked.orderBy("batch").collect()  # at most n_batches file names
+    if not plan:
+        return FeederReport([], [], bronze_path)
+    files = [f"{input_dir.rstrip('/')}/{r.file_name}" for r in plan]
+    last_day = plan[-1].situation_date
+    existing = _existing_days(spark, bronze_path)
+    todo = [r.situation_date for r in plan if r.situation_date not in existing or r.situation_date == last_day]
+    rows = csv_batches.read_csv_batch(spark, files, with_file_date=True)
+    stored = bronze.bronze_cumulative(rows, last_day).filter(F.col(store.BRONZE_PARTITION).isin(todo))
+    store.write_bronze(stored, bronze_path)
+    return FeederReport([r.file_name for r in plan], [str(d) for d in todo], bronze_path)
+
+
+def conform_all(bronze_rows: DataFrame, group_cols=(store.BRONZE_PARTITION,)) -> dict[str, DataFrame]:
+    """The three Silver tables of a Bronze frame (dedup scoped by ``group_cols``).
+
+    No cache of Bronze: each table reads only its own columns from parquet,
+    which is cheaper than holding every column in memory.
+    """
+    group_cols = [g for g in group_cols if g in bronze_rows.columns]
+    return {
+        "accidents": silver.conform_accidents(bronze_rows, group_cols=group_cols),
+        "weather": silver.conform_weather(bronze_rows, group_cols=group_cols),
+        "road_features": silver.conform_road(bronze_rows, group_cols=group_cols),
+    }
+
+
+def run_silver(spark: SparkSession, bronze_path: str, silver_root: str, schema: str = "silver",
+               day: str | None = None) -> dict[str, str]:
+    """Conform Bronze (all days, or one) into Silver parquet tables partitioned by Bronze day.
+
+    Tables are registered in ``schema`` and rewritten day by day, never
+    appended twice.  Returns table -> path.
+    """
+    rows = store.read_bronze(spark, bronze_path, day)
+    catalog.reset_schema(spark, schema, [])
+    paths = {}
+    for name, df in conform_all(rows).items():
+        path = f"{silver_root.rstrip('/')}/{name}"
+        store.write_bronze(df, path)  # same day-partitioned, dynamic-overwrite layout
+        spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")
+        spark.catalog.createTable(f"{schema}.{name}", path=path, source="parquet")
+        spark.catalog.recoverPartitions(f"{schema}.{name}")
+        paths[name] = path
+    return paths
+
+
+def silver_snapshot(spark: SparkSession, schema: str = "silver", day: str | None = None) -> dict[str, DataFrame]:
+    """Silver as the marts see it: one Bronze day (default: the latest, which holds everything)."""
+    out = {}
+    for name in SILVER_TABLES:
+        df = spark.table(f"{schema}.{name}")
+        if day is None:
+            latest = df.agg(F.max(store.BRONZE_PARTITION).alias("d"))
+            df = df.join(latest, F.col(store.BRONZE_PARTITION) == F.col("d")).drop("d")
+        else:
+            df = df.filter(F.col(store.BRONZE_PARTITION) == F.lit(day).cast("date"))
+        out[name] = df.drop(store.BRONZE_PARTITION)
+    return out
+
+
+@dataclass
+class GoldReport:
+    paths: dict[str, str] = field(default_factory=dict)
+    failures: dict[str, str] = field(default_factory=dict)
+
+
+def build_gold(accidents: DataFrame, gold_root: str, jdbc_url: str | None = None,
+               jdbc_properties: dict | None = None, jdbc_mode: str = "overwrite") -> GoldReport:
+    """Write the three marts; one failing mart or export does not stop the others.
+
+    The accidents frame is narrowed to the six columns the marts use and
+    persisted once (memory, spilling to disk), so the three aggregations
+    share one read of Silver.  Raises at the end if anything failed.
+    """
+    used = accidents.select("ID", "State", "County", "City", "Severity", "Start_Time")
+    used = used.persist(StorageLevel.MEMORY_AND_DISK)
+    report = GoldReport()
+    try:
+        for name, mart in gold.build_gold(used).items():
+            path = f"{gold_root.rstrip('/')}/{name}"
+            try:
+                store.write_parquet(mart, path)
+                report.paths[name] = path
+            except Exception as exc:  # noqa: BLE001 - isolate marts
+                log.error("mart %s failed: %s", name, exc)
+                report.failures[name] = str(exc)
+                continue
+            if jdbc_url:
+                err = sinks.jdbc_write(mart.sparkSession.read.parquet(path), jdbc_url, f"gold_{name}",
+                                       jdbc_properties, mode=jdbc_mode)
+                if err:
+                    report.failures[f"jdbc:{name}"] = err
+    finally:
+        used.unpersist()
+    if report.failures:
+        raise RuntimeError(f"gold build incomplete: {report.failures}")
+    return report
+
+
+def kpis(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
+    root = gold_root.rstrip("/")
+    by_region = spark.read.parquet(f"{root}/accidents_by_region")
+    by_hour = spark.read.parquet(f"{root}/accidents_by_hour_severity")
+    by_weather = spark.read.parquet(f"{root}/accidents_by_weather")
+    return {
+        "global": kpi.kpi_global(by_region),
+        "top_regions": kpi.kpi_top_regions(by_region),
+        "top_cities": kpi.kpi_top_cities(by_region),
+        "region_labels": kpi.kpi_region_labels(by_region),
+        "by_hour": kpi.kpi_by_hour(by_hour),
+        "by_severity": kpi.kpi_by_severity(by_hour),
+        "by_weather": kpi.kpi_by_weather(by_weather),
+        "max_hour": kpi.kpi_max_hour(by_hour),
+    }
+
+
+@dataclass
+class TrainingReport:
+    accuracy: float
+    n_train: int
+    n_test: int
+    features: list[str]
+    model_path: str | None
+
+
+def run_training(accidents: DataFrame, weather: DataFrame, road: DataFrame,
+                 model_path: str | None = None) -> TrainingReport:
+    joined = features.join_silver(accidents, weather, road)
+    trained = model.train_model(joined)
+    try:
+        acc = model.accuracy_value(trained.predictions)
+        n_train, n_test = trained.train.count(), trained.test.count()
+        if model_path:
+            model.save_pipeline(trained.pipeline, model_path)
+    finally:
+        trained.data.unpersist()
+    return TrainingReport(acc, n_train, n_test, trained.features, model_path)

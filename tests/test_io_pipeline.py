@@ -1,0 +1,156 @@
+"""Sources, sinks and the end-to-end jobs, on temporary folders."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
+
+from roadlake.operators import features, kpi, silver, split
+from roadlake.plans import pipeline
+from roadlake.plans import queries as Q
+from roadlake.sources import catalog, csv_batches, sinks, store
+from roadlake.streaming.bronze_stream import ingest_available
+
+CSV_HEADERS = {**Q.RAW_HEADERS, "Description": "Description"}
+
+
+def test_csv_reader_quotes_newlines_and_empty(spark, tmp_path):
+    p = tmp_path / "01-01-2025.csv"
+    p.write_text('ID,Description,Temperature(F)\nA-1,"He said ""hi""\nnext line",\nA-2,plain,3.5\n')
+    df = csv_batches.read_csv_batch(spark, str(p), with_file_date=True)
+    assert df.columns == ["ID", "Description", "Temperature_F_", "situation_date"]
+    rows = {r.ID: r for r in df.collect()}
+    assert rows["A-1"].Description == 'He said "hi"\nnext line'
+    assert rows["A-1"].Temperature_F_ is None and rows["A-2"].Temperature_F_ == "3.5"
+    assert rows["A-2"].situation_date == dt.date(2025, 1, 1)
+
+
+def test_discovery_from_folder(spark, tmp_path):
+    for name in ["03-01-2025.csv", "01-01-2025.csv", "02-01-2025.csv", "04-01-2025.csv",
+                 "15-02-2025.csv", "notes.csv", "1-1-2025.csv", "31-01-2024.csv"]:
+        (tmp_path / name).write_text("ID\nA\n")
+    (tmp_path / "05-01-2025.txt").write_text("x")
+    picked = csv_batches.select_batches(csv_batches.list_csv_files(spark, str(tmp_path)), 2025, 1, 3)
+    got = [(r.batch, r.file_name) for r in picked.orderBy("batch").collect()]
+    assert got == [(0, "01-01-2025.csv"), (1, "02-01-2025.csv"), (2, "03-01-2025.csv")]
+
+
+def _write_daily_csvs(spark, sf_dir, folder):
+    """Three dated CSV exports of the small adapter feed, with raw-style headers."""
+    b = split.ordered_split(Q.raw(spark, sf_dir), ["seq"], 3, "2025-01-01")
+    pdf = b.toPandas()  # 1,000 rows: a test fixture
+    os.makedirs(folder, exist_ok=True)
+    for day, part in pdf.groupby("situation_date"):
+        name = f"{day:%d-%m-%Y}.csv"
+        cols = [c for c in Q.raw(spark, sf_dir).columns if c != "seq"]
+        part.sort_values("seq")[cols].rename(columns=CSV_HEADERS).to_csv(os.path.join(folder, name), index=False)
+    return pdf
+
+
+def test_end_to_end_pipeline(spark, sf_small, tmp_path):
+    src = str(tmp_path / "data")
+    pdf = _write_daily_csvs(spark, sf_small, src)
+    bronze_path = str(tmp_path / "bronze")
+    rep = pipeline.run_feeder(spark, src, bronze_path, 2025, 1)
+    assert rep.files == ["01-01-2025.csv", "02-01-2025.csv", "03-01-2025.csv"]
+    days = {str(r.bronze_date): r.n for r in store.read_bronze(spark, bronze_path)
+            .groupBy("bronze_date").agg(F.count("*").alias("n")).collect()}
+    assert days == {"2025-01-01": 333, "2025-01-02": 333, "2025-01-03": len(pdf)}
+    assert "Temperature_F_" in store.read_bronze(spark, bronze_path).columns
+    # rerun: loaded days are skipped, the last day is rewritten, nothing doubles
+    rep2 = pipeline.run_feeder(spark, src, bronze_path, 2025, 1)
+    assert rep2.written_days == ["2025-01-03"]
+    assert store.read_bronze(spark, bronze_path).count() == 333 + 333 + len(pdf)
+
+    schema = "silver_e2e"
+    pipeline.run_silver(spark, bronze_path, str(tmp_path / "silver"), schema=schema)
+    snap = pipeline.silver_snapshot(spark, schema)
+    expected_acc = silver.conform_accidents(store.read_bronze(spark, bronze_path, "2025-01-03"))
+    assert snap["accidents"].count() == expected_acc.count() == 546
+    assert sorted(snap["accidents"].columns) == sorted(expected_acc.columns)
+
+    gold_root = str(tmp_path / "gold")
+    pipeline.build_gold(snap["accidents"], gold_root)
+    out = pipeline.kpis(spark, gold_root)
+    want = Q.registry()["kpi_top_regions"](spark, sf_small).collect()
+    assert out["top_regions"].collect() == want
+    assert out["global"].collect()[0].total_accidents == 546
+
+    model_path = str(tmp_path / "model")
+    tr = pipeline.run_training(snap["accidents"], snap["weather"], snap["road_features"], model_path)
+    assert 0.0 <= tr.accuracy <= 1.0 and tr.n_train > tr.n_test > 0
+    loaded = PipelineModel.load(model_path)
+    joined = features.join_silver(snap["accidents"], snap["weather"], snap["road_features"])
+    scored = loaded.transform(features.add_date_parts(joined).withColumns(
+        {m: F.col(m).try_cast("double") for m in ["Temperature_F_", "Humidity_pct_", "Pressure_in_",
+                                                  "Visibility_mi_", "Wind_Speed_mph_", "Precipitation_in_"]}
+    ).dropna())
+    assert "prediction" in scored.columns and scored.count() > 0
+
+
+def test_training_guard_on_empty(spark):
+    from roadlake.operators import model
+    empty = spark.createDataFrame([], "ID string, Severity string, Start_Time string, Wind_Direction string, "
+                                      "Weather_Condition string, Start_Lat float")
+    with pytest.raises(ValueError):
+        model.train_model(empty)
+
+
+def test_append_twice_keeps_duplicates(spark, tmp_path):
+    catalog.reset_schema(spark, "s_append", ["t"], location=str(tmp_path / "wh"))
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    catalog.append_table(df, "s_append.t", str(tmp_path / "t"))
+    catalog.append_table(df, "s_append.t", str(tmp_path / "t"))
+    assert catalog.table_scan(spark, "s_append.t").count() == 4
+    catalog.reset_schema(spark, "s_append", ["t"])
+    assert not spark.catalog.tableExists("s_append.t")
+
+
+def test_snapshot_isolates_failures(spark, tmp_path):
+    spark.createDataFrame([(1,)], "x int").createOrReplaceTempView("snap_ok")
+    done = catalog.snapshot_tables(spark, {"ok": "snap_ok", "missing": "no_such_table_xyz"}, str(tmp_path))
+    assert done["ok"].endswith("/ok") and done["missing"].startswith("error:")
+    assert spark.read.parquet(done["ok"]).count() == 1
+
+
+def test_jdbc_failure_is_reported_not_raised(spark):
+    df = spark.createDataFrame([(1,)], "x int")
+    err = sinks.jdbc_write(df, "jdbc:roadlake-nowhere:db", "t", {"user": "u"})
+    assert err is not None and "driver" in err.lower()
+
+
+def test_partition_overwrite_replaces_one_day(spark, tmp_path):
+    path = str(tmp_path / "b")
+    d1 = spark.createDataFrame([(1, dt.date(2025, 1, 1)), (2, dt.date(2025, 1, 2))], "x int, bronze_date date")
+    store.write_bronze(d1, path)
+    store.write_bronze(spark.createDataFrame([(9, dt.date(2025, 1, 2))], "x int, bronze_date date"), path)
+    got = sorted((r.x, str(r.bronze_date)) for r in store.read_bronze(spark, path).collect())
+    assert got == [(1, "2025-01-01"), (9, "2025-01-02")]
+    assert [r.x for r in store.read_bronze(spark, path, "2025-01-01").collect()] == [1]
+
+
+def test_streaming_ingest_sees_each_file_once(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "01-01-2025.csv").write_text("ID,Temperature(F)\nA,1\nB,2\n")
+    (src / "02-01-2025.csv").write_text("ID,Temperature(F)\nC,3\n")
+    out, ck = str(tmp_path / "bronze"), str(tmp_path / "ck")
+    cols = ["ID", "Temperature(F)"]
+    ingest_available(spark, str(src), cols, out, ck)
+    assert spark.read.parquet(out).count() == 3
+    (src / "03-01-2025.csv").write_text("ID,Temperature(F)\nD,4\nE,5\n")
+    ingest_available(spark, str(src), cols, out, ck)
+    df = spark.read.parquet(out)
+    assert df.count() == 5
+    assert "Temperature_F_" in df.columns
+    per_day = {str(r.situation_date): r.n for r in df.groupBy("situation_date").agg(F.count("*").alias("n")).collect()}
+    assert per_day == {"2025-01-01": 2, "2025-01-02": 1, "2025-01-03": 2}
+
+
+def test_kpi_helpers_on_marts(spark):
+    by_hour = spark.createDataFrame([("00:00", 1, 3, 1.0), ("00:00", 2, 1, 2.0), ("05:00", 1, 1, 1.0)],
+                                    "hour string, Severity int, accident_count long, avg_severity double")
+    assert [tuple(r) for r in kpi.kpi_by_hour(by_hour).collect()] == [("00:00", 4), ("05:00", 1)]
+    assert [tuple(r) for r in kpi.kpi_by_severity(by_hour).collect()] == [(1, 4), (2, 1)]
