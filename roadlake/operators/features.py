@@ -9,7 +9,8 @@ behave as inner joins; that is kept on purpose.
 Scale: the three Silver tables leave the conform step hash-partitioned by
 ``ID`` and unique per ``ID``, so the join chain is sort-merge on co-partitioned
 inputs with no skew.  ``StringIndexer`` fits are distributed counts; only the
-distinct labels (a handful of categories) reach the driver.
+distinct labels (a handful of categories) reach the driver.  The joined frame
+is checkpointed once before the fits, so the join runs once, not per fit.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 from roadlake import schema as S
 from roadlake.functions.columns import c, hour_of, month_of, to_double, weekday_of
 from roadlake.functions.names import present
+from roadlake.session import materialize
 
 
 def join_silver(accidents: DataFrame, weather: DataFrame, road: DataFrame) -> DataFrame:
@@ -65,8 +67,12 @@ def feature_columns(df: DataFrame) -> list[str]:
 
 
 def prepare_features(joined: DataFrame):
-    """(frame with every column, feature names, category models), NULL-free."""
-    df = add_date_parts(joined)
+    """(frame with every column, feature names, category models), NULL-free.
+
+    The joined frame is materialized once: the indexer fits, the label fit
+    and the assembly all read that copy instead of recomputing the join.
+    """
+    df = materialize(add_date_parts(joined))
     df, models = index_categories(df)
     features = feature_columns(df)
     if not features:

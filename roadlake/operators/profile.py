@@ -27,19 +27,26 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _column_stats(name: str, df: DataFrame) -> DataFrame:
-    """(table_name, column_name, null_count, n_rows) for every column, in one pass."""
-    aliases = [f"c{i}" for i in range(len(df.columns))]
-    wide = df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  *[F.count_if(c(n).isNull()).alias(a) for n, a in zip(df.columns, aliases)])
-    long = wide.unpivot("n_rows", aliases, "slot", "null_count")
-    names = F.create_map(*[x for a, n in zip(aliases, df.columns) for x in (F.lit(a), F.lit(n))])
-    return long.select(F.lit(name).alias("table_name"), names[F.col("slot")].alias("column_name"),
-                       "null_count", "n_rows")
+    """One row per column: table_name, position, column_name, data_type, null_count, n_rows.
+
+    A single aggregation builds one struct per column; ``unpivot`` turns
+    them into rows.
+    """
+    slots = [f"c{i}" for i in range(len(df.columns))]
+    per_column = [
+        F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column_name"),
+                 F.lit(f.dataType.simpleString()).alias("data_type"),
+                 F.count_if(c(f.name).isNull()).alias("null_count")).alias(slot)
+        for i, (f, slot) in enumerate(zip(df.schema.fields, slots))]
+    wide = df.agg(F.count(F.lit(1)).alias("n_rows"), *per_column)
+    long = wide.unpivot("n_rows", slots, "slot", "s")
+    return long.select(F.lit(name).alias("table_name"), "s.*", "n_rows")
 
 
 def null_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, column_name, null_count) for every column of every table."""
-    return _union([_column_stats(n, df) for n, df in tables.items()]).drop("n_rows")
+    return _union([_column_stats(n, df).select("table_name", "column_name", "null_count")
+                   for n, df in tables.items()])
 
 
 def schema_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -48,17 +55,9 @@ def schema_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     Rows: table_name, position (1-based), column_name, data_type, n_rows,
     non_null.  Computed in the same single pass as the NULL profile.
     """
-    frames = []
-    for name, df in tables.items():
-        meta = F.create_map(*[x for i, f in enumerate(df.schema.fields)
-                              for x in (F.lit(f.name), F.struct(F.lit(i + 1).alias("p"),
-                                                                F.lit(f.dataType.simpleString()).alias("t")))])
-        stats = _column_stats(name, df)
-        frames.append(stats.select(
-            "table_name", meta[F.col("column_name")]["p"].alias("position"), "column_name",
-            meta[F.col("column_name")]["t"].alias("data_type"), "n_rows",
-            (F.col("n_rows") - F.col("null_count")).alias("non_null")))
-    return _union(frames)
+    return _union([_column_stats(n, df).select(
+        "table_name", "position", "column_name", "data_type", "n_rows",
+        (F.col("n_rows") - F.col("null_count")).alias("non_null")) for n, df in tables.items()])
 
 
 def sample_rows(df: DataFrame, key: str = "ID", n: int = 5) -> DataFrame:

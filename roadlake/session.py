@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -52,6 +52,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+
+    Used where one frame feeds several passes (model fits): later passes read
+    the stored copy instead of recomputing joins and shuffles, and a lost
+    executor costs a re-read, not a recomputation.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint folder.
 
