@@ -47,12 +47,13 @@ def _existing_days(spark: SparkSession, bronze_path: str) -> set:
 
 
 def run_feeder(spark: SparkSession, input_dir: str, bronze_path: str, year: int, month: int,
-               n_batches: int = 3) -> FeederReport:
+               n_batches: int = 3, multi_line: bool = False) -> FeederReport:
     """Load the first ``n_batches`` daily files of a month into Bronze.
 
     Days already in Bronze are not rewritten but still accumulate into the
-    last day, which is always rewritten and holds every picked batch.  All
-    picked files are read in one scan.
+    last day, which is always rewritten and holds every picked batch.  Each
+    file is read (splittable, many tasks per file), stamped with its day and
+    unioned by column name.
     """
     picked = csv_batches.select_batches(csv_batches.list_csv_files(spark, input_dir), year, month, n_batches)
     plan = picked.orderBy("batch").collect()  # at most n_batches file names
@@ -62,7 +63,8 @@ def run_feeder(spark: SparkSession, input_dir: str, bronze_path: str, year: int,
     last_day = plan[-1].situation_date
     existing = _existing_days(spark, bronze_path)
     todo = [r.situation_date for r in plan if r.situation_date not in existing or r.situation_date == last_day]
-    rows = csv_batches.read_csv_batch(spark, files, with_file_date=True)
+    rows = csv_batches.read_dated_batches(
+        spark, [(f, r.situation_date) for f, r in zip(files, plan)], multi_line=multi_line)
     stored = bronze.bronze_cumulative(rows, last_day).filter(F.col(store.BRONZE_PARTITION).isin(todo))
     store.write_bronze(stored, bronze_path)
     return FeederReport([r.file_name for r in plan], [str(d) for d in todo], bronze_path)

@@ -18,7 +18,7 @@ from roadlake import schema as S
 from roadlake.functions.columns import (
     date_of, flag_to_int, hour_label, hour_of, month_of, normalized_text, severity_int, to_float, weekday_of)
 from roadlake.operators import bronze, features, gold, kpi, model, profile, silver, split
-from roadlake.session import scratch_path, sf_table
+from roadlake.session import materialize, scratch_path, sf_table
 from roadlake.sources import catalog, csv_batches, store
 from roadlake.sources.fixtures import incident_frame
 
@@ -201,7 +201,7 @@ def _on_accidents(fn):
 def q_index(col_names: list[str]):
     """Index table of the last of ``col_names``, fitted after the earlier ones (skip)."""
     def run(spark, sf_dir):
-        df = features.add_date_parts(joined(spark, sf_dir))
+        df = materialize(features.add_date_parts(joined(spark, sf_dir)))
         for name in col_names[:-1]:
             df = features.category_indexer(name).fit(df).transform(df)
         m = features.category_indexer(col_names[-1]).fit(df)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadlake.operators.bronze import sanitize_columns
+from roadlake.operators.bronze import sanitize_columns, stamp_date, union_batches
 
 # The batch file-name pattern and the shortest accepted name.
 NAME_PATTERN = r"^(\d{2}-\d{2}-\d{4})\.csv$"
@@ -21,30 +21,47 @@ DATE_FORMAT = "dd-MM-yyyy"
 MIN_NAME_LENGTH = 14
 
 
-def csv_reader(spark: SparkSession, columns: Sequence[str] | None = None):
+def csv_reader(spark: SparkSession, columns: Sequence[str] | None = None, multi_line: bool = False):
     """Header on, quotes escaped by doubling; every column read as text.
 
     With ``columns`` the schema is fixed up front (no header-inference job).
+    Each file's header is checked against the schema, so files whose columns
+    differ fail instead of being read by position.  ``multi_line`` accepts
+    line breaks inside quoted cells but makes every file one unsplittable
+    task, so it is off by default: a large daily file is then read by many
+    tasks in parallel.
     """
-    reader = spark.read.option("header", "true").option("escape", '"').option("multiLine", "true")
+    reader = (spark.read.option("header", "true").option("escape", '"')
+              .option("enforceSchema", "false").option("multiLine", str(multi_line).lower()))
     if columns is not None:
         reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in columns]))
     return reader
 
 
 def read_csv_batch(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None,
-                   with_file_date: bool = False) -> DataFrame:
+                   with_file_date: bool = False, multi_line: bool = False) -> DataFrame:
     """Read CSV batch file(s) with clean column names.
 
     ``with_file_date`` adds ``situation_date`` parsed from each row's file name,
-    so many daily files are read in one scan instead of one job per file.
+    so several daily files with the same header are read in one scan.
     """
-    df = csv_reader(spark, columns).csv(path)
+    df = csv_reader(spark, columns, multi_line).csv(path)
     if with_file_date:
         df = df.withColumn("situation_date", file_date(F.col("_metadata.file_name")))
     return sanitize_columns(df)
 
 
+def read_dated_batches(spark: SparkSession, files: Sequence[tuple[str, object]],
+                       multi_line: bool = False) -> DataFrame:
+    """Read each (path, day) file, stamp its day, and union the batches by column name.
+
+    Files may list their columns in different orders; a file with a
+    different set of columns fails the union.
+    """
+    parts = [stamp_date(read_csv_batch(spark, path, multi_line=multi_line), day) for path, day in files]
+    return union_batches(parts)
+
+
 def file_date(name: Column) -> Column:
     """``dd-MM-yyyy.csv`` -> date; NULL for any other name."""
     text = F.regexp_extract(name, NAME_PATTERN, 1)

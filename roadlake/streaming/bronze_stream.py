@@ -23,14 +23,15 @@ from roadlake.sources.csv_batches import file_date
 
 
 def ingest_available(spark: SparkSession, input_dir: str, columns: Sequence[str], bronze_path: str,
-                     checkpoint: str, wait: bool = True) -> StreamingQuery:
+                     checkpoint: str, wait: bool = True, multi_line: bool = False) -> StreamingQuery:
     """Process every daily CSV not seen before, then stop.
 
     ``columns`` is the raw header (streams need a fixed schema; all text).
     """
     schema = T.StructType([T.StructField(n, T.StringType()) for n in columns])
     rows = (spark.readStream.schema(schema)
-            .option("header", "true").option("escape", '"').option("multiLine", "true")
+            .option("header", "true").option("escape", '"').option("multiLine", str(multi_line).lower())
+            .option("enforceSchema", "false")
             .option("pathGlobFilter", "*.csv")
             .csv(input_dir))
     rows = rows.withColumn("situation_date", file_date(F.col("_metadata.file_name")))

@@ -19,7 +19,7 @@ CSV_HEADERS = {**Q.RAW_HEADERS, "Description": "Description"}
 def test_csv_reader_quotes_newlines_and_empty(spark, tmp_path):
     p = tmp_path / "01-01-2025.csv"
     p.write_text('ID,Description,Temperature(F)\nA-1,"He said ""hi""\nnext line",\nA-2,plain,3.5\n')
-    df = csv_batches.read_csv_batch(spark, str(p), with_file_date=True)
+    df = csv_batches.read_csv_batch(spark, str(p), with_file_date=True, multi_line=True)
     assert df.columns == ["ID", "Description", "Temperature_F_", "situation_date"]
     rows = {r.ID: r for r in df.collect()}
     assert rows["A-1"].Description == 'He said "hi"\nnext line'
@@ -27,6 +27,24 @@ def test_csv_reader_quotes_newlines_and_empty(spark, tmp_path):
     assert rows["A-2"].situation_date == dt.date(2025, 1, 1)
 
 
+def test_batches_union_by_name_and_reject_other_columns(spark, tmp_path):
+    (tmp_path / "01-01-2025.csv").write_text("ID,Humidity(%)\nA,1\n")
+    (tmp_path / "02-01-2025.csv").write_text("Humidity(%),ID\n2,B\n")
+    (tmp_path / "03-01-2025.csv").write_text("ID,Other\nC,3\n")
+    two = csv_batches.read_dated_batches(
+        spark, [(str(tmp_path / "01-01-2025.csv"), "2025-01-01"), (str(tmp_path / "02-01-2025.csv"), "2025-01-02")])
+    assert sorted((r.ID, r.Humidity_pct_, str(r.situation_date)) for r in two.collect()) == [
+        ("A", "1", "2025-01-01"), ("B", "2", "2025-01-02")]
+    with pytest.raises(Exception):
+        csv_batches.read_dated_batches(
+            spark, [(str(tmp_path / "01-01-2025.csv"), "2025-01-01"), (str(tmp_path / "03-01-2025.csv"), "2025-01-03")]
+        ).collect()
+    # one scan of several files checks each header instead of reading by position
+    with pytest.raises(Exception):
+        csv_batches.read_csv_batch(spark, [str(tmp_path / "01-01-2025.csv"), str(tmp_path / "02-01-2025.csv")],
+                                   columns=["ID", "Humidity(%)"]).collect()
+
+
 def test_discovery_from_folder(spark, tmp_path):
     for name in ["03-01-2025.csv", "01-01-2025.csv", "02-01-2025.csv", "04-01-2025.csv",
                  "15-02-2025.csv", "notes.csv", "1-1-2025.csv", "31-01-2024.csv"]:
