@@ -339,4 +339,11 @@ SELECT Severity AS value, count(*) AS n,
        CAST(row_number() OVER (ORDER BY count(*) DESC, Severity) - 1 AS DOUBLE) AS idx
 FROM ff GROUP BY Severity""")
     q["feature_frame"] = _with(FEATURES, f"SELECT ID, Severity, {FEATURE_COLS} FROM ff")
+    vector = ", ".join(f"CAST({x.strip()} AS DOUBLE)" for x in FEATURE_COLS.split(","))
+    q["feature_vector"] = _with(FEATURES, f"""
+, labels AS (
+  SELECT Severity, CAST(row_number() OVER (ORDER BY count(*) DESC, Severity) - 1 AS DOUBLE) AS label
+  FROM ff GROUP BY Severity)
+SELECT ff.ID, labels.label, [{vector}] AS features
+FROM ff JOIN labels ON ff.Severity = labels.Severity""")
     return q

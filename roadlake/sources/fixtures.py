@@ -50,15 +50,20 @@ def incident_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events.join(place, F.col("user_id") == F.col("c_custkey"))
 
     eid = F.col("event_id")
-    start = F.date_trunc("second", F.col("ts"))
+    ts = F.col("ts")  # timestamp_ntz: wall-clock text, no session time zone involved
+
+    def seconds(t):
+        # ISO text of a timestamp_ntz cut to whole seconds (== date_trunc('second') as text)
+        return F.substring(t.cast("string"), 1, 19)
+
     value_text = _text(F.col("value"))
     none = F.lit(None).cast("string")
     return ev.select(
         eid.alias("seq"),
         F.concat(F.lit("A-"), _text(eid - F.when(_every(10, 7), 1).otherwise(0))).alias("ID"),
         _text(eid % 5 + 1).alias("Severity"),
-        _text(start).alias("Start_Time"),
-        _text(F.when(_every(6), start).otherwise(start + F.expr("INTERVAL 30 MINUTES"))).alias("End_Time"),
+        seconds(ts).alias("Start_Time"),
+        seconds(F.when(_every(6), ts).otherwise(ts + F.expr("INTERVAL 30 MINUTES"))).alias("End_Time"),
         F.when(_every(11), none).otherwise(value_text).alias("Start_Lat"),
         _text(F.lit(0) - F.col("value")).alias("Start_Lng"),
         F.col("props").alias("Description"),
@@ -66,7 +71,7 @@ def incident_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("County"),
         F.col("r_name").alias("State"),
         F.col("event_type").alias("Timezone"),
-        _text(start).alias("Weather_Timestamp"),
+        seconds(ts).alias("Weather_Timestamp"),
         F.when(_every(13), none).otherwise(value_text).alias("Temperature_F_"),
         F.regexp_extract(F.col("props"), "([0-9]+)", 1).alias("Humidity_pct_"),
         _text(F.col("user_id")).alias("Pressure_in_"),

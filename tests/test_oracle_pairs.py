@@ -24,7 +24,7 @@ def duck(sf_small):
 
 def test_every_query_has_oracle_or_is_ml():
     rows_only = {k for k in KEYS if k not in SQL}
-    assert rows_only == {"feature_vector", "split_counts", "rf_predictions", "rf_accuracy"}
+    assert rows_only == {"split_counts", "rf_predictions", "rf_accuracy"}
     assert set(SQL) <= set(KEYS)
 
 
@@ -44,3 +44,16 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["State", "County", "accidents"]
     assert 0 < df.count() <= 5
+
+
+@pytest.mark.parametrize("key", ["silver_accidents", "mart_by_region", "mart_by_hour_severity", "date_parts"])
+def test_results_do_not_depend_on_session_time_zone(spark, sf_small, key):
+    q = E.queries()[key]
+    base = sorted(map(tuple, q(spark, sf_small).collect()))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        shifted = sorted(map(tuple, q(spark, sf_small).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert shifted == base
