@@ -24,7 +24,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from roadlake import schema as S
 from roadlake.functions.columns import c, flag_to_int, normalized_text, severity_in_domain, to_float
@@ -109,8 +108,3 @@ def conform_weather(df: DataFrame, order_cols=None, group_cols=()) -> DataFrame:
 
 def conform_road(df: DataFrame, order_cols=None, group_cols=()) -> DataFrame:
     return _conform(df, S.ROAD_COLUMNS, _shape_road, order_cols, group_cols)
-
-
-def accident_schema() -> T.StructType:
-    types = {"Start_Lat": T.FloatType(), "Start_Lng": T.FloatType()}
-    return T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in S.ACCIDENT_COLUMNS])
