@@ -104,16 +104,24 @@ def run_silver(spark: SparkSession, bronze_path: str, silver_root: str, schema:
     return paths
 
 
+def latest_day(spark: SparkSession, table: str, partition_col: str = store.BRONZE_PARTITION) -> str | None:
+    """Newest partition value of a day-partitioned table, from catalog metadata (no scan)."""
+    days = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()
+            if r[0].startswith(f"{partition_col}=")]
+    return max(days) if days else None
+
+
 def silver_snapshot(spark: SparkSession, schema: str = "silver", day: str | None = None) -> dict[str, DataFrame]:
-    """Silver as the marts see it: one Bronze day (default: the latest, which holds everything)."""
+    """Silver as the marts see it: one Bronze day (default: the latest, which holds everything).
+
+    The day is a literal filter on the partition column, so only that day's
+    files are read.
+    """
     out = {}
     for name in SILVER_TABLES:
-        df = spark.table(f"{schema}.{name}")
-        if day is None:
-            latest = df.agg(F.max(store.BRONZE_PARTITION).alias("d"))
-            df = df.join(latest, F.col(store.BRONZE_PARTITION) == F.col("d")).drop("d")
-        else:
-            df = df.filter(F.col(store.BRONZE_PARTITION) == F.lit(day).cast("date"))
+        table = f"{schema}.{name}"
+        pick = day or latest_day(spark, table)
+        df = spark.table(table).filter(F.col(store.BRONZE_PARTITION) == F.lit(pick).cast("date"))
         out[name] = df.drop(store.BRONZE_PARTITION)
     return out
 

@@ -43,6 +43,11 @@ def table_scan(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
+def table_listing(spark: SparkSession, schema: str) -> DataFrame:
+    """Tables of a schema (namespace, tableName, isTemporary)."""
+    return spark.sql(f"SHOW TABLES IN `{schema}`")
+
+
 def snapshot_tables(spark: SparkSession, tables: Mapping[str, str], root: str) -> dict[str, str]:
     """Copy each catalog table to ``root/<name>`` as parquet.
 

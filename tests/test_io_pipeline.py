@@ -84,6 +84,9 @@ def test_end_to_end_pipeline(spark, sf_small, tmp_path):
 
     schema = "silver_e2e"
     pipeline.run_silver(spark, bronze_path, str(tmp_path / "silver"), schema=schema)
+    assert sorted(r.tableName for r in catalog.table_listing(spark, schema).collect()) == [
+        "accidents", "road_features", "weather"]
+    assert pipeline.latest_day(spark, f"{schema}.accidents") == "2025-01-03"
     snap = pipeline.silver_snapshot(spark, schema)
     expected_acc = silver.conform_accidents(store.read_bronze(spark, bronze_path, "2025-01-03"))
     assert snap["accidents"].count() == expected_acc.count() == 546
