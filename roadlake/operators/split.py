@@ -33,9 +33,11 @@ def global_position(df: DataFrame, order_cols: Sequence[str], num_partitions: in
                     pos_col: str = "_pos", total_col: str = "_total") -> DataFrame:
     """Add the 0-based position of each row in ``order_cols`` order, and the row total."""
     spark = df.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [c(k) for k in order_cols]
-    ranged = (df.repartitionByRange(parts, *keys)
+    # Without a fixed count AQE may merge neighbouring ranges after the shuffle;
+    # a merged partition is still one contiguous key range, so order holds.
+    by_range = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    ranged = (by_range
               .sortWithinPartitions(*keys)
               .withColumn("_part", F.spark_partition_id())
               .withColumn("_local", F.monotonically_increasing_id()

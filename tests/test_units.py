@@ -167,3 +167,16 @@ def test_union_is_by_name_and_strict(spark):
     c = spark.createDataFrame([(3,)], "n int")
     with pytest.raises(Exception):
         bronze.union_batches([a, c]).collect()
+
+
+def test_split_exact_when_aqe_merges_ranges(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        df = spark.range(0, 2003, 1, numPartitions=9).withColumnRenamed("id", "seq")
+        out = split.ordered_split(df, ["seq"], 3)
+        got = sorted((r.batch, r.lo, r.hi, r.n) for r in out.groupBy("batch").agg(
+            F.min("seq").alias("lo"), F.max("seq").alias("hi"), F.count("*").alias("n")).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got == [(0, 0, 666, 667), (1, 667, 1333, 667), (2, 1334, 2002, 669)]
