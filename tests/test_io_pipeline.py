@@ -175,3 +175,23 @@ def test_kpi_helpers_on_marts(spark):
                                     "hour string, Severity int, accident_count long, avg_severity double")
     assert [tuple(r) for r in kpi.kpi_by_hour(by_hour).collect()] == [("00:00", 4), ("05:00", 1)]
     assert [tuple(r) for r in kpi.kpi_by_severity(by_hour).collect()] == [(1, 4), (2, 1)]
+
+
+def test_command_line_runs_every_job(spark, sf_small, tmp_path, capsys):
+    from roadlake.plans import cli
+
+    src = str(tmp_path / "data")
+    _write_daily_csvs(spark, sf_small, src)
+    lake = tmp_path / "lake"
+    r = cli.main(["feeder", "--input", src, "--bronze", str(lake / "bronze"), "--year", "2025", "--month", "1"], spark)
+    assert r["written_days"] == ["2025-01-01", "2025-01-02", "2025-01-03"]
+    cli.main(["silver", "--bronze", str(lake / "bronze"), "--silver", str(lake / "silver"), "--schema", "cli_s"], spark)
+    cli.main(["gold", "--schema", "cli_s", "--gold", str(lake / "gold")], spark)
+    k = cli.main(["kpis", "--gold", str(lake / "gold")], spark)
+    assert k["global"][0]["total_accidents"] == 546 and len(k["top_regions"]) == 5
+    t = cli.main(["train", "--schema", "cli_s", "--model", str(lake / "model")], spark)
+    assert 0 <= t["accuracy"] <= 1
+    e = cli.main(["explore", "--schema", "cli_s"], spark)
+    assert sorted(e["tables"]) == ["accidents", "road_features", "weather"]
+    assert all(len(v) == 5 for v in e["samples"].values())
+    capsys.readouterr()
