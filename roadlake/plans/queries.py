@@ -227,12 +227,21 @@ def q_split_counts(spark, sf_dir):
             .groupBy("part").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def _scored(spark, sf_dir, summarize):
+    """Fit the forest, then release the training cache; the summary recomputes its
+    test rows from the checkpointed join (same rows, same split)."""
+    trained = model.train_model(joined(spark, sf_dir))
+    out = summarize(trained.predictions)
+    trained.data.unpersist()
+    return out
+
+
 def q_rf_predictions(spark, sf_dir):
-    return model.per_label(model.train_model(joined(spark, sf_dir)).predictions)
+    return _scored(spark, sf_dir, model.per_label)
 
 
 def q_rf_accuracy(spark, sf_dir):
-    return model.accuracy(model.train_model(joined(spark, sf_dir)).predictions)
+    return _scored(spark, sf_dir, model.accuracy)
 
 
 # ---------------------------------------------------------------------------
