@@ -47,9 +47,11 @@ def pending_batches(batches: DataFrame, loaded_dates: DataFrame, last_date: str
                     date_col: str = "situation_date") -> DataFrame:
     """Rows of batches still to write: days not loaded yet, and always the last day.
 
-    ``loaded_dates`` has one ``date_col`` row per day already in Bronze (a
-    manifest, one row per day).
+    ``loaded_dates`` lists the days already in Bronze.  After ``distinct`` it
+    has one row per calendar day, a size that does not grow with the number
+    of rows, so it is broadcast: the feed is never shuffled by its few batch
+    dates (a hot day would otherwise land in one task).
     """
     last = F.lit(str(last_date)).cast("date")
     skip = loaded_dates.select(date_col).filter(F.col(date_col) != last).distinct()
-    return batches.join(skip, date_col, "left_anti")
+    return batches.join(F.broadcast(skip), date_col, "left_anti")
