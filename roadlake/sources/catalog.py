@@ -10,6 +10,7 @@ import logging
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
@@ -44,8 +45,8 @@ def table_scan(spark: SparkSession, table: str) -> DataFrame:
 
 
 def table_listing(spark: SparkSession, schema: str) -> DataFrame:
-    """Tables of a schema (namespace, tableName, isTemporary)."""
-    return spark.sql(f"SHOW TABLES IN `{schema}`")
+    """Tables of a schema (namespace, tableName); session temp views are left out."""
+    return spark.sql(f"SHOW TABLES IN `{schema}`").filter(~F.col("isTemporary")).drop("isTemporary")
 
 
 def snapshot_tables(spark: SparkSession, tables: Mapping[str, str], root: str) -> dict[str, str]:

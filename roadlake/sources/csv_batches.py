@@ -17,6 +17,7 @@ from roadlake.operators.bronze import sanitize_columns, stamp_date, union_batche
 
 # The batch file-name pattern and the shortest accepted name.
 NAME_PATTERN = r"^(\d{2}-\d{2}-\d{4})\.csv$"
+PATH_PATTERN = r".*/(\d{2}-\d{2}-\d{4})\.csv(?:/[^/]*)?$"
 DATE_FORMAT = "dd-MM-yyyy"
 MIN_NAME_LENGTH = 14
 
@@ -40,14 +41,15 @@ def csv_reader(spark: SparkSession, columns: Sequence[str] | None = None, multi_
 
 def read_csv_batch(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None,
                    with_file_date: bool = False, multi_line: bool = False) -> DataFrame:
-    """Read CSV batch file(s) with clean column names.
+    """Read CSV batch file(s) or batch folder(s) with clean column names.
 
-    ``with_file_date`` adds ``situation_date`` parsed from each row's file name,
-    so several daily files with the same header are read in one scan.
+    ``with_file_date`` adds ``situation_date`` parsed from each row's batch
+    name in its path, so several daily batches with the same header are read
+    in one scan.
     """
     df = csv_reader(spark, columns, multi_line).csv(path)
     if with_file_date:
-        df = df.withColumn("situation_date", file_date(F.col("_metadata.file_name")))
+        df = df.withColumn("situation_date", path_date(F.col("_metadata.file_path")))
     return sanitize_columns(df)
 
 
@@ -68,10 +70,24 @@ def file_date(name: Column) -> Column:
     return F.when(text != "", F.try_to_timestamp(text, F.lit(DATE_FORMAT)).cast("date"))
 
 
+def path_date(path: Column) -> Column:
+    """Date of the batch a file belongs to: the last ``dd-MM-yyyy.csv`` segment of its path."""
+    text = F.regexp_extract(path, PATH_PATTERN, 1)
+    return F.when(text != "", F.try_to_timestamp(text, F.lit(DATE_FORMAT)).cast("date"))
+
+
 def list_csv_files(spark: SparkSession, folder: str) -> DataFrame:
-    """File names of the ``*.csv`` files in a folder (file contents are not read)."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-            .select(F.element_at(F.split(F.col("path"), "/"), -1).alias("file_name")))
+    """Batch names under a folder: each ``*.csv`` file, or each folder of ``*.csv`` parts.
+
+    A daily batch may be one file (``01-01-2025.csv``) or, at scale, a folder
+    of part files (``01-01-2025.csv/part-*.csv``); the batch name is the path
+    segment directly under ``folder``.  File contents are not read.
+    """
+    root = folder.rstrip("/") + "/"
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+               .option("recursiveFileLookup", "true").load(folder).select("path"))
+    below = F.substring_index(F.col("path"), root, -1)
+    return listing.select(F.element_at(F.split(below, "/"), 1).alias("file_name")).distinct()
 
 
 def select_batches(names: DataFrame, year: int, month: int, limit: int = 3,
@@ -97,3 +113,21 @@ def select_batches(names: DataFrame, year: int, month: int, limit: int = 3,
 def batch_file_names(events: DataFrame, ts_col: str = "ts") -> DataFrame:
     """File names a daily export of a timestamped feed would produce."""
     return events.select(F.concat(F.date_format(F.col(ts_col), DATE_FORMAT), F.lit(".csv")).alias("file_name"))
+
+
+def write_daily_batches(batches: DataFrame, folder: str, date_col: str = "situation_date",
+                        drop: Sequence[str] = ("batch",)) -> list[str]:
+    """Write each batch day as a folder of CSV parts named ``dd-MM-yyyy.csv``.
+
+    The split output is checkpointed, so each day is a filtered re-read of it;
+    there are as many writes as batch days (a handful), and every write is
+    parallel over the day's rows.  Headers on, quotes escaped by doubling.
+    """
+    days = [r[0] for r in batches.select(date_col).distinct().orderBy(date_col).collect()]  # one row per day
+    paths = []
+    for day in days:
+        path = f"{folder.rstrip('/')}/{day:%d-%m-%Y}.csv"
+        (batches.filter(F.col(date_col) == F.lit(day)).drop(date_col, *drop)
+         .write.mode("overwrite").option("header", "true").option("escape", '"').csv(path))
+        paths.append(path)
+    return paths

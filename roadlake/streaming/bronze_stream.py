@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from roadlake.operators.bronze import sanitize_columns
-from roadlake.sources.csv_batches import file_date
+from roadlake.sources.csv_batches import path_date
 
 
 def ingest_available(spark: SparkSession, input_dir: str, columns: Sequence[str], bronze_path: str,
@@ -34,7 +34,7 @@ def ingest_available(spark: SparkSession, input_dir: str, columns: Sequence[str]
             .option("enforceSchema", "false")
             .option("pathGlobFilter", "*.csv")
             .csv(input_dir))
-    rows = rows.withColumn("situation_date", file_date(F.col("_metadata.file_name")))
+    rows = rows.withColumn("situation_date", path_date(F.col("_metadata.file_path")))
     rows = sanitize_columns(rows).filter(F.col("situation_date").isNotNull())
     query = (rows.writeStream.format("parquet")
              .option("checkpointLocation", checkpoint)

@@ -45,6 +45,26 @@ def test_batches_union_by_name_and_reject_other_columns(spark, tmp_path):
                                    columns=["ID", "Humidity(%)"]).collect()
 
 
+def test_feeder_reads_spark_written_batch_folders(spark, sf_small, tmp_path):
+    b = split.ordered_split(Q.raw(spark, sf_small), ["seq"], 3, "2025-01-01")
+    src = str(tmp_path / "data")
+    headers = [CSV_HEADERS.get(n, n) for n in b.columns]
+    paths = csv_batches.write_daily_batches(b.drop("seq").toDF(*[h for h in headers if h != "seq"]), src)
+    assert [p.rsplit("/", 1)[1] for p in paths] == ["01-01-2025.csv", "02-01-2025.csv", "03-01-2025.csv"]
+    (tmp_path / "data" / "notes.csv").write_text("x\n1\n")
+    names = sorted(r.file_name for r in csv_batches.list_csv_files(spark, src).collect())
+    assert names == ["01-01-2025.csv", "02-01-2025.csv", "03-01-2025.csv", "notes.csv"]
+    rep = pipeline.run_feeder(spark, src, str(tmp_path / "bronze"), 2025, 1)
+    assert rep.written_days == ["2025-01-01", "2025-01-02", "2025-01-03"]
+    last = store.read_bronze(spark, str(tmp_path / "bronze"), "2025-01-03")
+    assert last.count() == 1000 and "Temperature_F_" in last.columns
+    assert silver.conform_accidents(last).count() == 546
+    # one scan of several batch folders dates each row from its folder
+    both = csv_batches.read_csv_batch(spark, paths[:2], with_file_date=True)
+    days = {str(r.situation_date): r.n for r in both.groupBy("situation_date").agg(F.count("*").alias("n")).collect()}
+    assert days == {"2025-01-01": 333, "2025-01-02": 333}
+
+
 def test_discovery_from_folder(spark, tmp_path):
     for name in ["03-01-2025.csv", "01-01-2025.csv", "02-01-2025.csv", "04-01-2025.csv",
                  "15-02-2025.csv", "notes.csv", "1-1-2025.csv", "31-01-2024.csv"]:
