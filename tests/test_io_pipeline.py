@@ -1,7 +1,6 @@
 """Sources, sinks and the end-to-end jobs, on temporary folders."""
 
 import datetime as dt
-import os
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -76,31 +75,26 @@ def test_discovery_from_folder(spark, tmp_path):
 
 
 def _write_daily_csvs(spark, sf_dir, folder):
-    """Three dated CSV exports of the small adapter feed, with raw-style headers."""
-    b = split.ordered_split(Q.raw(spark, sf_dir), ["seq"], 3, "2025-01-01")
-    pdf = b.toPandas()  # 1,000 rows: a test fixture
-    os.makedirs(folder, exist_ok=True)
-    for day, part in pdf.groupby("situation_date"):
-        name = f"{day:%d-%m-%Y}.csv"
-        cols = [c for c in Q.raw(spark, sf_dir).columns if c != "seq"]
-        part.sort_values("seq")[cols].rename(columns=CSV_HEADERS).to_csv(os.path.join(folder, name), index=False)
-    return pdf
+    """Three dated CSV batch folders of the small adapter feed, with raw-style headers."""
+    b = split.ordered_split(Q.raw(spark, sf_dir), ["seq"], 3, "2025-01-01").drop("seq")
+    csv_batches.write_daily_batches(b.toDF(*[CSV_HEADERS.get(n, n) for n in b.columns]), folder)
+    return b
 
 
 def test_end_to_end_pipeline(spark, sf_small, tmp_path):
     src = str(tmp_path / "data")
-    pdf = _write_daily_csvs(spark, sf_small, src)
+    fed = _write_daily_csvs(spark, sf_small, src)
     bronze_path = str(tmp_path / "bronze")
     rep = pipeline.run_feeder(spark, src, bronze_path, 2025, 1)
     assert rep.files == ["01-01-2025.csv", "02-01-2025.csv", "03-01-2025.csv"]
     days = {str(r.bronze_date): r.n for r in store.read_bronze(spark, bronze_path)
             .groupBy("bronze_date").agg(F.count("*").alias("n")).collect()}
-    assert days == {"2025-01-01": 333, "2025-01-02": 333, "2025-01-03": len(pdf)}
+    assert days == {"2025-01-01": 333, "2025-01-02": 333, "2025-01-03": fed.count()}
     assert "Temperature_F_" in store.read_bronze(spark, bronze_path).columns
     # rerun: loaded days are skipped, the last day is rewritten, nothing doubles
     rep2 = pipeline.run_feeder(spark, src, bronze_path, 2025, 1)
     assert rep2.written_days == ["2025-01-03"]
-    assert store.read_bronze(spark, bronze_path).count() == 333 + 333 + len(pdf)
+    assert store.read_bronze(spark, bronze_path).count() == 333 + 333 + 1000
 
     schema = "silver_e2e"
     pipeline.run_silver(spark, bronze_path, str(tmp_path / "silver"), schema=schema)
