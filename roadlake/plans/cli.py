@@ -21,7 +21,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from roadlake.operators import profile
-from roadlake.plans import pipeline
+from roadlake.plans import jobs
 
 
 def _props(pairs):
@@ -70,29 +70,29 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     args = build_parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"roadlake-{args.command}").getOrCreate()
     if args.command == "feeder":
-        rep = pipeline.run_feeder(spark, args.input, args.bronze, args.year, args.month, args.batches,
-                                  multi_line=args.multi_line)
+        rep = jobs.run_feeder(spark, args.input, args.bronze, args.year, args.month, args.batches,
+                              multi_line=args.multi_line)
         result = {"files": rep.files, "written_days": rep.written_days}
     elif args.command == "silver":
-        result = pipeline.run_silver(spark, args.bronze, args.silver, args.schema, args.day)
+        result = jobs.run_silver(spark, args.bronze, args.silver, args.schema, args.day)
     elif args.command == "gold":
-        snap = pipeline.silver_snapshot(spark, args.schema, args.day)
-        rep = pipeline.build_gold(snap["accidents"], args.gold, args.jdbc_url, _props(args.jdbc_prop),
-                                  args.jdbc_mode)
+        snap = jobs.silver_snapshot(spark, args.schema, args.day)
+        rep = jobs.build_gold(snap["accidents"], args.gold, args.jdbc_url, _props(args.jdbc_prop),
+                              args.jdbc_mode)
         result = rep.paths
     elif args.command == "kpis":
         result = {}
-        for name, df in pipeline.kpis(spark, args.gold).items():
+        for name, df in jobs.kpis(spark, args.gold).items():
             rows = [r.asDict() for r in df.collect()]  # KPI answers: at most 24 rows each
             result[name] = rows
     elif args.command == "train":
-        snap = pipeline.silver_snapshot(spark, args.schema, args.day)
-        rep = pipeline.run_training(snap["accidents"], snap["weather"], snap["road_features"], args.model)
+        snap = jobs.silver_snapshot(spark, args.schema, args.day)
+        rep = jobs.run_training(snap["accidents"], snap["weather"], snap["road_features"], args.model)
         result = {"accuracy": rep.accuracy, "n_train": rep.n_train, "n_test": rep.n_test,
                   "features": rep.features, "model": rep.model_path}
     else:  # explore
         from roadlake.sources.catalog import table_listing
-        snap = pipeline.silver_snapshot(spark, args.schema, args.day)
+        snap = jobs.silver_snapshot(spark, args.schema, args.day)
         result = {
             "tables": [r.tableName for r in table_listing(spark, args.schema).collect()],
             "profile": [r.asDict() for r in profile.schema_profile(snap).collect()],

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadlake.operators import features, gold, model
-from roadlake.plans import pipeline
+from roadlake.plans import jobs
 from roadlake.plans import queries as Q
 
 
@@ -39,7 +39,7 @@ def test_weighted_mean_equals_silver_mean(spark, sf_small):
 def test_gold_build_isolates_failures_and_raises_at_end(spark, sf_small, tmp_path):
     acc = Q.accidents(spark, sf_small)
     with pytest.raises(RuntimeError) as err:
-        pipeline.build_gold(acc, str(tmp_path / "gold"), jdbc_url="jdbc:roadlake-nowhere:db")
+        jobs.build_gold(acc, str(tmp_path / "gold"), jdbc_url="jdbc:roadlake-nowhere:db")
     # every mart still reached parquet; each export failure is listed
     for name in ("accidents_by_region", "accidents_by_hour_severity", "accidents_by_weather"):
         assert spark.read.parquet(str(tmp_path / "gold" / name)).count() > 0

@@ -7,7 +7,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from roadlake.operators import features, kpi, silver, split
-from roadlake.plans import pipeline
+from roadlake.plans import jobs
 from roadlake.plans import queries as Q
 from roadlake.sources import catalog, csv_batches, sinks, store
 from roadlake.streaming.bronze_stream import ingest_available
@@ -53,7 +53,7 @@ def test_feeder_reads_spark_written_batch_folders(spark, sf_small, tmp_path):
     (tmp_path / "data" / "notes.csv").write_text("x\n1\n")
     names = sorted(r.file_name for r in csv_batches.list_csv_files(spark, src).collect())
     assert names == ["01-01-2025.csv", "02-01-2025.csv", "03-01-2025.csv", "notes.csv"]
-    rep = pipeline.run_feeder(spark, src, str(tmp_path / "bronze"), 2025, 1)
+    rep = jobs.run_feeder(spark, src, str(tmp_path / "bronze"), 2025, 1)
     assert rep.written_days == ["2025-01-01", "2025-01-02", "2025-01-03"]
     last = store.read_bronze(spark, str(tmp_path / "bronze"), "2025-01-03")
     assert last.count() == 1000 and "Temperature_F_" in last.columns
@@ -81,40 +81,40 @@ def _write_daily_csvs(spark, sf_dir, folder):
     return b
 
 
-def test_end_to_end_pipeline(spark, sf_small, tmp_path):
+def test_end_to_end_jobs(spark, sf_small, tmp_path):
     src = str(tmp_path / "data")
     fed = _write_daily_csvs(spark, sf_small, src)
     bronze_path = str(tmp_path / "bronze")
-    rep = pipeline.run_feeder(spark, src, bronze_path, 2025, 1)
+    rep = jobs.run_feeder(spark, src, bronze_path, 2025, 1)
     assert rep.files == ["01-01-2025.csv", "02-01-2025.csv", "03-01-2025.csv"]
     days = {str(r.bronze_date): r.n for r in store.read_bronze(spark, bronze_path)
             .groupBy("bronze_date").agg(F.count("*").alias("n")).collect()}
     assert days == {"2025-01-01": 333, "2025-01-02": 333, "2025-01-03": fed.count()}
     assert "Temperature_F_" in store.read_bronze(spark, bronze_path).columns
     # rerun: loaded days are skipped, the last day is rewritten, nothing doubles
-    rep2 = pipeline.run_feeder(spark, src, bronze_path, 2025, 1)
+    rep2 = jobs.run_feeder(spark, src, bronze_path, 2025, 1)
     assert rep2.written_days == ["2025-01-03"]
     assert store.read_bronze(spark, bronze_path).count() == 333 + 333 + 1000
 
     schema = "silver_e2e"
-    pipeline.run_silver(spark, bronze_path, str(tmp_path / "silver"), schema=schema)
+    jobs.run_silver(spark, bronze_path, str(tmp_path / "silver"), schema=schema)
     assert sorted(r.tableName for r in catalog.table_listing(spark, schema).collect()) == [
         "accidents", "road_features", "weather"]
-    assert pipeline.latest_day(spark, f"{schema}.accidents") == "2025-01-03"
-    snap = pipeline.silver_snapshot(spark, schema)
+    assert jobs.latest_day(spark, f"{schema}.accidents") == "2025-01-03"
+    snap = jobs.silver_snapshot(spark, schema)
     expected_acc = silver.conform_accidents(store.read_bronze(spark, bronze_path, "2025-01-03"))
     assert snap["accidents"].count() == expected_acc.count() == 546
     assert sorted(snap["accidents"].columns) == sorted(expected_acc.columns)
 
     gold_root = str(tmp_path / "gold")
-    pipeline.build_gold(snap["accidents"], gold_root)
-    out = pipeline.kpis(spark, gold_root)
+    jobs.build_gold(snap["accidents"], gold_root)
+    out = jobs.kpis(spark, gold_root)
     want = Q.registry()["kpi_top_regions"](spark, sf_small).collect()
     assert out["top_regions"].collect() == want
     assert out["global"].collect()[0].total_accidents == 546
 
     model_path = str(tmp_path / "model")
-    tr = pipeline.run_training(snap["accidents"], snap["weather"], snap["road_features"], model_path)
+    tr = jobs.run_training(snap["accidents"], snap["weather"], snap["road_features"], model_path)
     assert 0.0 <= tr.accuracy <= 1.0 and tr.n_train > tr.n_test > 0
     loaded = PipelineModel.load(model_path)
     joined = features.join_silver(snap["accidents"], snap["weather"], snap["road_features"])
