@@ -5,9 +5,10 @@ One incident per ``events`` row, placed through ``customer`` -> ``nation`` ->
 out-of-domain severity, ...) are the fixture definition in FIXTURES.md; every
 row of ``events`` is kept.  ``seq`` is the stable order key of the raw feed.
 
-Scale: ``customer`` grows with the data, so it is joined by key (sort-merge,
-AQE splits a hot ``user_id``); ``nation``/``region`` are fixed-size
-dimensions that Spark's own size check broadcasts.
+Scale: ``events`` joins ``customer`` by key first (sort-merge when both are
+large, AQE splits a hot ``user_id``; at small scale Spark broadcasts the
+smaller side); ``nation`` and ``region`` are fixed-size dimensions that
+Spark's own size check broadcasts into that stream.
 """
 
 from __future__ import annotations
@@ -43,11 +44,10 @@ def incident_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_nationkey", "n_name", "n_regionkey")
     region = spark.read.parquet(sf_table(sf_dir, "region")).select("r_regionkey", "r_name")
 
-    place = (customer
-             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-             .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-             .select("c_custkey", "c_mktsegment", "n_name", "r_name"))
-    ev = events.join(place, F.col("user_id") == F.col("c_custkey"))
+    ev = (events
+          .join(customer, F.col("user_id") == F.col("c_custkey"))
+          .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+          .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
 
     eid = F.col("event_id")
     ts = F.col("ts")  # timestamp_ntz: wall-clock text, no session time zone involved
