@@ -58,3 +58,14 @@ def test_no_feature_column_stops_training(spark):
     bare = spark.createDataFrame([("A", "2")], "ID string, Severity string")
     with pytest.raises(ValueError):
         model.train_model(bare)
+
+
+def test_model_keys_are_deterministic_and_whole(spark, sf_small):
+    q = Q.registry()
+    first = [tuple(r) for r in q["rf_accuracy"](spark, sf_small).collect()]
+    again = [tuple(r) for r in q["rf_accuracy"](spark, sf_small).collect()]
+    assert first == again and 0.0 <= first[0][0] <= 1.0
+    parts = {r.part: r.n_rows for r in q["split_counts"](spark, sf_small).collect()}
+    assert sum(parts.values()) == q["feature_vector"](spark, sf_small).count() == 386
+    per_label = q["rf_predictions"](spark, sf_small).collect()
+    assert sum(r.n for r in per_label) == parts["test"] == first[0][1]
