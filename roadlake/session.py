@@ -40,9 +40,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     Read from the session; only when nothing is configured (a bare local
-    session, as in tests) is a private folder set.
+    session, as in tests) is a private folder set.  On a Spark Connect
+    session (no ``sparkContext``) the server's ``spark.checkpoint.dir`` is used.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get(_CHECKPOINT_KEY, None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -72,6 +76,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     a lost executor never see a half-written sibling.
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
+    if not base:
+        raise RuntimeError("no shared folder: set spark.checkpoint.dir on the cluster")
     return f"{base}/roadlake/{name}-{uuid.uuid4().hex[:12]}"
 
 
