@@ -139,8 +139,9 @@ def q_parquet_roundtrip(spark, sf_dir):
 
 
 def _fresh_schema(spark, prefix: str) -> str:
+    """A new schema whose folder lives under the shared scratch location."""
     name = f"{prefix}_{uuid.uuid4().hex[:10]}"
-    catalog.reset_schema(spark, name, [])
+    catalog.reset_schema(spark, name, [], location=scratch_path(spark, name))
     return name
 
 
