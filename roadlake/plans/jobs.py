@@ -16,6 +16,7 @@ run rewrites the same partitions instead of appending duplicates.
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -84,22 +85,53 @@ def conform_all(bronze_rows: DataFrame, group_cols=(store.BRONZE_PARTITION,)) ->
     }
 
 
+def write_day_table(df: DataFrame, table: str, path: str, days, n_buckets: int, key: str = "ID",
+                    partition_col: str = store.BRONZE_PARTITION) -> None:
+    """Write the given days of ``df`` into a day-partitioned table bucketed by ``key``.
+
+    Each day is replaced with ``INSERT OVERWRITE ... PARTITION (day = ...)``,
+    so other days stay as they are and a rerun replaces, never appends.  The
+    rows are hash-partitioned by ``key`` into ``n_buckets`` first, so every
+    task writes one bucket file per day.  Tables bucketed the same way join
+    on ``key`` later without a shuffle.
+    """
+    spark = df.sparkSession
+    fields = [f for f in df.schema.fields if f.name != partition_col]
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    part_type = df.schema[partition_col].dataType.simpleString()
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}, `{partition_col}` {part_type}) USING parquet "
+              f"PARTITIONED BY (`{partition_col}`) CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+              f"INTO {n_buckets} BUCKETS LOCATION '{path}'")
+    try:
+        spark.catalog.recoverPartitions(table)
+    except Exception:  # noqa: BLE001 - the folder does not exist before the first write
+        pass
+    names = ", ".join(f"`{f.name}`" for f in fields)
+    for day in days:
+        view = f"_day_{uuid.uuid4().hex[:10]}"
+        (df.filter(F.col(partition_col) == F.lit(str(day)).cast("date")).drop(partition_col)
+         .repartition(n_buckets, key).createOrReplaceTempView(view))
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (`{partition_col}` = DATE '{day}') "
+                  f"SELECT {names} FROM {view}")
+        spark.catalog.dropTempView(view)
+
+
 def run_silver(spark: SparkSession, bronze_path: str, silver_root: str, schema: str = "silver",
-               day: str | None = None) -> dict[str, str]:
-    """Conform Bronze (all days, or one) into Silver parquet tables partitioned by Bronze day.
+               day: str | None = None, n_buckets: int | None = None) -> dict[str, str]:
+    """Conform Bronze (all days, or one) into Silver tables partitioned by Bronze day.
 
-    Tables are registered in ``schema`` and rewritten day by day, never
-    appended twice.  Returns table -> path.
+    The three tables are registered in ``schema``, bucketed by ``ID`` into the
+    same number of buckets (default: the session's shuffle partitions), and
+    rewritten day by day, never appended twice.  Returns table -> path.
     """
+    n_buckets = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    days = [day] if day else sorted(str(d) for d in _existing_days(spark, bronze_path))
     rows = store.read_bronze(spark, bronze_path, day)
     catalog.reset_schema(spark, schema, [])
     paths = {}
     for name, df in conform_all(rows).items():
         path = f"{silver_root.rstrip('/')}/{name}"
-        store.write_bronze(df, path)  # same day-partitioned, dynamic-overwrite layout
-        spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")
-        spark.catalog.createTable(f"{schema}.{name}", path=path, source="parquet")
-        spark.catalog.recoverPartitions(f"{schema}.{name}")
+        write_day_table(df, f"`{schema}`.`{name}`", path, days, n_buckets)
         paths[name] = path
     return paths
 

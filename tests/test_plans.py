@@ -76,3 +76,25 @@ def test_dedup_with_a_hot_key_holding_a_third_of_rows(spark):
     out = silver.conform_road(df)
     assert out.count() == 2000 + 1
     assert out.filter(F.col("ID") == "HOT").count() == 1
+
+
+def test_stored_silver_tables_join_without_shuffle(spark, sf_small, tmp_path, capsys, no_broadcast):
+    from roadlake.plans import jobs
+    from roadlake.plans import queries as Q
+
+    bronze = store.write_bronze(Q.cumulative(spark, sf_small), str(tmp_path / "bronze"))
+    jobs.run_silver(spark, bronze, str(tmp_path / "silver"), schema="plan_s", n_buckets=4)
+    snap = jobs.silver_snapshot(spark, "plan_s")
+    joined = features.join_silver(snap["accidents"], snap["weather"], snap["road_features"])
+    tree = plan_of(joined, capsys).split("\n\n")[0]
+    assert tree.count("SortMergeJoin LeftOuter") == 2
+    assert "Exchange" not in tree  # co-located buckets: no shuffle for the ID joins
+    assert joined.count() == 546
+
+    # rewriting one day replaces just that day
+    before = {str(r.bronze_date): r.n for r in spark.table("plan_s.accidents")
+              .groupBy("bronze_date").agg(F.count("*").alias("n")).collect()}
+    jobs.run_silver(spark, bronze, str(tmp_path / "silver"), schema="plan_s", day="2025-01-02", n_buckets=4)
+    after = {str(r.bronze_date): r.n for r in spark.table("plan_s.accidents")
+             .groupBy("bronze_date").agg(F.count("*").alias("n")).collect()}
+    assert after == before and set(before) == {"2025-01-01", "2025-01-02", "2025-01-03"}
