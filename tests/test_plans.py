@@ -98,3 +98,12 @@ def test_stored_silver_tables_join_without_shuffle(spark, sf_small, tmp_path, ca
     after = {str(r.bronze_date): r.n for r in spark.table("plan_s.accidents")
              .groupBy("bronze_date").agg(F.count("*").alias("n")).collect()}
     assert after == before and set(before) == {"2025-01-01", "2025-01-02", "2025-01-03"}
+
+
+def test_day_write_reads_only_that_bronze_day(spark, bronze_path, capsys):
+    from roadlake.plans import jobs
+
+    day = jobs.conform_all(store.read_bronze(spark, bronze_path))["weather"].filter(
+        F.col("bronze_date") == F.lit("2025-01-03").cast("date"))
+    plan = plan_of(day, capsys)
+    assert "PartitionFilters: [isnotnull(bronze_date" in plan and "= 2025-01-03)" in plan
