@@ -33,6 +33,7 @@ def ingest_available(spark: SparkSession, input_dir: str, columns: Sequence[str]
             .option("header", "true").option("escape", '"').option("multiLine", str(multi_line).lower())
             .option("enforceSchema", "false")
             .option("pathGlobFilter", "*.csv")
+            .option("recursiveFileLookup", "true")  # daily batches may be folders of parts
             .csv(input_dir))
     rows = rows.withColumn("situation_date", path_date(F.col("_metadata.file_path")))
     rows = sanitize_columns(rows).filter(F.col("situation_date").isNotNull())

@@ -182,6 +182,13 @@ def test_streaming_ingest_sees_each_file_once(spark, tmp_path):
     assert "Temperature_F_" in df.columns
     per_day = {str(r.situation_date): r.n for r in df.groupBy("situation_date").agg(F.count("*").alias("n")).collect()}
     assert per_day == {"2025-01-01": 2, "2025-01-02": 1, "2025-01-03": 2}
+    # a daily batch written by Spark as a folder of parts is picked up too
+    part = spark.createDataFrame([("F", "6"), ("G", "7"), ("H", "8")], "ID string, `Temperature(F)` string")
+    part.repartition(2).write.option("header", "true").csv(str(src / "04-01-2025.csv"))
+    ingest_available(spark, str(src), cols, out, ck)
+    per_day = {str(r.situation_date): r.n for r in spark.read.parquet(out)
+               .groupBy("situation_date").agg(F.count("*").alias("n")).collect()}
+    assert per_day == {"2025-01-01": 2, "2025-01-02": 1, "2025-01-03": 2, "2025-01-04": 3}
 
 
 def test_kpi_helpers_on_marts(spark):
