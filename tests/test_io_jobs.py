@@ -216,3 +216,18 @@ def test_command_line_runs_every_job(spark, sf_small, tmp_path, capsys):
     assert sorted(e["tables"]) == ["accidents", "road_features", "weather"]
     assert all(len(v) == 5 for v in e["samples"].values())
     capsys.readouterr()
+
+
+def test_feeder_with_no_or_few_batch_files(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "notes.csv").write_text("ID\nA\n")
+    empty = jobs.run_feeder(spark, str(src), str(tmp_path / "b0"), 2025, 1)
+    assert empty.files == [] and empty.written_days == []
+    (src / "05-01-2025.csv").write_text("ID,Temperature(F)\nA,1\nB,2\n")
+    (src / "07-01-2025.csv").write_text("ID,Temperature(F)\nC,3\n")
+    rep = jobs.run_feeder(spark, str(src), str(tmp_path / "b1"), 2025, 1)
+    assert rep.files == ["05-01-2025.csv", "07-01-2025.csv"]
+    days = {str(r.bronze_date): r.n for r in store.read_bronze(spark, str(tmp_path / "b1"))
+            .groupBy("bronze_date").agg(F.count("*").alias("n")).collect()}
+    assert days == {"2025-01-05": 2, "2025-01-07": 3}  # the last day holds every batch
