@@ -102,5 +102,11 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     return result
 
 
-if __name__ == "__main__":
+def run() -> int:
+    """Console-script entry: exit status 0 on success (errors raise)."""
     main(sys.argv[1:])
+    return 0
+
+
+if __name__ == "__main__":
+    sys.exit(run())
