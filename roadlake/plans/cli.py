@@ -6,6 +6,7 @@
     python -m roadlake.plans.cli kpis    --gold lake/gold
     python -m roadlake.plans.cli train   --schema silver --model lake/model
     python -m roadlake.plans.cli explore --schema silver
+    python -m roadlake.plans.cli ingest  --input data --bronze lake/bronze-stream --checkpoint lake/ck
 
 The session comes from ``SparkSession.builder.getOrCreate()`` (master, memory
 and the rest from ``spark-submit``); it is not stopped here.  JDBC options
@@ -63,9 +64,25 @@ def build_parser() -> argparse.ArgumentParser:
     e = sub.add_parser("explore", help="tables, columns, NULL counts and samples of Silver")
     e.add_argument("--schema", default="silver")
     e.add_argument("--day")
+    i = sub.add_parser("ingest", help="stream every new daily CSV batch into Bronze, then stop")
+    i.add_argument("--input", required=True)
+    i.add_argument("--bronze", required=True)
+    i.add_argument("--checkpoint", required=True)
+    i.add_argument("--columns", help="raw header, comma separated (default: read from one batch)")
+    i.add_argument("--multi-line", action="store_true", help="quoted cells may hold line breaks")
     return ap
 
 
+def _raw_header(spark: SparkSession, folder: str) -> list[str]:
+    """Header of one daily batch (reads one file's first line)."""
+    from roadlake.sources.csv_batches import list_csv_files
+
+    first = list_csv_files(spark, folder).orderBy("file_name").first()
+    if first is None:
+        raise ValueError(f"no CSV batch under {folder}")
+    return spark.read.option("header", "true").csv(f"{folder.rstrip('/')}/{first.file_name}").columns
+
+
 def main(argv=None, spark: SparkSession | None = None) -> dict:
     args = build_parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"roadlake-{args.command}").getOrCreate()
@@ -90,6 +107,12 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
         rep = jobs.run_training(snap["accidents"], snap["weather"], snap["road_features"], args.model)
         result = {"accuracy": rep.accuracy, "n_train": rep.n_train, "n_test": rep.n_test,
                   "features": rep.features, "model": rep.model_path}
+    elif args.command == "ingest":
+        from roadlake.streaming.bronze_stream import ingest_available
+        cols = args.columns.split(",") if args.columns else _raw_header(spark, args.input)
+        q = ingest_available(spark, args.input, cols, args.bronze, args.checkpoint, multi_line=args.multi_line)
+        progress = q.lastProgress or {}
+        result = {"columns": cols, "rows": progress.get("numInputRows"), "batch": progress.get("batchId")}
     else:  # explore
         from roadlake.sources.catalog import table_listing
         snap = jobs.silver_snapshot(spark, args.schema, args.day)

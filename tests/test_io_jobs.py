@@ -231,3 +231,19 @@ def test_feeder_with_no_or_few_batch_files(spark, tmp_path):
     days = {str(r.bronze_date): r.n for r in store.read_bronze(spark, str(tmp_path / "b1"))
             .groupBy("bronze_date").agg(F.count("*").alias("n")).collect()}
     assert days == {"2025-01-05": 2, "2025-01-07": 3}  # the last day holds every batch
+
+
+def test_command_line_ingest_stream(spark, tmp_path, capsys):
+    from roadlake.plans import cli
+
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "01-01-2025.csv").write_text("ID,Humidity(%)\nA,1\nB,2\n")
+    args = ["ingest", "--input", str(src), "--bronze", str(tmp_path / "bs"), "--checkpoint", str(tmp_path / "ck")]
+    r = cli.main(args, spark)
+    assert r["columns"] == ["ID", "Humidity(%)"]
+    (src / "02-01-2025.csv").write_text("ID,Humidity(%)\nC,3\n")
+    cli.main(args, spark)
+    df = spark.read.parquet(str(tmp_path / "bs"))
+    assert df.count() == 3 and "Humidity_pct_" in df.columns
+    capsys.readouterr()
