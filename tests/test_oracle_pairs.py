@@ -7,9 +7,11 @@ import pytest
 
 import __spark_entry__ as E
 from check_oracle import TABLES, _rows
+from roadlake.plans.oracle import oracle_queries
+from roadlake.plans.queries import registry
 
-SQL = E.oracle_sql()
-KEYS = sorted(E.queries())
+SQL = oracle_queries()
+KEYS = sorted(registry())
 
 
 @pytest.fixture(scope="module")
