@@ -6,19 +6,59 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlake.llm import decontamination, packing, simhash, token_counts
+from roadlake.llm import (
+    decontamination,
+    embedding_dedup,
+    licenses,
+    lm_scoring,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    substring_dedup,
+    token_counts,
+)
 from roadlake.llm.common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"), texts=False)
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.selectExpr("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "n_hit > 0 AS contaminated")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate, its place and judgement; the value itself only as a hash."""
+    found = secrets.judged(table(spark, sf_dir, "documents"))
+    return found.selectExpr(
+        "doc_id", "place", "start", "end", "kind", "sha2(value, 256) AS value_sha256", "score", "is_secret"
+    )
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("places")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -31,8 +71,14 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
+            op1_substring_dedup,
+            op2_quality,
             op3_decontamination,
+            op4_secret_scan,
+            op5_lm_scoring,
+            op6_embedding_dedup,
             op7_packing,
+            op8_license_scan,
             op9_token_counts,
             op10_simhash,
         )
