@@ -1,0 +1,78 @@
+"""DuckDB SQL of the operators that SQL can express."""
+
+from __future__ import annotations
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+SUBSTRING_DEDUP = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM places),
+owners AS (SELECT k, min(doc_id) AS owner FROM windows GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j
+  FROM windows JOIN owners USING (k) WHERE owner < doc_id
+),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS kept FROM words ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id
+),
+removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+"""
+
+DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(10, len(w)) AS size FROM b WHERE len(w) > 0),
+starts AS (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM sized),
+patterns AS (SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS k FROM starts),
+sizes AS (SELECT DISTINCT size FROM patterns),
+places AS (
+  SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d JOIN sizes ON len(w) >= size
+),
+hits AS (
+  SELECT doc_id, i, size, item_id
+  FROM (SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS k FROM places) JOIN patterns USING (size, k)
+),
+covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS j FROM hits),
+words AS (SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id),
+items AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS ids FROM hits GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+EMBEDDING_DEDUP = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+),
+good AS (
+  SELECT vec_id, e FROM v
+  WHERE len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN e IF x <> 0]) > 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+),
+reach(vec_id, c) AS (
+  SELECT vec_id, vec_id FROM v
+  UNION
+  SELECT links.b, reach.c FROM reach JOIN links ON links.a = reach.vec_id
+),
+component AS (SELECT vec_id, min(c) AS component_id FROM reach GROUP BY vec_id),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM component LEFT JOIN counted USING (vec_id)
+"""
+
+SQL = {
+    "op1_substring_dedup": SUBSTRING_DEDUP,
+    "op3_decontamination": DECONTAMINATION,
+    "op6_embedding_dedup": EMBEDDING_DEDUP,
+}

@@ -11,6 +11,7 @@ from roadlake.llm import (
     embedding_dedup,
     licenses,
     lm_scoring,
+    oracle,
     packing,
     quality,
     secrets,
@@ -86,4 +87,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_queries() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
