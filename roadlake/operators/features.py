@@ -9,15 +9,17 @@ behave as inner joins; that is kept on purpose.
 Scale: the three Silver tables leave the conform step hash-partitioned by
 ``ID`` and unique per ``ID``, so the join chain is sort-merge on co-partitioned
 inputs with no skew.  ``StringIndexer`` fits are distributed counts; only the
-distinct labels (a handful of categories) reach the driver.  The joined frame
-is checkpointed once before the fits, so the join runs once, not per fit.
+distinct labels (a handful of categories) reach the driver.  Before the fits
+the joined frame is cut to what they and the features need (every other column
+shrinks to one flag, whether all of them are there) and stored once as parquet,
+so the join runs once, and each fit reads one column of it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,20 +68,36 @@ def feature_columns(df: DataFrame) -> list[str]:
     return present(df.columns, S.FEATURE_CANDIDATES)
 
 
+def text_measures(df: DataFrame) -> list[str]:
+    """Feature columns that still hold text."""
+    return [f for f in present(df.columns, S.FEATURE_CANDIDATES) if isinstance(df.schema[f].dataType, T.StringType)]
+
+
+def narrow(joined: DataFrame) -> DataFrame:
+    """Key, label, categories and features (measures as double), and ``_whole``: no other column is NULL."""
+    df = add_date_parts(joined)
+    used = [S.KEY, "Severity", *present(df.columns, S.CATEGORY_COLUMNS), *feature_columns(df)]
+    whole = F.lit(True)
+    for n in df.columns:
+        if n not in used:
+            whole = whole & c(n).isNotNull()
+    text = text_measures(df)
+    return df.select(*[(to_double(n) if n in text else c(n)).alias(n) for n in dict.fromkeys(used)],
+                     whole.alias("_whole"))
+
+
 def prepare_features(joined: DataFrame):
-    """(frame with every column, feature names, category models), NULL-free.
+    """(frame of key, Severity, categories and features, feature names, category models), NULL-free.
 
-    The joined frame is materialized once: the indexer fits, the label fit
-    and the assembly all read that copy instead of recomputing the join.
+    The category indexes are fitted on all rows of the stored narrow frame,
+    before rows with a NULL anywhere in the joined frame are dropped.
     """
-    df = materialize(add_date_parts(joined))
+    df = materialize(narrow(joined))
     df, models = index_categories(df)
     features = feature_columns(df)
     if not features:
         raise ValueError("no feature column available for training")
-    text = [f for f in features if isinstance(df.schema[f].dataType, T.StringType)]
-    df = df.withColumns({f: to_double(f) for f in text})
-    df = df.dropna(subset=["Severity"] + features).dropna()
+    df = df.filter("_whole").drop("_whole").dropna()
     return df, features, models
 
 
@@ -92,8 +110,23 @@ def label_indexer(col: str = "Severity", out: str = "label") -> StringIndexer:
     return StringIndexer(inputCol=col, outputCol=out)
 
 
-def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol=out)
+def assembler(features: Sequence[str], out: str = "features", skip: bool = False) -> VectorAssembler:
+    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip" if skip else "error")
+
+
+def preparation(joined: DataFrame) -> list[SQLTransformer]:
+    """Stages that add the calendar columns and cast the measures of a joined Silver frame."""
+    stages = []
+    if "Start_Time" in joined.columns:
+        ts = "try_cast(Start_Time AS timestamp_ntz)"
+        stages.append(SQLTransformer(statement=(
+            f"SELECT *, hour({ts}) AS hour, dayofweek({ts}) AS weekday, month({ts}) AS month FROM __THIS__")))
+    text = text_measures(joined)
+    if text:
+        cast = ", ".join(f"try_cast(`{n}` AS double) AS `{n}`" for n in text)
+        kept = ", ".join(f"`{n}`" for n in text)
+        stages.append(SQLTransformer(statement=f"SELECT * EXCEPT ({kept}), {cast} FROM __THIS__"))
+    return stages
 
 
 def as_array(vector_col: str = "features") -> F.Column:

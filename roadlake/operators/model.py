@@ -3,23 +3,27 @@
 Fixed values: 80/20 split with seed 42; 20 trees, ``maxBins`` 200, other
 forest parameters at their defaults (depth 5, gini, bootstrap).
 
-The category indexers are fitted on all rows (before the split) and the
-forest on the training part; the saved artefact is one ``PipelineModel``
-(indexers, assembler, forest) that scores joined Silver rows directly.
+A row's part is decided by a hash of its ``ID`` and the seed, so it is the same
+at any partitioning.  The category indexers are fitted on all rows (before the
+split) and the forest on the training part; the saved artefact is one
+``PipelineModel`` (calendar columns, casts, indexers, assembler, forest) that
+scores joined Silver rows as they are, Severity not needed; rows with a NULL or
+unknown feature are skipped.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlake.operators.features import assembler, label_indexer, prepare_features
+from roadlake import schema as S
+from roadlake.functions.columns import c
+from roadlake.operators.features import assembler, label_indexer, preparation, prepare_features
 
 # --- fixed values -----------------------------------------------------------
 SPLIT_WEIGHTS = (0.8, 0.2)
@@ -49,9 +53,11 @@ def labelled(joined: DataFrame):
     return out, features, cat_models, lab, vec
 
 
-def split(df: DataFrame, weights=SPLIT_WEIGHTS, seed: int = SEED):
-    train, test = df.randomSplit(list(weights), seed=seed)
-    return train, test
+def split(df: DataFrame, weights=SPLIT_WEIGHTS, seed: int = SEED, key: str = S.KEY):
+    """(train, test): the first 32 bits of the MD5 of ``<key>-<seed>``, as a share of all, against the weights."""
+    bits = F.conv(F.substring(F.md5(F.concat(c(key).cast("string"), F.lit(f"-{seed}"))), 1, 8), 16, 10)
+    training = bits.cast("double") < weights[0] / sum(weights) * 2**32
+    return df.filter(training), df.filter(~training)
 
 
 def forest() -> RandomForestClassifier:
@@ -62,13 +68,12 @@ def forest() -> RandomForestClassifier:
 def train_model(joined: DataFrame) -> Trained:
     """Fit on the joined Silver frame.  Raises ``ValueError`` when nothing is left to learn from."""
     data, features, cat_models, lab, vec = labelled(joined)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = data.select(S.KEY, "label", "features")
     if data.isEmpty():
-        data.unpersist()
         raise ValueError("no training rows left after NULL filtering")
     train, test = split(data)
     rf = forest().fit(train)
-    pipeline = PipelineModel(stages=[*cat_models, lab, vec, rf])
+    pipeline = PipelineModel(stages=[*preparation(joined), *cat_models, assembler(features, skip=True), rf])
     return Trained(pipeline, data, rf, train, test, rf.transform(test), features)
 
 

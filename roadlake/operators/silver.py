@@ -8,8 +8,9 @@ Order of steps is part of the contract and is kept:
 * road:      key -> complete -> project -> flag->int -> dedup -> NULL drop
 
 Dedup keeps, per key, the first row in ``order_cols`` (``seq`` when the feed
-has it, otherwise all other columns), so reruns are identical.  It runs before
-the NULL drop, so a kept row with a NULL removes the key altogether.
+has it, otherwise the row with fewest NULLs, then by all other columns), so
+reruns are identical.  It runs before the NULL drop, so a key is lost only if
+the row kept has a NULL: without ``seq`` that means none of its rows is complete.
 
 Scale: each table costs exactly one shuffle, by ``ID`` (plus any
 ``group_cols``).  ``row_number() = 1`` lets Catalyst plant a partial
@@ -52,11 +53,19 @@ def filter_severity(df: DataFrame, name: str = "Severity") -> DataFrame:
 
 
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] | None = None) -> DataFrame:
-    """One row per key: the first in ``order_cols`` (default: all other columns)."""
+    """One row per key: the first in ``order_cols``.
+
+    Without them, the most complete row (fewest NULLs); among equally complete
+    ones the first by all other columns, NULLs last.
+    """
     keys = list(keys)
     if order_cols is None:
-        order_cols = [n for n in df.columns if n not in keys]
-    w = Window.partitionBy(*[c(k) for k in keys]).orderBy(*[c(o).asc_nulls_first() for o in order_cols])
+        others = [c(n) for n in df.columns if n not in keys]
+        nulls = sum((o.isNull().cast("int") for o in others), F.lit(0))
+        order = [nulls, *[o.asc_nulls_last() for o in others]]
+    else:
+        order = [c(o).asc_nulls_first() for o in order_cols]
+    w = Window.partitionBy(*[c(k) for k in keys]).orderBy(*order)
     return df.withColumn("_first", F.row_number().over(w)).filter(F.col("_first") == 1).drop("_first")
 
 
@@ -64,18 +73,16 @@ def dropna_any(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     return df.dropna(how="any", subset=list(subset) if subset is not None else None)
 
 
-def _default_order(df: DataFrame, out_cols: Sequence[str]) -> list[str]:
-    if "seq" in df.columns:
-        return ["seq"]
-    return [n for n in out_cols if n != S.KEY]
+def _default_order(df: DataFrame) -> list[str] | None:
+    return ["seq"] if "seq" in df.columns else None
 
 
 def _conform(df: DataFrame, out_cols: Sequence[str], shape, order_cols, group_cols) -> DataFrame:
     group_cols = list(group_cols)
     df = filter_key(df)
     df = complete_columns(df, out_cols)
-    order_cols = list(order_cols) if order_cols is not None else _default_order(df, out_cols)
-    carry = [n for n in dict.fromkeys(group_cols + order_cols) if n not in out_cols]
+    order_cols = list(order_cols) if order_cols is not None else _default_order(df)
+    carry = [n for n in dict.fromkeys(group_cols + (order_cols or [])) if n not in out_cols]
     df = df.select(*[c(n) for n in list(out_cols) + carry])
     df = shape(df)
     df = dedup_by_key(df, group_cols + [S.KEY], order_cols)

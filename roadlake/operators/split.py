@@ -10,10 +10,10 @@ the feed is range-partitioned on the order key and sorted inside each
 partition; a row's global position is its partition's offset (a running sum
 over per-partition counts, one small row per partition, broadcast with that
 proven bound) plus its position inside the partition.  The range-partitioned
-frame is checkpointed (reliably, to the shared checkpoint folder) before it is
-counted, so the counts and the positions come from the very same partitions
-even if a task is retried or the exchange would be planned twice; the
-checkpoint also cuts the lineage of the ingest.
+frame is stored once as parquet (in the shared folder) before it is counted,
+so the counts and the positions come from the very same partitions even if a
+task is retried or the exchange would be planned twice; the count reads one
+column of it, and the lineage of the ingest is cut.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlake.functions.columns import c
-from roadlake.session import ensure_checkpoint_dir
+from roadlake.session import materialize
 
 _POS_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -32,7 +32,6 @@ _POS_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33
 def global_position(df: DataFrame, order_cols: Sequence[str], num_partitions: int | None = None,
                     pos_col: str = "_pos", total_col: str = "_total") -> DataFrame:
     """Add the 0-based position of each row in ``order_cols`` order, and the row total."""
-    spark = df.sparkSession
     keys = [c(k) for k in order_cols]
     # Without a fixed count AQE may merge neighbouring ranges after the shuffle;
     # a merged partition is still one contiguous key range, so order holds.
@@ -42,8 +41,7 @@ def global_position(df: DataFrame, order_cols: Sequence[str], num_partitions: in
               .withColumn("_part", F.spark_partition_id())
               .withColumn("_local", F.monotonically_increasing_id()
                           - F.shiftleft(F.col("_part").cast("long"), _POS_BITS)))
-    ensure_checkpoint_dir(spark)
-    ranged = ranged.checkpoint(eager=True)
+    ranged = materialize(ranged)
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = sizes.select(

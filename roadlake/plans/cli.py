@@ -1,13 +1,16 @@
 """Command line for the end-to-end jobs (run with ``spark-submit`` or ``python -m``).
 
-    python -m roadlake.plans.cli feeder  --input data --bronze lake/bronze --year 2025 --month 1
-    python -m roadlake.plans.cli silver  --bronze lake/bronze --silver lake/silver --schema silver
-    python -m roadlake.plans.cli gold    --schema silver --gold lake/gold [--jdbc-url URL --jdbc-prop k=v ...]
-    python -m roadlake.plans.cli kpis    --gold lake/gold
-    python -m roadlake.plans.cli train   --schema silver --model lake/model
-    python -m roadlake.plans.cli explore --schema silver
-    python -m roadlake.plans.cli ingest  --input data --bronze lake/bronze-stream --checkpoint lake/ck
-
+    python -m roadlake.plans.cli split    --input export.csv --output data --start-date 2025-01-01
+    python -m roadlake.plans.cli feeder   --input data --bronze lake/bronze --year 2025 --month 1
+    python -m roadlake.plans.cli silver   --bronze lake/bronze --silver lake/silver
+    python -m roadlake.plans.cli snapshot --silver lake/silver --output lake/silver-copy
+    python -m roadlake.plans.cli gold     --silver lake/silver --gold lake/gold [--jdbc-url URL --jdbc-prop k=v ...]
+    python -m roadlake.plans.cli kpis     --gold lake/gold
+    python -m roadlake.plans.cli train    --silver lake/silver --model lake/model
+    python -m roadlake.plans.cli explore  --silver lake/silver
+    python -m roadlake.plans.cli ingest   --input data --bronze lake/bronze-stream --checkpoint lake/ck
+
+Every command may be a process of its own: Silver and Gold are found by folder.
 The session comes from ``SparkSession.builder.getOrCreate()`` (master, memory
 and the rest from ``spark-submit``); it is not stopped here.  JDBC options
 come only from the command line.
@@ -20,9 +23,11 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from roadlake.operators import profile
 from roadlake.plans import jobs
+from roadlake.session import drop_scratch
 
 
 def _props(pairs):
@@ -33,23 +38,39 @@ def _props(pairs):
     return out
 
 
+def _line_option(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--single-line", action="store_true",
+                   help="no cell holds a line break: read large files by many tasks, fail if one does")
+
+
 def build_parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="roadlake")
     sub = ap.add_subparsers(dest="command", required=True)
+    p = sub.add_parser("split", help="one CSV, in file order -> dated daily batches")
+    p.add_argument("--input", required=True)
+    p.add_argument("--output", required=True)
+    p.add_argument("--batches", type=int, default=3)
+    p.add_argument("--start-date", default="2025-01-01")
+    _line_option(p)
     f = sub.add_parser("feeder", help="daily CSV files -> Bronze")
     f.add_argument("--input", required=True)
     f.add_argument("--bronze", required=True)
     f.add_argument("--year", type=int, required=True)
     f.add_argument("--month", type=int, required=True)
     f.add_argument("--batches", type=int, default=3)
-    f.add_argument("--multi-line", action="store_true", help="quoted cells may hold line breaks")
+    f.add_argument("--allow-empty", action="store_true", help="no batch of the month is no error")
+    _line_option(f)
     s = sub.add_parser("silver", help="Bronze -> Silver tables")
     s.add_argument("--bronze", required=True)
     s.add_argument("--silver", required=True)
     s.add_argument("--schema", default="silver")
     s.add_argument("--day")
+    n = sub.add_parser("snapshot", help="one day of Silver -> plain parquet copies")
+    n.add_argument("--silver", required=True)
+    n.add_argument("--output", required=True)
+    n.add_argument("--day")
     g = sub.add_parser("gold", help="Silver -> Gold marts (+ JDBC export)")
-    g.add_argument("--schema", default="silver")
+    g.add_argument("--silver", required=True)
     g.add_argument("--gold", required=True)
     g.add_argument("--day")
     g.add_argument("--jdbc-url")
@@ -58,42 +79,48 @@ def build_parser() -> argparse.ArgumentParser:
     k = sub.add_parser("kpis", help="print the KPI answers")
     k.add_argument("--gold", required=True)
     t = sub.add_parser("train", help="fit and save the severity model")
-    t.add_argument("--schema", default="silver")
+    t.add_argument("--silver", required=True)
     t.add_argument("--model", required=True)
     t.add_argument("--day")
     e = sub.add_parser("explore", help="tables, columns, NULL counts and samples of Silver")
-    e.add_argument("--schema", default="silver")
+    e.add_argument("--silver", required=True)
     e.add_argument("--day")
     i = sub.add_parser("ingest", help="stream every new daily CSV batch into Bronze, then stop")
     i.add_argument("--input", required=True)
     i.add_argument("--bronze", required=True)
     i.add_argument("--checkpoint", required=True)
     i.add_argument("--columns", help="raw header, comma separated (default: read from one batch)")
-    i.add_argument("--multi-line", action="store_true", help="quoted cells may hold line breaks")
+    _line_option(i)
     return ap
 
 
 def _raw_header(spark: SparkSession, folder: str) -> list[str]:
-    """Header of one daily batch (reads one file's first line)."""
-    from roadlake.sources.csv_batches import list_csv_files
+    """Header of one dated daily batch (reads one file's first line)."""
+    from roadlake.sources.csv_batches import file_date, list_csv_files
 
-    first = list_csv_files(spark, folder).orderBy("file_name").first()
+    dated = list_csv_files(spark, folder).filter(file_date(F.col("file_name")).isNotNull())
+    first = dated.orderBy("file_name", "path").first()
     if first is None:
-        raise ValueError(f"no CSV batch under {folder}")
-    return spark.read.option("header", "true").csv(f"{folder.rstrip('/')}/{first.file_name}").columns
+        raise ValueError(f"no daily CSV batch under {folder}")
+    return spark.read.option("header", "true").csv(first.path).columns
 
 
 def main(argv=None, spark: SparkSession | None = None) -> dict:
     args = build_parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"roadlake-{args.command}").getOrCreate()
-    if args.command == "feeder":
+    if args.command == "split":
+        result = {"batches": jobs.run_split(spark, args.input, args.output, args.batches, args.start_date,
+                                            multi_line=not args.single_line)}
+    elif args.command == "feeder":
         rep = jobs.run_feeder(spark, args.input, args.bronze, args.year, args.month, args.batches,
-                              multi_line=args.multi_line)
+                              multi_line=not args.single_line, allow_empty=args.allow_empty)
         result = {"files": rep.files, "written_days": rep.written_days}
     elif args.command == "silver":
         result = jobs.run_silver(spark, args.bronze, args.silver, args.schema, args.day)
+    elif args.command == "snapshot":
+        result = jobs.run_snapshot(spark, args.silver, args.output, args.day)
     elif args.command == "gold":
-        snap = jobs.silver_snapshot(spark, args.schema, args.day)
+        snap = jobs.silver_snapshot(spark, args.silver, args.day)
         rep = jobs.build_gold(snap["accidents"], args.gold, args.jdbc_url, _props(args.jdbc_prop),
                               args.jdbc_mode)
         result = rep.paths
@@ -103,24 +130,26 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
             rows = [r.asDict() for r in df.collect()]  # KPI answers: at most 24 rows each
             result[name] = rows
     elif args.command == "train":
-        snap = jobs.silver_snapshot(spark, args.schema, args.day)
+        snap = jobs.silver_snapshot(spark, args.silver, args.day)
         rep = jobs.run_training(snap["accidents"], snap["weather"], snap["road_features"], args.model)
         result = {"accuracy": rep.accuracy, "n_train": rep.n_train, "n_test": rep.n_test,
                   "features": rep.features, "model": rep.model_path}
     elif args.command == "ingest":
         from roadlake.streaming.bronze_stream import ingest_available
         cols = args.columns.split(",") if args.columns else _raw_header(spark, args.input)
-        q = ingest_available(spark, args.input, cols, args.bronze, args.checkpoint, multi_line=args.multi_line)
-        progress = q.lastProgress or {}
-        result = {"columns": cols, "rows": progress.get("numInputRows"), "batch": progress.get("batchId")}
+        q = ingest_available(spark, args.input, cols, args.bronze, args.checkpoint,
+                             multi_line=not args.single_line)
+        done = q.recentProgress
+        result = {"columns": cols, "rows": sum(p["numInputRows"] for p in done),
+                  "batches": [p["batchId"] for p in done]}
     else:  # explore
-        from roadlake.sources.catalog import table_listing
-        snap = jobs.silver_snapshot(spark, args.schema, args.day)
+        snap = jobs.silver_snapshot(spark, args.silver, args.day)
         result = {
-            "tables": [r.tableName for r in table_listing(spark, args.schema).collect()],
+            "tables": sorted(snap),
             "profile": [r.asDict() for r in profile.schema_profile(snap).collect()],
             "samples": {n: [r.asDict() for r in profile.sample_rows(df).collect()] for n, df in snap.items()},
         }
+    drop_scratch(spark)
     print(json.dumps(result, default=str, indent=1))
     return result
 

@@ -2,8 +2,10 @@
 
 Each job takes the caller's session and paths; none stops the session.
 
+* ``run_split``    one CSV -> daily CSV batches, in file order
 * ``run_feeder``   daily CSV files -> Bronze (one scan of all picked files)
 * ``run_silver``   Bronze -> the three Silver tables, per Bronze day
+* ``run_snapshot`` one day of Silver -> plain parquet copies
 * ``build_gold``   Silver accidents -> the three marts (+ optional JDBC export)
 * ``kpis``         Gold marts -> KPI frames
 * ``run_training`` Silver -> fitted pipeline, accuracy, saved model
@@ -16,15 +18,13 @@ run rewrites the same partitions instead of appending duplicates.
 from __future__ import annotations
 
 import logging
-import uuid
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
-from roadlake.operators import bronze, features, gold, kpi, model, silver
+from roadlake.operators import bronze, features, gold, kpi, model, silver, split
+from roadlake.session import materialize
 from roadlake.sources import catalog, csv_batches, sinks, store
 
 log = logging.getLogger(__name__)
@@ -39,33 +39,36 @@ class FeederReport:
     bronze_path: str
 
 
-def _existing_days(spark: SparkSession, bronze_path: str) -> set:
-    """Days already in Bronze (partition values only; one row per day)."""
-    try:
-        return {r[0] for r in store.loaded_days(spark, bronze_path).collect()}
-    except AnalysisException:
-        return set()
+def run_split(spark: SparkSession, input_csv: str, output_dir: str, n_batches: int = 3,
+              start_date: str = "2025-01-01", multi_line: bool = True) -> list[str]:
+    """Cut one CSV, in the order of its rows, into ``n_batches`` dated daily batches."""
+    if not multi_line:
+        csv_batches.refuse_line_breaks(spark, input_csv)
+    rows, order = csv_batches.with_file_order(csv_batches.csv_reader(spark, multi_line=multi_line).csv(input_csv))
+    batches = split.ordered_split(rows, order, n_batches, start_date)
+    return csv_batches.write_daily_batches(batches.drop(*order), output_dir)
 
 
 def run_feeder(spark: SparkSession, input_dir: str, bronze_path: str, year: int, month: int,
-               n_batches: int = 3, multi_line: bool = False) -> FeederReport:
+               n_batches: int = 3, multi_line: bool = True, allow_empty: bool = False) -> FeederReport:
     """Load the first ``n_batches`` daily files of a month into Bronze.
 
     Days already in Bronze are not rewritten but still accumulate into the
     last day, which is always rewritten and holds every picked batch.  Each
-    file is read (splittable, many tasks per file), stamped with its day and
-    unioned by column name.
+    batch is read, stamped with its day and unioned by column name.  Without
+    a batch of that month it raises, unless ``allow_empty``.
     """
     picked = csv_batches.select_batches(csv_batches.list_csv_files(spark, input_dir), year, month, n_batches)
     plan = picked.orderBy("batch").collect()  # at most n_batches file names
     if not plan:
+        if not allow_empty:
+            raise FileNotFoundError(f"no daily batch of {year}-{month:02d} in {input_dir}")
         return FeederReport([], [], bronze_path)
-    files = [f"{input_dir.rstrip('/')}/{r.file_name}" for r in plan]
     last_day = plan[-1].situation_date
-    existing = _existing_days(spark, bronze_path)
-    todo = [r.situation_date for r in plan if r.situation_date not in existing or r.situation_date == last_day]
-    rows = csv_batches.read_dated_batches(
-        spark, [(f, r.situation_date) for f, r in zip(files, plan)], multi_line=multi_line)
+    existing = store.existing_days(spark, bronze_path)
+    todo = [r.situation_date for r in plan
+            if str(r.situation_date) not in existing or r.situation_date == last_day]
+    rows = csv_batches.read_dated_batches(spark, [(r.path, r.situation_date) for r in plan], multi_line=multi_line)
     stored = bronze.bronze_cumulative(rows, last_day).filter(F.col(store.BRONZE_PARTITION).isin(todo))
     store.write_bronze(stored, bronze_path)
     return FeederReport([r.file_name for r in plan], [str(d) for d in todo], bronze_path)
@@ -85,79 +88,54 @@ def conform_all(bronze_rows: DataFrame, group_cols=(store.BRONZE_PARTITION,)) ->
     }
 
 
-def write_day_table(df: DataFrame, table: str, path: str, days, n_buckets: int, key: str = "ID",
-                    partition_col: str = store.BRONZE_PARTITION) -> None:
-    """Write the given days of ``df`` into a day-partitioned table bucketed by ``key``.
-
-    Each day is replaced with ``INSERT OVERWRITE ... PARTITION (day = ...)``,
-    so other days stay as they are and a rerun replaces, never appends.  The
-    rows are hash-partitioned by ``key`` into ``n_buckets`` first, so every
-    task writes one bucket file per day.  Tables bucketed the same way join
-    on ``key`` later without a shuffle.
-    """
-    spark = df.sparkSession
-    fields = [f for f in df.schema.fields if f.name != partition_col]
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    part_type = df.schema[partition_col].dataType.simpleString()
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}, `{partition_col}` {part_type}) USING parquet "
-              f"PARTITIONED BY (`{partition_col}`) CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
-              f"INTO {n_buckets} BUCKETS LOCATION '{path}'")
-    try:
-        spark.catalog.recoverPartitions(table)
-    except Exception:  # noqa: BLE001 - the folder does not exist before the first write
-        pass
-    names = ", ".join(f"`{f.name}`" for f in fields)
-    for day in days:
-        view = f"_day_{uuid.uuid4().hex[:10]}"
-        (df.filter(F.col(partition_col) == F.lit(str(day)).cast("date")).drop(partition_col)
-         .repartition(n_buckets, key).createOrReplaceTempView(view))
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (`{partition_col}` = DATE '{day}') "
-                  f"SELECT {names} FROM {view}")
-        spark.catalog.dropTempView(view)
-
-
 def run_silver(spark: SparkSession, bronze_path: str, silver_root: str, schema: str = "silver",
-               day: str | None = None, n_buckets: int | None = None) -> dict[str, str]:
+               day: str | None = None) -> dict[str, str]:
     """Conform Bronze (all days, or one) into Silver tables partitioned by Bronze day.
 
-    The three tables are registered in ``schema``, bucketed by ``ID`` into the
-    same number of buckets (default: the session's shuffle partitions), and
-    rewritten day by day, never appended twice.  Returns table -> path.
+    One job per table: the dedup's shuffle is the only one, and its tasks write
+    the day folders.  A full run replaces the whole store, so days that Bronze
+    no longer has go; a run of one day replaces just that day.  The stored
+    files carry no layout of the session that wrote them (no buckets), so any
+    later session may rewrite a day or read them.  The tables are also defined
+    in ``schema``, which must not name tables stored elsewhere.  Returns
+    table -> path.
     """
-    n_buckets = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    days = [day] if day else sorted(str(d) for d in _existing_days(spark, bronze_path))
+    if day is not None and day not in store.existing_days(spark, bronze_path):
+        raise ValueError(f"Bronze {bronze_path} has no day {day}")
     rows = store.read_bronze(spark, bronze_path, day)
     catalog.reset_schema(spark, schema, [])
-    paths = {}
+    root = silver_root.rstrip("/")
+    paths = {name: f"{root}/{name}" for name in SILVER_TABLES}
+    for name, path in paths.items():
+        catalog.check_location(spark, f"`{schema}`.`{name}`", path)
     for name, df in conform_all(rows).items():
-        path = f"{silver_root.rstrip('/')}/{name}"
-        write_day_table(df, f"`{schema}`.`{name}`", path, days, n_buckets)
-        paths[name] = path
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if day else "static")
+         .partitionBy(store.BRONZE_PARTITION).parquet(paths[name]))
+        catalog.register_parquet(spark, f"`{schema}`.`{name}`", paths[name])
     return paths
 
 
-def latest_day(spark: SparkSession, table: str, partition_col: str = store.BRONZE_PARTITION) -> str | None:
-    """Newest partition value of a day-partitioned table, from catalog metadata (no scan)."""
-    days = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()
-            if r[0].startswith(f"{partition_col}=")]
-    return max(days) if days else None
-
-
-def silver_snapshot(spark: SparkSession, schema: str = "silver", day: str | None = None) -> dict[str, DataFrame]:
+def silver_snapshot(spark: SparkSession, silver_root: str, day: str | None = None) -> dict[str, DataFrame]:
     """Silver as the marts see it: one Bronze day (default: the latest, which holds everything).
 
-    The day is a literal filter on the partition column, so only that day's
-    files are read.
+    Read by folder, so any process can; only that day's files are read.
     """
     out = {}
     for name in SILVER_TABLES:
-        table = f"{schema}.{name}"
-        pick = day or latest_day(spark, table)
-        df = spark.table(table).filter(F.col(store.BRONZE_PARTITION) == F.lit(pick).cast("date"))
-        out[name] = df.drop(store.BRONZE_PARTITION)
+        path = f"{silver_root.rstrip('/')}/{name}"
+        days = store.existing_days(spark, path)
+        pick = day or (days[-1] if days else None)
+        if pick not in days:
+            raise ValueError(f"Silver {path} has no day {pick}")
+        out[name] = store.read_bronze(spark, path, pick).drop(store.BRONZE_PARTITION)
     return out
 
 
+def run_snapshot(spark: SparkSession, silver_root: str, output_root: str, day: str | None = None) -> dict[str, str]:
+    """Copy one day of each Silver table to ``output_root``; one failing table does not stop the others."""
+    return catalog.snapshot_tables(spark, silver_snapshot(spark, silver_root, day), output_root)
+
+
 @dataclass
 class GoldReport:
     paths: dict[str, str] = field(default_factory=dict)
@@ -168,30 +146,25 @@ def build_gold(accidents: DataFrame, gold_root: str, jdbc_url: str | None = None
                jdbc_properties: dict | None = None, jdbc_mode: str = "overwrite") -> GoldReport:
     """Write the three marts; one failing mart or export does not stop the others.
 
-    The accidents frame is narrowed to the six columns the marts use and
-    persisted once (memory, spilling to disk), so the three aggregations
-    share one read of Silver.  Raises at the end if anything failed.
+    Per-incident rows are read once, into one stored aggregate that the three
+    marts roll up.  Raises at the end if anything failed.
     """
-    used = accidents.select("ID", "State", "County", "City", "Severity", "Start_Time")
-    used = used.persist(StorageLevel.MEMORY_AND_DISK)
+    base = materialize(gold.base_counts(accidents))
     report = GoldReport()
-    try:
-        for name, mart in gold.build_gold(used).items():
-            path = f"{gold_root.rstrip('/')}/{name}"
-            try:
-                store.write_parquet(mart, path)
-                report.paths[name] = path
-            except Exception as exc:  # noqa: BLE001 - isolate marts
-                log.error("mart %s failed: %s", name, exc)
-                report.failures[name] = str(exc)
-                continue
-            if jdbc_url:
-                err = sinks.jdbc_write(mart.sparkSession.read.parquet(path), jdbc_url, f"gold_{name}",
-                                       jdbc_properties, mode=jdbc_mode)
-                if err:
-                    report.failures[f"jdbc:{name}"] = err
-    finally:
-        used.unpersist()
+    for name, mart in gold.marts_from_base(base).items():
+        path = f"{gold_root.rstrip('/')}/{name}"
+        try:
+            store.write_parquet(mart, path)
+            report.paths[name] = path
+        except Exception as exc:  # noqa: BLE001 - isolate marts
+            log.error("mart %s failed: %s", name, exc)
+            report.failures[name] = str(exc)
+            continue
+        if jdbc_url:
+            err = sinks.jdbc_write(mart.sparkSession.read.parquet(path), jdbc_url, f"gold_{name}",
+                                   jdbc_properties, mode=jdbc_mode)
+            if err:
+                report.failures[f"jdbc:{name}"] = err
     if report.failures:
         raise RuntimeError(f"gold build incomplete: {report.failures}")
     return report
@@ -227,11 +200,8 @@ def run_training(accidents: DataFrame, weather: DataFrame, road: DataFrame,
                  model_path: str | None = None) -> TrainingReport:
     joined = features.join_silver(accidents, weather, road)
     trained = model.train_model(joined)
-    try:
-        acc = model.accuracy_value(trained.predictions)
-        n_train, n_test = trained.train.count(), trained.test.count()
-        if model_path:
-            model.save_pipeline(trained.pipeline, model_path)
-    finally:
-        trained.data.unpersist()
+    acc = model.accuracy_value(trained.predictions)
+    n_train, n_test = trained.train.count(), trained.test.count()
+    if model_path:
+        model.save_pipeline(trained.pipeline, model_path)
     return TrainingReport(acc, n_train, n_test, trained.features, model_path)

@@ -253,6 +253,13 @@ SELECT ID, lpad(CAST(hour({_TS}) AS STRING), 2, '0') || ':00' AS "hour" FROM acc
     q["dropna_any"] = _with(RAW, f"SELECT * FROM raw WHERE {_not_null(RAW_COLS)}")
     q["dropna_subset"] = _with(RAW, f"""
 SELECT * FROM raw WHERE {_not_null('Severity, Start_Lat, Temperature_F_, Precipitation_in_')}""")
+    others = [x.strip() for x in RAW_COLS.split(",") if x.strip() not in ("seq", "ID")]
+    nulls = " + ".join(f"CAST({n} IS NULL AS INTEGER)" for n in others)
+    order = ", ".join(f"{n} ASC NULLS LAST" for n in others)
+    q["dedup_key_no_seq"] = _with(RAW, f"""
+SELECT ID, {", ".join(others)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY ID ORDER BY {nulls}, {order}) AS rn_ FROM raw) d
+WHERE rn_ = 1""")
     q["dedup_key"] = _with(RAW, """
 SELECT * EXCLUDE (rn_) FROM (SELECT *, row_number() OVER (PARTITION BY ID ORDER BY seq) AS rn_ FROM raw) d
 WHERE rn_ = 1""")
@@ -339,6 +346,12 @@ SELECT Severity AS value, count(*) AS n,
        CAST(row_number() OVER (ORDER BY count(*) DESC, Severity) - 1 AS DOUBLE) AS idx
 FROM ff GROUP BY Severity""")
     q["feature_frame"] = _with(FEATURES, f"SELECT ID, Severity, {FEATURE_COLS} FROM ff")
+    bits = "CAST('0x' || substr(md5(ID || '-42'), 1, 8) AS UBIGINT)"
+    q["split_counts"] = _with(FEATURES, f"""
+SELECT CASE WHEN {bits} < 0.8 * 4294967296 THEN 'train' ELSE 'test' END AS part, count(*) AS n_rows
+FROM ff GROUP BY 1""")
+    q["test_labels"] = _with(FEATURES, f"""
+SELECT Severity, count(*) AS n_rows FROM ff WHERE {bits} >= 0.8 * 4294967296 GROUP BY Severity""")
     vector = ", ".join(f"CAST({x.strip()} AS DOUBLE)" for x in FEATURE_COLS.split(","))
     q["feature_vector"] = _with(FEATURES, f"""
 , labels AS (

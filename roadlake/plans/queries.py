@@ -170,13 +170,7 @@ def q_table_scan(spark, sf_dir):
 
 
 def q_silver_snapshot(spark, sf_dir):
-    tag = uuid.uuid4().hex[:10]
-    views = {}
-    for name, df in silver_tables(spark, sf_dir).items():
-        view = f"silver_{name}_{tag}"
-        df.createOrReplaceTempView(view)
-        views[name] = view
-    done = catalog.snapshot_tables(spark, views, scratch_path(spark, "snapshot"))
+    done = catalog.snapshot_tables(spark, silver_tables(spark, sf_dir), scratch_path(spark, "snapshot"))
     failed = {k: v for k, v in done.items() if v.startswith("error:")}
     if failed:
         raise RuntimeError(f"snapshot failed: {failed}")
@@ -208,7 +202,7 @@ def _on_accidents(fn):
 def q_index(col_names: list[str]):
     """Index table of the last of ``col_names``, fitted after the earlier ones (skip)."""
     def run(spark, sf_dir):
-        df = materialize(features.add_date_parts(joined(spark, sf_dir)))
+        df = materialize(features.narrow(joined(spark, sf_dir)).drop("_whole"))
         for name in col_names[:-1]:
             df = features.category_indexer(name).fit(df).transform(df)
         m = features.category_indexer(col_names[-1]).fit(df)
@@ -228,19 +222,19 @@ def q_feature_vector(spark, sf_dir):
 
 
 def q_split_counts(spark, sf_dir):
-    data, _, _, _, _ = model.labelled(joined(spark, sf_dir))
-    train, test = model.split(data)
+    train, test = model.split(features.feature_frame(joined(spark, sf_dir)))
     return (train.select(F.lit("train").alias("part")).unionByName(test.select(F.lit("test").alias("part")))
             .groupBy("part").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def q_test_labels(spark, sf_dir):
+    """Rows of the test part by label."""
+    _, test = model.split(features.feature_frame(joined(spark, sf_dir)))
+    return test.groupBy("Severity").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def _scored(spark, sf_dir, summarize):
-    """Fit the forest, then release the training cache; the summary recomputes its
-    test rows from the checkpointed join (same rows, same split)."""
-    trained = model.train_model(joined(spark, sf_dir))
-    out = summarize(trained.predictions)
-    trained.data.unpersist()
-    return out
+    return summarize(model.train_model(joined(spark, sf_dir)).predictions)
 
 
 def q_rf_predictions(spark, sf_dir):
@@ -293,6 +287,8 @@ def registry() -> dict[str, Query]:
     q["filter_severity"] = _on_raw(silver.filter_severity)
     q["dropna_any"] = _on_raw(silver.dropna_any)
     q["dropna_subset"] = _on_raw(lambda r: silver.dropna_any(r, DROPNA_SUBSET))
+    q["dedup_key_no_seq"] = _on_raw(
+        lambda r: silver.dedup_by_key(r.drop("seq"), ["ID"]))
     q["dedup_key"] = _on_raw(lambda r: silver.dedup_by_key(r, ["ID"], ["seq"]))
 
     # ---- Silver -----------------------------------------------------------
@@ -346,6 +342,7 @@ def registry() -> dict[str, Query]:
     q["feature_frame"] = lambda s, d: features.feature_frame(joined(s, d))
     q["feature_vector"] = q_feature_vector
     q["split_counts"] = q_split_counts
+    q["test_labels"] = q_test_labels
     q["rf_predictions"] = q_rf_predictions
     q["rf_accuracy"] = q_rf_accuracy
     return q

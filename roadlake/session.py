@@ -7,6 +7,7 @@ for tests, the bench and the entry point only.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -39,9 +40,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    Read from the session; only when nothing is configured (a bare local
-    session, as in tests) is a private folder set.  On a Spark Connect
-    session (no ``sparkContext``) the server's ``spark.checkpoint.dir`` is used.
+    Read from the session; only when nothing is configured on a local master
+    (as in tests) is a private folder set, since on a cluster each machine
+    would see its own.  On a Spark Connect session (no ``sparkContext``) the
+    server's ``spark.checkpoint.dir`` is used.
     """
     try:
         sc = spark.sparkContext
@@ -52,20 +54,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("no shared folder: set spark.checkpoint.dir to one that all executors see")
         configured = tempfile.mkdtemp(prefix="roadlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_SCRATCH = f"roadlake_scratch_{uuid.uuid4().hex[:12]}"
+
+
+def scratch_schema(spark: SparkSession) -> str:
+    """This process's schema of scratch tables; its files are in the shared folder."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_SCRATCH} LOCATION '{scratch_path(spark, 'tables')}'")
+    return _SCRATCH
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables made so far; frames that read them end here."""
+    spark.sql(f"DROP SCHEMA IF EXISTS {_SCRATCH} CASCADE")
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+    """Write ``df`` once as a parquet table in the shared folder and read that.
 
-    Used where one frame feeds several passes (model fits): later passes read
-    the stored copy instead of recomputing joins and shuffles, and a lost
-    executor costs a re-read, not a recomputation.
+    Used where one frame feeds several passes: each later pass reads just its
+    own columns of the stored copy, filters reach its files, and a lost
+    executor costs a re-read, not a recomputation.  ``drop_scratch`` deletes
+    the copies.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    table = f"{scratch_schema(spark)}.t_{uuid.uuid4().hex[:12]}"
+    df.write.format("parquet").saveAsTable(table)
+    return spark.table(table)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -7,6 +7,7 @@ predicate pushdown reach the files, and any Spark catalog can hold them.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,35 @@ def reset_schema(spark: SparkSession, schema: str, tables: Iterable[str], locati
         spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{t}`")
 
 
+def location_of(spark: SparkSession, table: str) -> str | None:
+    """Where an existing table's files are; None for no such table."""
+    if not spark.catalog.tableExists(table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Location").collect()
+    return rows[0].data_type if rows else None
+
+
+def check_location(spark: SparkSession, table: str, path: str) -> None:
+    """Refuse a table that exists and is stored anywhere but in ``path``."""
+    known = location_of(spark, table)
+    if known is None:
+        return
+    probe = f"{table.rstrip('`')}_{uuid.uuid4().hex[:8]}" + "`" * table.endswith("`")
+    spark.sql(f"CREATE TABLE {probe} (x INT) USING parquet LOCATION '{path}'")  # how the catalog spells the path
+    here = location_of(spark, probe)
+    spark.sql(f"DROP TABLE {probe}")
+    if here.rstrip("/") != known.rstrip("/"):
+        raise ValueError(f"{table} is stored in {known}, not in {here}: use another schema name")
+
+
+def register_parquet(spark: SparkSession, table: str, path: str) -> None:
+    """Define ``table`` over the day-partitioned parquet files in ``path``, with the columns and days they have now."""
+    check_location(spark, table, path)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: its files stay
+    spark.catalog.createTable(table, path=path, source="parquet")
+    spark.catalog.recoverPartitions(table)
+
+
 def append_table(df: DataFrame, table: str, path: str | None = None) -> str:
     """Append rows to a catalog table (created on first use); duplicates are kept."""
     writer = df.write.mode("append").format("parquet")
@@ -49,8 +79,8 @@ def table_listing(spark: SparkSession, schema: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN `{schema}`").filter(~F.col("isTemporary")).drop("isTemporary")
 
 
-def snapshot_tables(spark: SparkSession, tables: Mapping[str, str], root: str) -> dict[str, str]:
-    """Copy each catalog table to ``root/<name>`` as parquet.
+def snapshot_tables(spark: SparkSession, tables: Mapping[str, str | DataFrame], root: str) -> dict[str, str]:
+    """Copy each catalog table (or frame) to ``root/<name>`` as parquet.
 
     One failing table does not stop the others; the result maps each name to
     its path, or to ``"error: ..."``.
@@ -59,7 +89,7 @@ def snapshot_tables(spark: SparkSession, tables: Mapping[str, str], root: str) -
     for name, table in tables.items():
         target = f"{root.rstrip('/')}/{name}"
         try:
-            spark.table(table).write.mode("overwrite").parquet(target)
+            (table if isinstance(table, DataFrame) else spark.table(table)).write.mode("overwrite").parquet(target)
             done[name] = target
         except Exception as exc:  # noqa: BLE001 - per-table isolation is the contract
             log.error("snapshot of %s failed: %s", table, exc)

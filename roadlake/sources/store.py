@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,13 +34,27 @@ def write_bronze(df: DataFrame, path: str, partition_col: str = BRONZE_PARTITION
 
 def read_bronze(spark: SparkSession, path: str, day: str | date | None = None,
                 partition_col: str = BRONZE_PARTITION) -> DataFrame:
-    """All of Bronze, or one day of it (partition-pruned)."""
-    df = spark.read.parquet(path)
+    """All of Bronze, or one day of it (partition-pruned).
+
+    The days' schemas are merged: a column that some days lack is NULL there.
+    """
+    df = spark.read.option("mergeSchema", "true").parquet(path)
     if day is not None:
         df = df.filter(F.col(partition_col) == F.lit(str(day)).cast("date"))
     return df
 
 
 def loaded_days(spark: SparkSession, path: str, partition_col: str = BRONZE_PARTITION) -> DataFrame:
-    """Manifest of the days already in Bronze (one row per day)."""
-    return spark.read.parquet(path).select(partition_col).distinct()
+    """Days already in a day-partitioned store (one row per day), from its file listing alone."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return files.select(F.col(partition_col).cast("date").alias(partition_col)).distinct()
+
+
+def existing_days(spark: SparkSession, path: str) -> list[str]:
+    """The same as sorted text; a store that does not exist yet has none."""
+    try:
+        return sorted(str(r[0]) for r in loaded_days(spark, path).collect())  # one row per day
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []

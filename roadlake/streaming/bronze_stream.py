@@ -5,8 +5,9 @@ streaming form lets Spark track it: a CSV file stream with a checkpoint sees
 every file exactly once, across restarts and lost executors, and
 ``trigger(availableNow=True)`` makes each run a bounded job that processes
 what arrived since the last one and stops.  Rows land in Bronze partitioned
-by their batch date (from the file name); the file sink's log makes the
-output exactly-once.
+by their batch date (from the file name), in the layout that the Silver job
+reads: ``bronze_date`` folders, each row with its ``situation_date``.  Each day
+holds its own batch.  The file sink's log makes the output exactly-once.
 """
 
 from __future__ import annotations
@@ -20,10 +21,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roadlake.operators.bronze import sanitize_columns
 from roadlake.sources.csv_batches import path_date
+from roadlake.sources.store import BRONZE_PARTITION
 
 
 def ingest_available(spark: SparkSession, input_dir: str, columns: Sequence[str], bronze_path: str,
-                     checkpoint: str, wait: bool = True, multi_line: bool = False) -> StreamingQuery:
+                     checkpoint: str, wait: bool = True, multi_line: bool = True) -> StreamingQuery:
     """Process every daily CSV not seen before, then stop.
 
     ``columns`` is the raw header (streams need a fixed schema; all text).
@@ -31,15 +33,16 @@ def ingest_available(spark: SparkSession, input_dir: str, columns: Sequence[str]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in columns])
     rows = (spark.readStream.schema(schema)
             .option("header", "true").option("escape", '"').option("multiLine", str(multi_line).lower())
-            .option("enforceSchema", "false")
+            .option("enforceSchema", "false").option("mode", "PERMISSIVE" if multi_line else "FAILFAST")
             .option("pathGlobFilter", "*.csv")
             .option("recursiveFileLookup", "true")  # daily batches may be folders of parts
             .csv(input_dir))
     rows = rows.withColumn("situation_date", path_date(F.col("_metadata.file_path")))
     rows = sanitize_columns(rows).filter(F.col("situation_date").isNotNull())
+    rows = rows.withColumn(BRONZE_PARTITION, F.col("situation_date"))
     query = (rows.writeStream.format("parquet")
              .option("checkpointLocation", checkpoint)
-             .partitionBy("situation_date")
+             .partitionBy(BRONZE_PARTITION)
              .trigger(availableNow=True)
              .start(bronze_path))
     if wait:

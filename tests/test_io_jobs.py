@@ -6,12 +6,14 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from roadlake.operators import features, kpi, silver, split
+from roadlake.operators import features, gold, kpi, silver, split
 from roadlake.plans import jobs
 from roadlake.plans import queries as Q
 from roadlake.sources import catalog, csv_batches, sinks, store
 from roadlake.streaming.bronze_stream import ingest_available
 
+#: Accidents of the small feed without ``seq``: of each key's rows the most complete one stays (546 with ``seq``).
+COMPLETE = 552
 CSV_HEADERS = {**Q.RAW_HEADERS, "Description": "Description"}
 
 
@@ -57,7 +59,7 @@ def test_feeder_reads_spark_written_batch_folders(spark, sf_small, tmp_path):
     assert rep.written_days == ["2025-01-01", "2025-01-02", "2025-01-03"]
     last = store.read_bronze(spark, str(tmp_path / "bronze"), "2025-01-03")
     assert last.count() == 1000 and "Temperature_F_" in last.columns
-    assert silver.conform_accidents(last).count() == 546
+    assert silver.conform_accidents(last).count() == COMPLETE
     # one scan of several batch folders dates each row from its folder
     both = csv_batches.read_csv_batch(spark, paths[:2], with_file_date=True)
     days = {str(r.situation_date): r.n for r in both.groupBy("situation_date").agg(F.count("*").alias("n")).collect()}
@@ -100,29 +102,26 @@ def test_end_to_end_jobs(spark, sf_small, tmp_path):
     jobs.run_silver(spark, bronze_path, str(tmp_path / "silver"), schema=schema)
     assert sorted(r.tableName for r in catalog.table_listing(spark, schema).collect()) == [
         "accidents", "road_features", "weather"]
-    assert jobs.latest_day(spark, f"{schema}.accidents") == "2025-01-03"
-    snap = jobs.silver_snapshot(spark, schema)
+    assert store.existing_days(spark, str(tmp_path / "silver" / "accidents"))[-1] == "2025-01-03"
+    snap = jobs.silver_snapshot(spark, str(tmp_path / "silver"))
     expected_acc = silver.conform_accidents(store.read_bronze(spark, bronze_path, "2025-01-03"))
-    assert snap["accidents"].count() == expected_acc.count() == 546
+    assert snap["accidents"].count() == expected_acc.count() == COMPLETE
     assert sorted(snap["accidents"].columns) == sorted(expected_acc.columns)
 
     gold_root = str(tmp_path / "gold")
     jobs.build_gold(snap["accidents"], gold_root)
     out = jobs.kpis(spark, gold_root)
-    want = Q.registry()["kpi_top_regions"](spark, sf_small).collect()
+    want = kpi.kpi_top_regions(gold.mart_by_region(silver.conform_accidents(fed))).collect()
     assert out["top_regions"].collect() == want
-    assert out["global"].collect()[0].total_accidents == 546
+    assert out["global"].collect()[0].total_accidents == COMPLETE
 
     model_path = str(tmp_path / "model")
     tr = jobs.run_training(snap["accidents"], snap["weather"], snap["road_features"], model_path)
     assert 0.0 <= tr.accuracy <= 1.0 and tr.n_train > tr.n_test > 0
     loaded = PipelineModel.load(model_path)
     joined = features.join_silver(snap["accidents"], snap["weather"], snap["road_features"])
-    scored = loaded.transform(features.add_date_parts(joined).withColumns(
-        {m: F.col(m).try_cast("double") for m in ["Temperature_F_", "Humidity_pct_", "Pressure_in_",
-                                                  "Visibility_mi_", "Wind_Speed_mph_", "Precipitation_in_"]}
-    ).dropna())
-    assert "prediction" in scored.columns and scored.count() > 0
+    scored = loaded.transform(joined.drop("Severity"))  # raw joined rows, no preparation, no answer
+    assert "prediction" in scored.columns and scored.count() == tr.n_train + tr.n_test
 
 
 def test_training_guard_on_empty(spark):
@@ -207,12 +206,14 @@ def test_command_line_runs_every_job(spark, sf_small, tmp_path, capsys):
     r = cli.main(["feeder", "--input", src, "--bronze", str(lake / "bronze"), "--year", "2025", "--month", "1"], spark)
     assert r["written_days"] == ["2025-01-01", "2025-01-02", "2025-01-03"]
     cli.main(["silver", "--bronze", str(lake / "bronze"), "--silver", str(lake / "silver"), "--schema", "cli_s"], spark)
-    cli.main(["gold", "--schema", "cli_s", "--gold", str(lake / "gold")], spark)
+    cli.main(["gold", "--silver", str(lake / "silver"), "--gold", str(lake / "gold")], spark)
     k = cli.main(["kpis", "--gold", str(lake / "gold")], spark)
-    assert k["global"][0]["total_accidents"] == 546 and len(k["top_regions"]) == 5
-    t = cli.main(["train", "--schema", "cli_s", "--model", str(lake / "model")], spark)
+    assert k["global"][0]["total_accidents"] == COMPLETE and len(k["top_regions"]) == 5
+    t = cli.main(["train", "--silver", str(lake / "silver"), "--model", str(lake / "model")], spark)
     assert 0 <= t["accuracy"] <= 1
-    e = cli.main(["explore", "--schema", "cli_s"], spark)
+    c = cli.main(["snapshot", "--silver", str(lake / "silver"), "--output", str(lake / "copy"), "--day", "2025-01-02"], spark)
+    assert spark.read.parquet(c["accidents"]).count() < 333 and sorted(c) == ["accidents", "road_features", "weather"]
+    e = cli.main(["explore", "--silver", str(lake / "silver")], spark)
     assert sorted(e["tables"]) == ["accidents", "road_features", "weather"]
     assert all(len(v) == 5 for v in e["samples"].values())
     capsys.readouterr()
@@ -222,7 +223,9 @@ def test_feeder_with_no_or_few_batch_files(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
     (src / "notes.csv").write_text("ID\nA\n")
-    empty = jobs.run_feeder(spark, str(src), str(tmp_path / "b0"), 2025, 1)
+    with pytest.raises(FileNotFoundError):
+        jobs.run_feeder(spark, str(src), str(tmp_path / "b0"), 2025, 1)
+    empty = jobs.run_feeder(spark, str(src), str(tmp_path / "b0"), 2025, 1, allow_empty=True)
     assert empty.files == [] and empty.written_days == []
     (src / "05-01-2025.csv").write_text("ID,Temperature(F)\nA,1\nB,2\n")
     (src / "07-01-2025.csv").write_text("ID,Temperature(F)\nC,3\n")

@@ -26,7 +26,7 @@ def duck(sf_small):
 
 def test_every_query_has_oracle_or_is_ml():
     rows_only = {k for k in KEYS if k not in SQL}
-    assert rows_only == {"split_counts", "rf_predictions", "rf_accuracy"}
+    assert rows_only == {"rf_predictions", "rf_accuracy"}
     assert set(SQL) <= set(KEYS)
 
 

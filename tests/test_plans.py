@@ -78,26 +78,31 @@ def test_dedup_with_a_hot_key_holding_a_third_of_rows(spark):
     assert out.filter(F.col("ID") == "HOT").count() == 1
 
 
-def test_stored_silver_tables_join_without_shuffle(spark, sf_small, tmp_path, capsys, no_broadcast):
+def test_silver_costs_one_shuffle_a_table(spark, bronze_path, capsys):
     from roadlake.plans import jobs
+
+    for df in jobs.conform_all(store.read_bronze(spark, bronze_path)).values():
+        tree = plan_of(df, capsys).split("\n\n")[0]
+        assert tree.count("Exchange") == 1 and tree.count("WindowGroupLimit") == 2
+
+
+def test_marts_share_one_pass_over_incidents(spark, bronze_path, capsys):
+    from roadlake.session import materialize
+
+    acc = silver.conform_accidents(store.read_bronze(spark, bronze_path))
+    base = materialize(gold.base_counts(acc))
+    for mart in gold.marts_from_base(base).values():
+        tree = plan_of(mart, capsys)
+        assert tree.split("\n\n")[0].count("Exchange") == 1 and "partial_sum" in tree
+        assert "Description" not in tree and "ID" not in re.search(r"ReadSchema: struct<([^>]*)>", tree).group(1)
+
+
+def test_model_frame_is_pruned(spark, sf_small, capsys):
     from roadlake.plans import queries as Q
 
-    bronze = store.write_bronze(Q.cumulative(spark, sf_small), str(tmp_path / "bronze"))
-    jobs.run_silver(spark, bronze, str(tmp_path / "silver"), schema="plan_s", n_buckets=4)
-    snap = jobs.silver_snapshot(spark, "plan_s")
-    joined = features.join_silver(snap["accidents"], snap["weather"], snap["road_features"])
-    tree = plan_of(joined, capsys).split("\n\n")[0]
-    assert tree.count("SortMergeJoin LeftOuter") == 2
-    assert "Exchange" not in tree  # co-located buckets: no shuffle for the ID joins
-    assert joined.count() == 546
-
-    # rewriting one day replaces just that day
-    before = {str(r.bronze_date): r.n for r in spark.table("plan_s.accidents")
-              .groupBy("bronze_date").agg(F.count("*").alias("n")).collect()}
-    jobs.run_silver(spark, bronze, str(tmp_path / "silver"), schema="plan_s", day="2025-01-02", n_buckets=4)
-    after = {str(r.bronze_date): r.n for r in spark.table("plan_s.accidents")
-             .groupBy("bronze_date").agg(F.count("*").alias("n")).collect()}
-    assert after == before and set(before) == {"2025-01-01", "2025-01-02", "2025-01-03"}
+    frame, names, _ = features.prepare_features(Q.joined(spark, sf_small))
+    plan = plan_of(frame.select("Severity"), capsys)
+    assert "Description" not in frame.columns and "Scan parquet" in plan and "Start_Lng" in names
 
 
 def test_day_write_reads_only_that_bronze_day(spark, bronze_path, capsys):
