@@ -11,14 +11,16 @@ from __future__ import annotations
 # The adapter of FIXTURES.md (raw incident feed), verbatim.
 RAW = """raw AS (
 SELECT e.event_id AS seq,
-  concat('A-', cast(e.event_id - (CASE WHEN e.event_id % 10 = 7 THEN 1 ELSE 0 END) AS STRING)) AS ID,
-  cast(1 + e.event_id % 5 AS STRING) AS Severity,
+  CASE WHEN e.event_id % 37 = 5 THEN NULL ELSE
+    concat('A-', cast(e.event_id - (CASE WHEN e.event_id % 10 = 7 THEN 1 ELSE 0 END) AS STRING)) END AS ID,
+  CASE WHEN e.event_id % 41 = 7 THEN 'abc' ELSE cast(1 + e.event_id % 5 AS STRING) END AS Severity,
   cast(date_trunc('second', e.ts) AS STRING) AS Start_Time,
   cast(CASE WHEN e.event_id % 6 = 0 THEN date_trunc('second', e.ts)
             ELSE date_trunc('second', e.ts) + INTERVAL '30' MINUTE END AS STRING) AS End_Time,
-  CASE WHEN e.event_id % 11 = 0 THEN NULL ELSE cast(e.value AS STRING) END AS Start_Lat,
+  CASE WHEN e.event_id % 11 = 0 THEN NULL WHEN e.event_id % 23 = 1 THEN 'n/a' ELSE cast(e.value AS STRING) END AS Start_Lat,
   cast(0 - e.value AS STRING) AS Start_Lng, e.props AS Description,
-  concat('  ', c.c_mktsegment, ' ') AS City, n.n_name AS County, r.r_name AS State, e.event_type AS Timezone,
+  concat('  ', c.c_mktsegment, ' ') AS City, n.n_name AS County,
+  concat(r.r_name, ' ', c.c_mktsegment) AS State, e.event_type AS Timezone,
   cast(date_trunc('second', e.ts) AS STRING) AS Weather_Timestamp,
   CASE WHEN e.event_id % 13 = 0 THEN NULL ELSE cast(e.value AS STRING) END AS Temperature_F_,
   regexp_extract(e.props, '([0-9]+)', 1) AS Humidity_pct_,
@@ -180,10 +182,13 @@ def _bronze_queries() -> dict[str, str]:
 SELECT * EXCLUDE (Description), Description AS "Description[raw]" FROM raw""")
     q["stamp_date"] = _with(RAW, "SELECT *, DATE '2025-01-03' AS situation_date FROM raw")
     q["batch_discovery"] = """
-WITH names AS (SELECT DISTINCT strftime(ts, '%d-%m-%Y') || '.csv' AS file_name FROM events),
+WITH names AS (
+  SELECT strftime(ts, '%d-%m-%Y') || '.csv' AS file_name FROM events
+  UNION SELECT strftime(ts, '%Y-%m-%d') || '.csv' FROM events
+  UNION SELECT event_type || '-events.csv' FROM events),
 dated AS (
   SELECT file_name, CAST(try_strptime(substr(file_name, 1, 10), '%d-%m-%Y') AS DATE) AS situation_date
-  FROM names WHERE length(file_name) >= 14),
+  FROM names WHERE regexp_full_match(file_name, '[0-9]{2}-[0-9]{2}-[0-9]{4}[.]csv')),
 picked AS (
   SELECT * FROM dated
   WHERE situation_date IS NOT NULL AND year(situation_date) = 2024 AND month(situation_date) = 1

@@ -111,7 +111,10 @@ def q_stamp_date(spark, sf_dir):
 
 def q_batch_discovery(spark, sf_dir):
     events = spark.read.parquet(sf_table(sf_dir, "events"))
+    other = [F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit(".csv")), F.concat("event_type", F.lit("-events.csv"))]
     names = csv_batches.batch_file_names(events)
+    for name in other:  # names that discovery must pass over
+        names = names.unionAll(events.select(name.alias("file_name")))
     return csv_batches.select_batches(names, DISCOVERY_YEAR, DISCOVERY_MONTH, N_BATCHES)
 
 

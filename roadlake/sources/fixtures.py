@@ -53,23 +53,24 @@ def incident_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.col("ts")  # timestamp_ntz: wall-clock text, no session time zone involved
 
     def seconds(t):
-        # ISO text of a timestamp_ntz cut to whole seconds (== date_trunc('second') as text)
-        return F.substring(t.cast("string"), 1, 19)
+        # ISO text of a timestamp_ntz without its fraction (== date_trunc('second') as text, in any time zone)
+        return F.regexp_replace(t.cast("string"), "[.][0-9]+$", "")
 
     value_text = _text(F.col("value"))
     none = F.lit(None).cast("string")
     return ev.select(
         eid.alias("seq"),
-        F.concat(F.lit("A-"), _text(eid - F.when(_every(10, 7), 1).otherwise(0))).alias("ID"),
-        _text(eid % 5 + 1).alias("Severity"),
+        F.when(_every(37, 5), none).otherwise(
+            F.concat(F.lit("A-"), _text(eid - F.when(_every(10, 7), 1).otherwise(0)))).alias("ID"),
+        F.when(_every(41, 7), "abc").otherwise(_text(eid % 5 + 1)).alias("Severity"),
         seconds(ts).alias("Start_Time"),
         seconds(F.when(_every(6), ts).otherwise(ts + F.expr("INTERVAL 30 MINUTES"))).alias("End_Time"),
-        F.when(_every(11), none).otherwise(value_text).alias("Start_Lat"),
+        F.when(_every(11), none).when(_every(23, 1), "n/a").otherwise(value_text).alias("Start_Lat"),
         _text(F.lit(0) - F.col("value")).alias("Start_Lng"),
         F.col("props").alias("Description"),
         F.concat(F.lit("  "), F.col("c_mktsegment"), F.lit(" ")).alias("City"),
         F.col("n_name").alias("County"),
-        F.col("r_name").alias("State"),
+        F.concat("r_name", F.lit(" "), "c_mktsegment").alias("State"),
         F.col("event_type").alias("Timezone"),
         seconds(ts).alias("Weather_Timestamp"),
         F.when(_every(13), none).otherwise(value_text).alias("Temperature_F_"),

@@ -11,7 +11,7 @@ from roadlake.plans import queries as Q
 def test_every_mart_sums_to_silver_rows(spark, sf_small):
     acc = Q.accidents(spark, sf_small)
     n = acc.count()
-    assert n == 546
+    assert n == 499
     for mart in gold.build_gold(acc).values():
         assert mart.agg(F.sum("accident_count")).collect()[0][0] == n
 
@@ -66,6 +66,6 @@ def test_model_keys_are_deterministic_and_whole(spark, sf_small):
     again = [tuple(r) for r in q["rf_accuracy"](spark, sf_small).collect()]
     assert first == again and 0.0 <= first[0][0] <= 1.0
     parts = {r.part: r.n_rows for r in q["split_counts"](spark, sf_small).collect()}
-    assert sum(parts.values()) == q["feature_vector"](spark, sf_small).count() == 386
+    assert sum(parts.values()) == q["feature_vector"](spark, sf_small).count() == 360
     per_label = q["rf_predictions"](spark, sf_small).collect()
     assert sum(r.n for r in per_label) == parts["test"] == first[0][1]

@@ -40,7 +40,7 @@ def test_a_day_rewritten_at_another_width_loses_nothing(spark, bronze, tmp_path)
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert _per_day(spark, f"{root}/accidents") == before
     s = jobs.silver_snapshot(spark, root)
-    assert features.join_silver(s["accidents"], s["weather"], s["road_features"]).count() == 546
+    assert features.join_silver(s["accidents"], s["weather"], s["road_features"]).count() == 499
     assert spark.table("wide_again.accidents").count() == sum(before.values())
 
 

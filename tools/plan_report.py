@@ -43,7 +43,7 @@ def summarize(plan: str) -> dict:
 def main(argv) -> None:
     from roadlake.session import local_session
 
-    import __spark_entry__ as E
+    from roadlake.plans.queries import registry
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.1"
     threshold = argv[1] if len(argv) > 1 else "10240"
@@ -59,7 +59,7 @@ def main(argv) -> None:
     print("pushed filters; widest scan = most columns read from one file.\n")
     print("| Key | Exchanges | Broadcasts | SMJ | BHJ | Windows | WGL | Partial agg | Pushed | Widest scan | Python UDF |")
     print("|---|---|---|---|---|---|---|---|---|---|---|")
-    for key, fn in E.queries().items():
+    for key, fn in registry().items():
         df = fn(spark, sf_dir)
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
