@@ -18,7 +18,7 @@ from roadlake import schema as S
 from roadlake.functions.columns import (
     date_of, flag_to_int, hour_label, hour_of, month_of, normalized_text, severity_int, to_float, weekday_of)
 from roadlake.operators import bronze, features, gold, kpi, model, profile, silver, split
-from roadlake.session import materialize, scratch_path, sf_table
+from roadlake.session import materialize, scratch_path, scratch_schema, sf_table
 from roadlake.sources import catalog, csv_batches, store
 from roadlake.sources.fixtures import incident_frame
 
@@ -147,11 +147,9 @@ def q_parquet_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-def _fresh_schema(spark, prefix: str) -> str:
-    """A new schema whose folder lives under the shared scratch location."""
-    name = f"{prefix}_{uuid.uuid4().hex[:10]}"
-    catalog.reset_schema(spark, name, [], location=scratch_path(spark, name))
-    return name
+def _fresh_table(spark, name: str) -> str:
+    """A new name in the scratch schema, whose files are in the shared folder until ``drop_scratch``."""
+    return f"{scratch_schema(spark)}.{name}_{uuid.uuid4().hex[:10]}"
 
 
 def q_silver_append(spark, sf_dir):
@@ -161,14 +159,12 @@ def q_silver_append(spark, sf_dir):
     union is one append, the same rows three daily appends would add.
     """
     per_day = silver.conform_accidents(cumulative(spark, sf_dir), group_cols=["bronze_date"])
-    table = f"{_fresh_schema(spark, 'silver')}.accidents"
-    catalog.append_table(per_day.drop("bronze_date"), table, scratch_path(spark, "silver-append"))
+    table = catalog.append_table(per_day.drop("bronze_date"), _fresh_table(spark, "accidents"))
     return catalog.table_scan(spark, table)
 
 
 def q_table_scan(spark, sf_dir):
-    db = _fresh_schema(spark, "silver")
-    table = catalog.overwrite_table(accidents(spark, sf_dir), f"{db}.accidents", scratch_path(spark, "table"))
+    table = catalog.overwrite_table(accidents(spark, sf_dir), _fresh_table(spark, "accidents"))
     return catalog.table_scan(spark, table)
 
 
