@@ -51,21 +51,20 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = 1024)
 
 
 class Bins:
-    """Bins under best fit: open bins by free space, the tightest found by a bit mask."""
+    """A grouping under best fit: open bins by free space, the tightest found by a bit mask."""
 
     def __init__(self, lengths: list[int], capacity: int):
         self.lengths, self.capacity = lengths, capacity
         self.bins: list[list[int]] = []
+        self.room: list[int] = []
         self.free: dict[int, list[int]] = {}
         self.mask = 0
 
     def add(self, items: list[int], room: int) -> None:
         self.bins.append(items)
-        self._offer(len(self.bins) - 1, room)
-
-    def _offer(self, b: int, room: int) -> None:
+        self.room.append(room)
         if room:
-            self.free.setdefault(room, []).append(b)
+            self.free.setdefault(room, []).append(len(self.bins) - 1)
             self.mask |= 1 << room
 
     def best_fit(self, items: list[int]) -> None:
@@ -81,32 +80,33 @@ class Bins:
             if not self.free[room]:
                 self.mask ^= 1 << room
             self.bins[b].append(i)
-            self._offer(b, room - n)
-
-
-def _fitness(lengths: list[int], bins: list[list[int]], capacity: int) -> tuple[int, float]:
-    """Fewer bins first, then the more unevenly filled grouping: its slack is easier to use."""
-    return -len(bins), sum((sum(lengths[i] for i in b) / capacity) ** 2 for b in bins)
-
-
-def _child(lengths, capacity, mother, father, rng) -> list[list[int]]:
-    """Inject whole bins of ``father``, best filled likelier, into ``mother``."""
-    fill = np.array([sum(lengths[i] for i in b) for b in father], dtype=float) / capacity
-    chosen = np.nonzero(rng.random(len(father)) < 0.5 * fill**8)[0]
-    given = [father[b] for b in chosen]
-    taken = {i for b in given for i in b}
-    out, displaced = Bins(lengths, capacity), []
-    worst = set(rng.choice(len(mother), size=max(1, len(mother) // 50), replace=False).tolist())
+            self.room[b] = left = room - n
+            if left:
+                self.free.setdefault(left, []).append(b)
+                self.mask |= 1 << left
+
+    def fitness(self) -> tuple[int, float]:
+        """Fewer bins first, then the more unevenly filled grouping: its slack is easier to use."""
+        fill = 1 - np.array(self.room) / self.capacity
+        return -len(self.bins), float(fill @ fill)
+
+
+def _child(mother: Bins, father: Bins, rng) -> Bins:
+    """Inject whole bins of ``father``, well-filled ones likelier, into ``mother``."""
+    fill = 1 - np.array(father.room) / father.capacity
+    given = np.flatnonzero(rng.random(len(fill)) < 0.5 * fill**8).tolist()
+    taken = {i for b in given for i in father.bins[b]}
+    out, displaced = Bins(mother.lengths, mother.capacity), []
     for b in given:
-        out.add(list(b), capacity - sum(lengths[i] for i in b))
-    for k, b in enumerate(mother):
-        left = [i for i in b if i not in taken]
-        if len(left) < len(b) or k in worst:
-            displaced += left
+        out.add(father.bins[b].copy(), father.room[b])
+    apart = set(rng.choice(len(mother.bins), size=max(1, len(mother.bins) // 50), replace=False).tolist())
+    for k, (items, room) in enumerate(zip(mother.bins, mother.room, strict=True)):
+        if k not in apart and taken.isdisjoint(items):
+            out.add(items.copy(), room)
         else:
-            out.add(list(b), capacity - sum(lengths[i] for i in b))
+            displaced += [i for i in items if i not in taken]
     out.best_fit(displaced)
-    return out.bins
+    return out
 
 
 def evolve(
@@ -114,24 +114,34 @@ def evolve(
 ) -> list[list[int]]:
     """The best grouping after some generations; ``start`` holds groupings to begin with."""
     rng = np.random.default_rng(seed)
-    pool = [(_fitness(lengths, b, capacity), b) for b in start]
+    whole = [[i] for i, n in enumerate(lengths) if n == capacity]  # these leave no choice
+    part = np.flatnonzero(np.array(lengths) < capacity)
+    if not len(part):
+        return whole
+    pool = []
+    for bins in start:
+        one = Bins(lengths, capacity)
+        for items in bins:
+            if lengths[items[0]] < capacity:
+                one.add(items, capacity - sum(lengths[i] for i in items))
+        pool.append((one.fitness(), one))
     while len(pool) < population:
         new = Bins(lengths, capacity)
-        head = rng.random(len(lengths)) < (0.0 if not pool else 0.1)  # the first is best fit decreasing
-        for some in (np.nonzero(head)[0], np.nonzero(~head)[0]):
+        head = rng.random(len(part)) < (0.1 if pool else 0.0)  # the first is best fit decreasing
+        for some in (part[head], part[~head]):
             new.best_fit(some.tolist())
-        pool.append((_fitness(lengths, new.bins, capacity), new.bins))
-    floor = -(-sum(lengths) // capacity)
+        pool.append((new.fitness(), new))
+    floor = -(-sum(lengths[i] for i in part.tolist()) // capacity)
     for _ in range(generations):
         pool.sort(key=lambda p: p[0], reverse=True)
         if -pool[0][0][0] <= floor:
             break
         a, b = rng.choice(max(2, population // 2), size=2, replace=False)
-        bins = _child(lengths, capacity, pool[a][1], pool[b][1], rng)
-        fit = _fitness(lengths, bins, capacity)
+        new = _child(pool[a][1], pool[b][1], rng)
+        fit = new.fitness()
         if fit > pool[-1][0] and all(fit != p[0] for p in pool):
-            pool[-1] = (fit, bins)
-    return max(pool, key=lambda p: p[0])[1]
+            pool[-1] = (fit, new)
+    return whole + max(pool, key=lambda p: p[0])[1].bins
 
 
 def _to_bins(numbers: np.ndarray) -> list[list[int]]:
@@ -149,7 +159,7 @@ def pack(
     islands: int = 2,
     epochs: int = 2,
     population: int = 4,
-    generations: int = 25,
+    generations: int = 16,
 ) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 

@@ -10,10 +10,12 @@ ordinary text.  Tests hold the ids against the ``tokenizers`` library.
 from __future__ import annotations
 
 import json
-import re
 
 #: White space other than space and line feed, and what Unicode versions disagree on.
-_ODD = re.compile("[^\\S \n]|[\x1c-\x1f\u180e\u200b-\u200d\u2060\ufeff]")
+_ODD = [
+    *"\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0",
+    *map(chr, [0x1680, 0x180E, *range(0x2000, 0x200E), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]),
+]
 
 
 def default_path() -> str:
@@ -32,7 +34,7 @@ def _byte_of() -> dict[str, int]:
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids."""
 
-    def __init__(self, path: str, max_words: int = 250_000):
+    def __init__(self, path: str, max_words: int = 400_000):
         import public_tokenizers
         import tiktoken
 
@@ -45,27 +47,29 @@ class Encoder:
         }
         self._bpe = tiktoken.Encoding(
             "file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-        )
+        ).encode_ordinary
+        self._bytes = [n.to_bytes(4, "little") for n in range(max(ranks.values()) + 1)]
         self._max = max_words
-        self._known: dict[str, bytes] = {}
+        self._new: dict[str, bytes] = {}  # words met lately; a full one becomes the old one
+        self._old: dict[str, bytes] = {}
 
     def _plain(self, text: str) -> bytes:
-        return self._bpe.encode_to_numpy(text).astype("<u4").tobytes()
+        return b"".join([self._bytes[n] for n in self._bpe(text)])
+
+    def _word(self, word: str) -> bytes:
+        ids = self._new[word] = self._old.get(word) or self._plain(" " + word)
+        return ids
 
     def encode(self, text: str) -> bytes:
-        if "  " in text or " \n" in text or text.endswith("\n ") or _ODD.search(text):
+        if "  " in text or " \n" in text or text.endswith("\n ") or any(c in text for c in _ODD):
             return self._plain(text)
-        known = self._known
+        if len(self._new) > self._max:
+            self._new, self._old = {}, self._new
         first, *rest = text.split(" ")
-        out = [self._plain(first)] if first else []
-        if len(known) > self._max:
-            known.clear()
-        for word in rest:
-            ids = known.get(word)
-            if ids is None:
-                ids = known[word] = self._plain(" " + word)
-            out.append(ids)
-        return b"".join(out)
+        ids = [*map(self._new.get, rest)]
+        if None in ids:
+            ids = [self._word(word) if n is None else n for n, word in zip(ids, rest, strict=True)]
+        return (self._plain(first) if first else b"") + b"".join(ids)
 
 
 _encoders: dict[str, Encoder] = {}
