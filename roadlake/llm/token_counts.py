@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from roadlake.llm.common import id_and_text, map_batches, store
 from roadlake.llm.tokens import encoder
 
-BAND = 4096
+BAND = 512
 
 
 def length_histogram(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -46,26 +46,25 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     upward = Window.partitionBy("band").orderBy("n_tokens").rowsBetween(Window.unboundedPreceding, 0)
     inside = h.withColumns({"d": F.sum("n_docs").over(upward), "t": F.sum(mass).over(upward)})
     bands = h.groupBy("band").agg(F.sum("n_docs").alias("bd"), F.sum(mass).alias("bt"))
-    over_bands = Window.orderBy("band")  # one row per 4,096 lengths
+    over_bands = Window.orderBy("band")  # one row per BAND lengths
     below = bands.select(
         "band",
         (F.sum("bd").over(over_bands) - F.col("bd")).alias("docs_below"),
         (F.sum("bt").over(over_bands) - F.col("bt")).alias("tokens_below"),
     )
-    totals = h.agg(F.sum("n_docs").alias("all_docs"), F.sum(mass).alias("total_tokens"))
+    all_docs, total_tokens = (F.lit(n) for n in h.agg(F.sum("n_docs"), F.sum(mass)).first())
     fitting = F.col("d") + F.col("docs_below")
     within = F.col("t") + F.col("tokens_below")
     return (
         inside.join(below, "band")
-        .join(F.broadcast(totals))  # one row
         .select(
             F.col("n_tokens").alias("context_limit"),
             "n_docs",
             fitting.alias("docs_fitting"),
-            (F.col("all_docs") - fitting).alias("docs_truncated"),
-            "total_tokens",
+            (all_docs - fitting).alias("docs_truncated"),
+            total_tokens.cast("long").alias("total_tokens"),
             within.alias("tokens_within"),
-            (within + (F.col("all_docs") - fitting) * F.col("n_tokens")).alias("truncated_total"),
-            (fitting / F.col("all_docs")).alias("quantile"),
+            (within + (all_docs - fitting) * F.col("n_tokens")).alias("truncated_total"),
+            (fitting / all_docs).alias("quantile"),
         )
     )
