@@ -23,7 +23,7 @@ RUN = r"[A-Za-z0-9+/_.~%=-]"
 CANDIDATE = (
     r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
     rf"|(?<![A-Za-z0-9])(?:AKIA|ASIA|ghp_|gho_|xox[abp]-|sk_live_|AIza|eyJ){RUN}{{8,}}"
-    rf"|(?i:(?<=password=|passwd=|secret=|token=|api_key=|apikey=|pwd=))[\"']?{RUN}{{6,}}"
+    rf"|(?<==)(?i:(?<=password=|passwd=|secret=|token=|api_key=|apikey=|pwd=))[\"']?{RUN}{{6,}}"
     rf"|(?<!{RUN}){RUN}{{16,}}(?!{RUN})"
 )
 CREDENTIAL = r"(?i)(?:pass(?:word|wd|phrase)|pwd|secret|token|api.?key|access.?key|private.?key|credential|bearer|auth)"
