@@ -1,7 +1,7 @@
 """Log-likelihood of whole documents under a word count base and a recurrent model.
 
-Counts cover every training document.  The ``head`` most frequent words (a
-bound) are broadcast; all other words meet their counts in a join.  The model
+Counts cover every training document.  At most ``head`` of the most frequent
+words are broadcast; all other words meet their counts in a join.  The model
 predicts the ``vocabulary`` most frequent words and one class for the rest,
 whose words then share it by their counts.  Its weights are learnt in rounds:
 each task passes over its own training documents from the round's common start,
@@ -97,10 +97,18 @@ class Vocabulary:
 
 
 def _vocabulary(counts: DataFrame, head: int, size: int) -> Vocabulary:
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(head).union(counts.where(F.col("word") == END)).distinct()
-    rows = sorted(((bytes(w), c) for w, c in top.collect()), key=lambda r: (-r[1], r[0]))
-    return Vocabulary(rows, total, distinct, size)
+    """Words are taken from the most frequent down, by whole steps of 1/64 octave, while they number ``head`` at most."""
+    step = F.floor(64 * F.log2("c")).cast("long")
+    steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("n"), F.sum("c").alias("c")).collect()  # < 4,096
+    lowest, held = 2**62, 0
+    for r in sorted(steps, reverse=True):
+        held += r.n
+        if held > head:
+            break
+        lowest = r.step
+    top = counts.where((step >= lowest) | (F.col("word") == END)).collect()
+    rows = sorted(((bytes(w), c) for w, c in top), key=lambda r: (-r[1], r[0]))
+    return Vocabulary(rows, sum(r.c for r in steps), sum(r.n for r in steps), size)
 
 
 def _learnt(training: DataFrame, shared, params: recurrent.Params, rate: float) -> recurrent.Params:
