@@ -45,29 +45,46 @@ def _rolled(h: np.ndarray, n: int) -> np.ndarray:
     k = len(h) - n + 1
     out = h[:k].copy()
     for j in range(1, n):
-        out = _mix(out) + h[j : j + k]
+        out *= U64(_BASE)
+        out += h[j : j + k]
     return _mix(out)
 
 
-class WordHashes:
-    """64-bit hashes of words, kept for repeated words in a bounded cache."""
+_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
+_PIECE = 1 << 20
 
-    def __init__(self, most: int = 300_000):
-        import xxhash
 
-        self._hash, self._most, self._known = xxhash.xxh64_intdigest, most, {}
+def _powers(n: int, base: int) -> np.ndarray:
+    out = np.full(n, base, U64)
+    out[:1] = 1
+    return np.cumprod(out)
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        known, new = self._known, self._hash
-        if len(known) > self._most:
-            known.clear()
-        get = known.get
-        out = [get(w) for w in words]
-        if None in out:
-            for i, h in enumerate(out):
-                if h is None:
-                    out[i] = known[words[i]] = new(words[i])
-        return np.array(out, dtype=U64)
+
+_UP, _DOWN = _powers(2 * _PIECE, _BASE), _powers(2 * _PIECE, pow(_BASE, -1, 1 << 64))
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hash of each word, from sums of powers over the bytes; equal words have equal hashes."""
+    if len(text) > _PIECE:  # cut at white space; what has none is hashed word by word
+        words, out, at = text.split(), [], 0
+        while at < len(words):
+            to, size = at, 0
+            while to < len(words) and (to == at or size + len(words[to]) < _PIECE):
+                size += len(words[to]) + 1
+                to += 1
+            if size > _PIECE:
+                out.append(np.frombuffer(hashlib.blake2b(words[at], digest_size=8).digest(), U64))
+            else:
+                out.append(word_hashes(b" ".join(words[at:to])))
+            at = to
+        return np.concatenate(out) if out else np.zeros(0, U64)
+    raw = np.frombuffer(text, np.uint8)
+    edge = np.diff(np.concatenate([[True], _SPACE[raw], [True]]).astype(np.int8))
+    start, end = np.flatnonzero(edge < 0), np.flatnonzero(edge > 0)
+    total = np.zeros(len(raw) + 1, U64)
+    np.cumsum((raw + U64(1)) * _UP[: len(raw)], out=total[1:])
+    return _mix((total[end] - total[start]) * _DOWN[start])
 
 
 def smallest(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -77,37 +94,47 @@ def smallest(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, n
     if n < 1:
         none = np.zeros(0, np.int64)
         return none.astype(U64), none, none
-    grams = _rolled(hashes, gram)
-    value, place = grams[:n].copy(), np.arange(n)
-    for j in range(1, window - gram + 1):
-        less = grams[j : j + n] < value
-        value[less] = grams[j : j + n][less]
-        place[less] = np.flatnonzero(less) + j
-    first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-    return value[first], first, np.diff(np.r_[first, n])
+    # the six lowest bits tell the places of a window apart; equal windows still agree on the rest
+    key = _rolled(hashes, gram) & ~U64(63)
+    key |= np.arange(len(key), dtype=U64) & U64(63)
+    span, wide = 1, window - gram + 1
+    while span < wide:
+        step = min(span, wide - span)
+        key = np.minimum(key[:-step], key[step:])
+        span += step
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    return key[first] & ~U64(63), first, np.diff(np.r_[first, n])
 
 
-def _grams(window: int):
-    """Each text's distinct smallest hashes with their places: start * 64 + number of windows."""
+def _grams(window: int, places: bool):
+    """Each text's distinct smallest hashes; with their places, start * 64 + number of windows, if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            h, t, at = [], [], []
-            for text_id, text in zip(batch.column("t").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                value, first, count = smallest(hashes(text.split()), window)
-                if not len(value):
+            hashes, owners, packed, ends = [np.zeros(0, U64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            size = 0
+            for t, text in zip(batch.column("t").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                value, first, count = smallest(word_hashes(text), window)
+                if not places:
+                    hashes.append(np.unique(value))
                     continue
                 order = np.argsort(value, kind="stable")
-                value, packed = value[order], (first * 64 + count)[order]
-                cut = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
-                h.append(value[cut])
-                t += [text_id] * len(cut)
-                raw = packed.tobytes()
-                edge = [*(8 * cut).tolist(), len(raw)]
-                at += [raw[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
-            h = np.concatenate(h) if h else np.zeros(0, U64)
-            yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(t, pa.int64()), pa.array(at, pa.binary())], ["h", "t", "at"])
+                value = value[order]
+                last = np.flatnonzero(np.r_[value[1:] != value[:-1], True][: len(value)])
+                hashes.append(value[last])
+                owners.append(np.full(len(last), t))
+                packed.append((first * 64 + count)[order])
+                ends.append(size + 8 * (last + 1))
+                size += 8 * len(value)
+            h = pa.array(np.concatenate(hashes).view(np.int64))
+            if not places:
+                yield pa.record_batch([h], ["h"])
+                continue
+            offsets = np.concatenate([[0], *ends]).astype(np.int64)
+            at = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(h), [None, pa.py_buffer(offsets), pa.py_buffer(np.concatenate(packed))]
+            )
+            yield pa.record_batch([h, pa.array(np.concatenate(owners)), at.cast(pa.binary())], ["h", "t", "at"])
 
     return run
 
@@ -261,8 +288,8 @@ def dedup(docs: DataFrame, window: int = 13, texts: bool = True) -> DataFrame:
     unique = rows.groupBy("t").agg(
         F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("owner"), F.first("text").alias("text")
     )
-    grams = map_batches(unique, _grams(window), "h long, t long, at binary")
-    shared = grams.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h", (F.col("n") > HOT).alias("hot"))
+    grams = map_batches(unique, _grams(window, True), "h long, t long, at binary")
+    shared = map_batches(unique, _grams(window, False), "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h", (F.col("n") > HOT).alias("hot"))
     around = grams.join(shared, "h").groupBy("t").agg(F.collect_list(F.struct("h", "hot", "at")).alias("spans"))
     spans = map_batches(unique.join(around, "t"), _spans(window), "h long, t long, owner long, at binary, words binary")
     dealt = spans.where("h is not null").repartition("h").sortWithinPartitions("h")
