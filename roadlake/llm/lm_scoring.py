@@ -2,12 +2,13 @@
 
 Counts cover every training document.  At most ``head`` of the most frequent
 words are broadcast; all other words meet their counts in a join.  The model
-predicts the ``vocabulary`` most frequent words and one class for the rest,
-whose words then share it by their counts.  Its weights are learnt in rounds:
-each task passes over its own training documents from the round's common start,
-and the results are averaged in a tree of tasks.  ``share`` of the training
-documents, chosen by a hash of their text, teach the weights; this grows with
-the corpus.
+predicts the most frequent words, ``vocabulary`` or the square root of the
+number of distinct words if that is more, and one class for the rest, whose
+words then share it by their counts.  Its weights are learnt in two rounds from
+every training document: each task passes once over its own documents from the
+round's common start, and the results are averaged in a tree of tasks.  The
+documents are dealt to the rounds by a hash of id and text, a fifth to the first.
+A caller may give a smaller ``share`` of them; the query does not.
 """
 
 from __future__ import annotations
@@ -28,10 +29,15 @@ from roadlake.llm.common import id_and_text, map_batches, store
 from roadlake.session import scratch_path
 
 END = b"\n"  # no word holds a line feed
-CLASSES = 48
+CLASSES = 48  # at least
 WIDTH, WINDOW = 1024, 32
 
 
+def class_starts(counts: np.ndarray) -> np.ndarray:
+    """About as many classes as words in a class."""
+    return recurrent.class_starts(counts, max(CLASSES, math.isqrt(len(counts))))
+
+
 def held_out(doc_id):
     """crc32 of the id as text, modulo 7, is 2; false for a null id."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
@@ -74,7 +80,7 @@ class Vocabulary:
         self.logs = np.log10(np.array([c for _, c in inside], float) + 1)
         self.end_log = math.log10(ends + 1)
         self.any_end = ends > 0
-        named = inside[:size]
+        named = inside[: max(size, math.isqrt(distinct))]
         self.rest_total = total - ends - sum(c for _, c in named)
         self.rest_distinct = distinct - self.any_end - len(named)
         counts = np.array([c for _, c in named] + [ends, self.rest_total], float)
@@ -123,7 +129,7 @@ def _learnt(training: DataFrame, shared, params: recurrent.Params, rate: float)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pickle.loads(shared.value)
-        starts = recurrent.class_starts(vocabulary.counts, CLASSES)
+        starts = class_starts(vocabulary.counts)
         p = recurrent.unflatten(start.value, params)
         model = recurrent.Model(p, starts)
         memory = {k: np.full_like(v, 1e-8) for k, v in p.items()}
@@ -162,7 +168,7 @@ def score(
     vocabulary: int = 2000,
     head: int = 200_000,
     hidden: int = 16,
-    share: float = 0.25,
+    share: float = 1.0,
     rate: float = 0.1,
 ) -> DataFrame:
     """One row per document.
@@ -176,7 +182,7 @@ def score(
     spark = docs.sparkSession
     source = docs.select(
         held_out(F.col("doc_id").cast("long")).alias("held_out"),
-        F.pmod(F.xxhash64("text"), F.lit(1000)).alias("slice"),
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(1000)).alias("slice"),
         "text",
     )
     training = source.where("not held_out").select(
@@ -185,7 +191,7 @@ def score(
     counts = store(word_counts(training))
     known = _vocabulary(counts, head, vocabulary)
     shared = spark.sparkContext.broadcast(pickle.dumps(known))
-    starts = recurrent.class_starts(known.counts, CLASSES)
+    starts = class_starts(known.counts)
     params = recurrent.fresh(known.counts, starts, hidden)
     first, last = int(200 * share), int(1000 * share)
     for low, high in ((0, first), (first, last)):

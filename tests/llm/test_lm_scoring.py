@@ -127,3 +127,23 @@ def test_empty_table_and_no_training(documents):
     i = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     r = lm_scoring.score(documents([(i, "a b")])).first()
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (True, 3, 0, 0, 0.0)
+
+
+def test_weights_learn_from_every_training_document_once(documents, monkeypatch):
+    seen, learnt = [], lm_scoring._learnt
+
+    def watched(training, *rest):
+        seen.extend(bytes(r.text).decode() for r in training.collect())
+        return learnt(training, *rest)
+
+    monkeypatch.setattr(lm_scoring, "_learnt", watched)
+    docs = [(i, f"w{i} of") for i in range(40)] + [(i, "a hot text") for i in range(40, 60)] + [(None, "no id"), (60, None)]
+    assert lm_scoring.score(documents(docs)).count() == len(docs)
+    assert sorted(seen) == sorted(t or "" for d, t in docs if d is None or zlib.crc32(str(d).encode()) % 7 != 2)
+
+
+def test_vocabulary_and_classes_grow_with_the_corpus():
+    head = [(b"w%d" % i, 10_000 - i) for i in range(9000)]
+    assert len(lm_scoring.Vocabulary(head, 10**9, 10**6, 2000).ids) == 2000
+    v = lm_scoring.Vocabulary(head, 10**10, 64 * 10**6, 2000)
+    assert len(v.ids) == 8000 and len(lm_scoring.class_starts(v.counts)) - 1 > lm_scoring.CLASSES
