@@ -19,12 +19,16 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Fixed base phrases and their labels.
 BASE = {("cc", "by"): "cc-by", ("general", "public", "license"): "gpl", ("all", "rights", "reserved"): "reserved"}
 
-#: label, keyword that must occur as a word, names of the licence as words, versions.
+#: label, keyword that stands in each of the names as a word, names of the licence as words, versions.
 FAMILIES = [
     ("apache", "apache", "apache(?: software)?", ["1 0", "1 1", "2 0"]),
-    ("mit", "mit", "mit|expat|x11", []),
-    ("bsd", "bsd", "bsd|berkeley software distribution", ["2 clause", "3 clause", "4 clause"]),
-    ("isc", "isc", "isc|internet systems consortium", []),
+    ("mit", "mit", "mit", []),
+    ("mit", "expat", "expat", []),
+    ("mit", "x11", "x11", []),
+    ("bsd", "bsd", "bsd", ["2 clause", "3 clause", "4 clause"]),
+    ("bsd", "berkeley", "berkeley software distribution", ["2 clause", "3 clause", "4 clause"]),
+    ("isc", "isc", "isc", []),
+    ("isc", "consortium", "internet systems consortium", []),
     ("gpl", "gpl", "(?:gnu )?gpl", ["v1", "v2", "v3", "2 0", "3 0"]),
     ("gpl", "general", "(?:gnu )?general public", ["1", "2", "3"]),
     ("lgpl", "lgpl", "(?:gnu )?lgpl", ["v2", "v3", "2 1", "3 0"]),
@@ -35,8 +39,10 @@ FAMILIES = [
     ("mpl", "mozilla", "mozilla public", ["1 0", "1 1", "2 0"]),
     ("mpl", "mpl", "mpl", ["1 1", "2 0"]),
     ("epl", "eclipse", "eclipse public", ["1 0", "2 0"]),
-    ("cddl", "cddl", "cddl|common development and distribution", ["1 0", "1 1"]),
-    ("eupl", "eupl", "eupl|european union public", ["1 1", "1 2"]),
+    ("cddl", "cddl", "cddl", ["1 0", "1 1"]),
+    ("cddl", "distribution", "common development and distribution", ["1 0", "1 1"]),
+    ("eupl", "eupl", "eupl", ["1 1", "1 2"]),
+    ("eupl", "european", "european union public", ["1 1", "1 2"]),
     ("artistic", "artistic", "(?:perl )?artistic", ["1 0", "2 0"]),
     ("boost", "boost", "boost software", ["1 0"]),
     ("zlib", "zlib", "zlib(?: libpng)?", []),
@@ -44,11 +50,13 @@ FAMILIES = [
     ("wtfpl", "wtfpl", "wtfpl", ["2", "2 0"]),
     ("python", "python", "python(?: software foundation)?", ["2 0", "3"]),
     ("postgresql", "postgresql", "postgresql", []),
-    ("ofl", "ofl", "ofl|sil open font", ["1 0", "1 1"]),
+    ("ofl", "ofl", "ofl", ["1 0", "1 1"]),
+    ("ofl", "sil", "sil open font", ["1 0", "1 1"]),
     ("openssl", "openssl", "openssl", []),
     ("php", "php", "php", ["3 0", "3 01"]),
     ("ms-pl", "microsoft", "microsoft public", []),
-    ("odbl", "odbl", "odbl|open database", ["1 0"]),
+    ("odbl", "odbl", "odbl", ["1 0"]),
+    ("odbl", "database", "open database", ["1 0"]),
     ("cc0", "cc0", "cc0", ["1 0"]),
     ("cc-by", "cc", "cc by", ["2 0", "2 5", "3 0", "4 0"]),
     ("cc-by-sa", "cc", "cc by sa", ["2 0", "2 5", "3 0", "4 0"]),
@@ -78,7 +86,9 @@ SINGLE = [
     ("bsd", "redistributions", "redistributions of source code must retain", 4, 0.8),
     ("gpl", "redistribute", "you can redistribute it and or modify it under the terms of the gnu general public license", 5, 0.95),
     ("zlib", "provided", "this software is provided as is without any express or implied warranty", 4, 0.7),
-    ("cc0", "waive", "waive[sd]? all copyright and related", 4, 0.8),
+    ("cc0", "waive", "waive all copyright and related", 4, 0.8),
+    ("cc0", "waives", "waives all copyright and related", 4, 0.8),
+    ("cc0", "waived", "waived all copyright and related", 4, 0.8),
     ("public-domain", "domain", "(?:in|into|to) the public domain", 3, 0.7),
     ("public-domain", "domain", "public domain", 2, 0.4),
     ("unlicense", "unencumbered", "free and unencumbered software released into the public domain", 5, 0.95),

@@ -77,3 +77,56 @@ def test_empty_table_and_native_plan(documents, capsys):
     assert df.count() == 0
     df.explain()
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
+
+
+def spellings(pattern):
+    """All texts that a rule's pattern matches, digit ranges by their first digit."""
+    from re import _parser
+
+    def of(items):
+        out = [""]
+        for op, arg in items:
+            name = str(op)
+            if name == "LITERAL":
+                own = [chr(arg)]
+            elif name == "IN":
+                own = [chr(a if str(o) == "LITERAL" else a[0]) for o, a in arg]
+            elif name == "BRANCH":
+                own = [x for b in arg[1] for x in of(b)]
+            elif name == "SUBPATTERN":
+                own = of(arg[3])
+            elif name == "MAX_REPEAT":
+                assert arg[:2] == (0, 1)
+                own = ["", *of(arg[2])]
+            else:
+                assert name in ("ASSERT", "ASSERT_NOT"), name
+                own = [""]
+            out = [x + y for x in out for y in own]
+        return out
+
+    return of(_parser.parse(pattern))
+
+
+def test_every_spelling_of_a_rule_holds_its_keyword():
+    for _, label, keyword, pattern, _, _ in licenses.rules():
+        for text in spellings(pattern):
+            assert re.search(pattern, f" {text} ") and keyword in text.split(), (label, keyword, text)
+
+
+def test_every_name_is_found_alone(documents):
+    want = {}
+    for label, _, name, _ in licenses.FAMILIES:
+        for n in spellings(name):
+            want[len(want)] = (f"Released under the {n} License", label)
+    names = {
+        "mit": ("Expat", "X11"), "bsd": ("Berkeley Software Distribution",), "isc": ("Internet Systems Consortium",),
+        "cddl": ("Common Development and Distribution",), "eupl": ("European Union Public",), "ofl": ("SIL Open Font",),
+        "odbl": ("Open Database",),
+    }
+    for label, some in names.items():
+        for n in some:
+            want[len(want)] = (f"licensed under the {n} License", label)
+    want[len(want)] = ("has waived all copyright and related rights", "cc0")
+    out = licenses.scan(documents([(i, t) for i, (t, _) in want.items()])).collect()
+    for r in out:
+        assert want[r.doc_id][1] in r.labels.split(","), want[r.doc_id]
