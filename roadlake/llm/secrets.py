@@ -1,7 +1,8 @@
 """Secret scans: candidate strings judged by a random forest, in DataFrame functions only.
 
 One pattern finds candidates in whole texts: long runs of token characters,
-values assigned to credential names, key blocks and well-known prefixes.  The
+values assigned to credential names, passwords in URLs, whole key blocks and
+well-known prefixes.  The
 forest sees a candidate's length, the transitions between its character
 classes, how much of it dictionary words and frequent letter pairs cover,
 whether it is part of a path, and the words beside it; it is trained on
@@ -20,11 +21,26 @@ from roadlake.llm.common import store
 
 #: What may stand in a token, a path or a URL.
 RUN = r"[A-Za-z0-9+/_.~%=-]"
+#: Names to which credentials are assigned, as the name ends.
+NAMES = (
+    r"(?i:pass(?:word|wd|phrase)|pwd|secret|token|api[_.-]?key|access[_.-]?key(?:[_.-]?id)?|private[_.-]?key|"
+    r"secret[_.-]?key|credentials?|auth)"
+)
+#: What may stand in an assigned value: in quotes all but quotes and white space, else also no brackets and separators.
+VALUE = r"(?:(?<=[\"'`])[^\s\"'`]{4,}|(?:(?!&\w{1,40}=)[^\s\"'`,;<>(){}\[\]]){4,})"
+KEY = r"PRIVATE KEY(?: BLOCK)?-----"
+#: A key block up to its END line; one without it up to the last line that can be its own.
+BLOCK = (
+    rf"-----BEGIN [A-Z0-9 ]{{0,30}}{KEY}"
+    rf"(?:(?:(?!-----)[\s\S])*+-----END [A-Z0-9 ]{{0,30}}{KEY}"
+    r"|(?:(?:\s|\\[nr])++(?:[A-Za-z0-9+/=]++|[A-Z][A-Za-z-]*+: [^\r\n\\]*+)(?=[\r\n\\\"'`]|$|\z))*+)"
+)
+#: A run of 16 or more, unless it is a credential name with its value: there the value alone is the candidate.
 CANDIDATE = (
-    r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
-    rf"|(?<![A-Za-z0-9])(?:AKIA|ASIA|ghp_|gho_|xox[abp]-|sk_live_|AIza|eyJ){RUN}{{8,}}"
-    rf"|(?<==)(?i:(?<=password=|passwd=|secret=|token=|api_key=|apikey=|pwd=))[\"']?{RUN}{{6,}}"
-    rf"|(?<!{RUN}){RUN}{{16,}}(?!{RUN})"
+    BLOCK + rf"|(?<![A-Za-z0-9])(?:AKIA|ASIA|ghp_|gho_|xox[abp]-|sk_live_|AIza|eyJ){RUN}{{8,}}"
+    rf"|(?<=[=:>\s\"'`])(?=[^\s\"'`=:>])(?<=[=:]>?\s{{0,2}}[\"'`]?)(?<={NAMES}[\"'`\]]{{0,2}}\s{{0,2}}:?[=:]>?\s{{0,2}}[\"'`]?){VALUE}"
+    r"|(?<=:)(?<=://[^\s/:@]{0,64}:)[^\s/@\"'`<>]+(?=@)"
+    rf"|(?<!{RUN})(?={RUN}{{16}})(?![A-Za-z0-9+/_.~%-]*+(?<={NAMES})=(?=[^\s\"'`=:>]){VALUE}){RUN}{{16,}}"
 )
 CREDENTIAL = r"(?i)(?:pass(?:word|wd|phrase)|pwd|secret|token|api.?key|access.?key|private.?key|credential|bearer|auth)"
 INNOCENT = r"(?i)(?:example|sample|dummy|placeholder|changeme|your|sha1|sha256|md5|commit|checksum|digest|hash|uuid|http|www)"
@@ -60,6 +76,8 @@ def features(found: DataFrame) -> DataFrame:
     v, before, after = F.col("value"), F.col("before"), F.col("after")
     n = F.greatest(F.length(v), F.lit(1)).cast("double")
     lead = F.regexp_extract(before, r"((?:\S+\s+){0,2}\S*)$", 1)
+    in_url = before.rlike(r"://[^\s/:@]{0,64}:$") & after.startswith("@")
+    named = before.rlike(r"[=:]>?\s*[\"'`]?$") & lead.rlike(CREDENTIAL)
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
     made = {
         "length": n,
@@ -76,10 +94,13 @@ def features(found: DataFrame) -> DataFrame:
         "pairs": _covered(v, PAIRS),
         "slashes": _count(v, "/"),
         "dots": _count(v, "[.]"),
-        "in_path": flag(v.rlike(r"^/|^\w+/|://|\.(?:com|org|net|html?|php|png|jpg)\b") | before.rlike(r"[/\\:]$")),
+        "in_path": flag(
+            (v.rlike(r"^/|^\w+/|://|\.(?:com|org|net|html?|php|png|jpg)\b") | before.rlike(r"[/\\:]$"))
+            & ~(in_url | named | v.startswith("-----BEGIN"))
+        ),
         "quoted": flag(before.rlike("[\"'`]$") & after.rlike("^[\"'`]")),
-        "assigned": flag(before.rlike("[=:]\\s*[\"'`]?$")),
-        "credential": flag(lead.rlike(CREDENTIAL)),
+        "assigned": flag(before.rlike("[=:]>?\\s*[\"'`]?$")),
+        "credential": flag(lead.rlike(CREDENTIAL) | in_url),
         "innocent": flag(lead.rlike(INNOCENT) | v.rlike(INNOCENT)),
         "prefixed": flag(v.rlike(PREFIXED)),
         "follows_word": flag(before.rlike(r"\p{L}\s$")),

@@ -85,3 +85,46 @@ def test_runs_no_python_on_executors(documents, labelled, capsys):
         df.explain()
         plan = capsys.readouterr().out
         assert not re.search("Python|Pandas|Arrow", plan)
+
+
+BODY = "\n".join(f"MIIEpAIBAAKCAQEA7bq0/+{i:04d}dxyzABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghij" for i in range(6))
+FORMS = {  # text, value, text once masked
+    1: ("my password: S3cr3t99x", "S3cr3t99x", "my password: [SECRET]"),
+    2: ("password = S3cr3t99x", "S3cr3t99x", "password = [SECRET]"),
+    3: ('{"password": "S3cr3t99x"}', "S3cr3t99x", '{"password": "[SECRET]"}'),
+    4: ("postgres://user:S3cretPw@host/db", "S3cretPw", "postgres://user:[SECRET]@host/db"),
+    5: ("password=P@ssw0rd!2024", "P@ssw0rd!2024", "password=[SECRET]"),
+    6: ("db_password=S3cr3t99xyz0123456789", "S3cr3t99xyz0123456789", "db_password=[SECRET]"),
+    7: ("x token=abc123&user=bob", "abc123", "x token=[SECRET]&user=bob"),
+    8: ("'api_key' => 'ab12:c$d#34'", "ab12:c$d#34", "'api_key' => '[SECRET]'"),
+    9: ("pwd:ab12*cd34", "ab12*cd34", "pwd:[SECRET]"),
+}
+for n, end in ((20, "\n-----END RSA PRIVATE KEY-----"), (21, "")):
+    block = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n{BODY}\nabc={end}"
+    FORMS[n] = (f"a {block}\nhttps://www.example.com/path/more", block, "a [SECRET]\nhttps://www.example.com/path/more")
+FORMS[22] = (r'k="-----BEGIN PRIVATE KEY-----\nMIIE/abc\nxyz=\n-----END PRIVATE KEY-----"', None, 'k="[SECRET]"')
+PLAIN = [
+    (100 + i, t)
+    for i, t in enumerate(
+        [f"see https://www.site{k}.com/some/path/page{k}.html" for k in range(20)]
+        + [f"commit {k:02d}{HEX} fixes it" for k in range(20)]
+        + [f"password: {w} and the like" for w in ("required", "optional", "missing", "unknown", "changeme")]
+    )
+]
+
+
+def test_forms_are_found_judged_and_masked_with_default_labels(documents):
+    docs = documents([(d, f[0]) for d, f in FORMS.items()] + PLAIN)
+    rows = secrets.judged(docs).collect()
+    good = {(r.doc_id, r.value) for r in rows if r.is_secret}
+    for d, (_, value, _) in FORMS.items():
+        assert value is None or (d, value) in good, (d, value, [tuple(r) for r in rows if r.doc_id == d])
+    masked = {r.doc_id: r.text for r in secrets.mask(docs).collect()}
+    assert {d: masked[d] for d in FORMS} == {d: f[2] for d, f in FORMS.items()}
+    assert {d: masked[d] for d, _ in PLAIN} == dict(PLAIN)
+
+
+def test_a_long_text_after_a_key_without_end(documents):
+    text = "-----BEGIN PRIVATE KEY-----" + " filler words-here" * 100_000
+    (r,) = secrets.candidates(documents([(1, text)])).collect()
+    assert r.value == "-----BEGIN PRIVATE KEY-----"
