@@ -1,12 +1,14 @@
-"""Embedding near-dedup by sorted projection passes.
-
-Distinct vectors are ordered, in several passes, lexicographically by 64
-concatenated random-hyperplane bits; each is compared with a bounded window of
-neighbours, and pairs at or above the cosine threshold are united across passes.
-The number of passes follows from the number of vectors, the window and the
-recall wanted at the threshold itself.  Windows decide which vectors belong to
-one component; the links inside a component are then counted exactly, in blocks
-of bounded size, so that a large group loses none of them.
+"""Embedding near-dedup by hyperplane buckets, each compared in full.
+
+In several passes distinct vectors fall into buckets by their leading
+random-hyperplane bits.  All pairs of a bucket are compared, a large bucket in
+pairs of blocks of bounded size, and those at or above the cosine threshold are
+united across passes.  A pair at the threshold shares a bucket with a
+probability that depends on its angle and the number of bits only, not on the
+other vectors; the passes follow from it and the recall wanted.  The number of
+bits is the one of least work by the measured sizes of the buckets, so crowded
+vectors get more bits and more passes.  The links inside a component are then
+counted exactly, in the same blocks.
 """
 
 from __future__ import annotations
@@ -23,18 +25,47 @@ from roadlake.llm.common import map_batches, store, union_pairs
 from roadlake.llm.components import connected_components
 
 BITS = 64
+MOST_BITS = 48  # above, passes are thousands
+
+
+def passes_for(bits: int, threshold: float, recall: float) -> int:
+    """Passes after which a pair at the threshold has shared a bucket with this probability.
+
+    A random hyperplane leaves a pair on one side with probability 1 - angle / pi.
+    """
+    once = (1 - math.acos(threshold) / math.pi) ** bits
+    return 1 if once >= recall else max(1, math.ceil(math.log(1 - recall) / math.log(1 - once)))
 
 
 def passes_needed(n: int, window: int, threshold: float, recall: float) -> int:
-    """Passes after which a pair at the threshold has met within the window with this probability.
+    """Passes for n evenly spread vectors, in buckets of half a window."""
+    return passes_for(math.ceil(max(0.0, math.log2(max(n, 1) / window)) + 1), threshold, recall)
 
-    Two of n vectors are neighbours within the window once they share about
-    log2(n / window) leading bits; a random hyperplane leaves a pair on one side
-    with probability 1 - angle / pi.
+
+def _bits(first_pass: DataFrame, n: int, window: int, threshold: float, recall: float) -> int:
+    """The number of leading bits with the least work: passes, times the mates in a bucket and a row's own cost.
+
+    A row's own cost counts as ``window`` comparisons.  No bits if all vectors fit one window.
     """
-    shared = max(0.0, math.log2(max(n, 1) / window)) + 1
-    once = (1 - math.acos(threshold) / math.pi) ** shared
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - once)))
+    if n <= window:
+        return 0
+    tried = F.sequence(F.lit(0), F.lit(MOST_BITS))
+    sizes = (
+        first_pass.groupBy("tag", "key")
+        .agg(F.count("*").alias("n"))
+        .select("tag", "key", "n", F.explode(tried).alias("bits"))
+        .groupBy("tag", "bits", _prefix(F.col("key"), F.col("bits")).alias("prefix"))
+        .agg(F.sum("n").cast("double").alias("n"))
+        .groupBy("bits")
+        .agg(F.sum(F.col("n") * F.col("n")).alias("pairs"))
+        .collect()  # one row for each number of bits
+    )
+    return min(sizes, key=lambda r: (passes_for(r.bits, threshold, recall) * (r.pairs / n + window), r.bits)).bits
+
+
+def _prefix(key, bits):
+    """The leading bits of a key of BITS."""
+    return F.when(bits == 0, F.lit(0).cast("long")).otherwise(F.call_function("shiftrightunsigned", key, F.lit(BITS) - bits))
 
 
 def _units(batch: pa.RecordBatch, column: str) -> list[tuple[int, np.ndarray, np.ndarray]]:
@@ -56,9 +87,7 @@ def _hashes(passes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            rep = batch.column("rep").to_numpy()
             for dim, rows, unit in _units(batch, "embedding"):
-                packed = pa.array([u.tobytes() for u in unit], pa.binary())
                 for p in range(passes):
                     if (p, dim) not in planes:
                         planes[p, dim] = np.random.default_rng((p, dim)).standard_normal((dim, BITS))
@@ -66,82 +95,82 @@ def _hashes(passes: int):
                     key = bits.view(">u8")[:, 0].astype(np.int64)
                     tag = np.full(len(rows), p << 32 | dim)
                     yield pa.record_batch(
-                        [pa.array(tag), pa.array(key), pa.array(rep[rows]), packed], ["tag", "key", "rep", "unit"]
+                        [pa.array(tag), pa.array(key), batch.column("rep").take(pa.array(rows)), batch.column("embedding").take(pa.array(rows))],
+                        ["tag", "key", "rep", "embedding"],
                     )
 
     return run
 
 
-def _windows(window: int, threshold: float):
-    half = window // 2
+def _by_blocks(keys: tuple[str, ...], made):
+    """``made`` of each pair of blocks; rows come sorted by the keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted; the last half window of a batch is carried into the next."""
-        last, held, held_unit = None, np.zeros(0, np.int64), None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            tags, reps = batch.column("tag").to_numpy(), batch.column("rep").to_numpy()
-            cut = np.flatnonzero(np.r_[True, tags[1:] != tags[:-1], True])
-            a, b = [], []
-            for s, e in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                unit = np.frombuffer(b"".join(batch.column("unit")[s:e].to_pylist())).reshape(e - s, -1)
-                rep = reps[s:e]
-                if tags[s] == last:
-                    unit, rep = np.concatenate([held_unit, unit]), np.concatenate([held, rep])
-                parent = np.arange(len(rep))
-                for at in range(0, len(rep), half):
-                    i, j = np.nonzero(unit[at : at + half] @ unit[at : at + window].T >= threshold)
-                    union_pairs(parent, i + at, j + at)
-                tied = np.flatnonzero(parent != np.arange(len(rep)))
-                a.append(rep[tied])
-                b.append(rep[parent[tied]])
-                last, held, held_unit = tags[s], rep[-half:], unit[-half:]
-            yield pa.record_batch([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
-
-    return run
-
-
-def _count(threshold: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by (component, left, right): one pair of blocks at a time."""
-
-        def counted(t: pa.Table) -> pa.RecordBatch:
-            t = t.combine_chunks()
-            b = t.to_batches()[0]
-            rep, mine, other = (b.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "block", "n"))
-            left, right = b.column("left")[0].as_py(), b.column("right")[0].as_py()
-            links = np.zeros(len(rep), np.int64)
-            for _, rows, unit in _units(b, "embedding"):
-                x, y = rows[mine[rows] == left], rows[mine[rows] == right]
-                ux, uy = unit[mine[rows] == left], unit[mine[rows] == right]
-                near = ux @ uy.T >= threshold
-                if left == right:
-                    np.fill_diagonal(near, False)
-                    links[x] = near @ other[x]
-                else:
-                    links[x] = near @ other[y]
-                    links[y] = near.T @ other[x]
-            return pa.record_batch([pa.array(rep), pa.array(links)], ["rep", "links"])
-
         held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
             t = pa.Table.from_batches([batch])
             t = t if held is None else pa.concat_tables([held, t])
-            k = [t.column(c).to_numpy() for c in ("component", "left", "right")]
+            k = [t.column(c).to_numpy() for c in keys]
             change = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in k])) + 1
             cut = [0, *change.tolist()]
             for s, e in zip(cut[:-1], cut[1:], strict=True):
-                yield counted(t.slice(s, e - s))
+                yield made(t.slice(s, e - s).combine_chunks().to_batches()[0])
             held = t.slice(cut[-1])
         if held is not None:
-            yield counted(held)
+            yield made(held.combine_chunks().to_batches()[0])
 
     return run
 
 
+def _united(threshold: float):
+    def made(b: pa.RecordBatch) -> pa.RecordBatch:
+        """Ties that join what lies near in a pair of blocks, at most one a row."""
+        rep, mine = (b.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "block"))
+        left, right = b.column("left")[0].as_py(), b.column("right")[0].as_py()
+        parent = np.arange(len(rep))
+        for _, rows, unit in _units(b, "embedding"):
+            x, y = mine[rows] == left, mine[rows] == right
+            i, j = np.nonzero(unit[x] @ unit[y].T >= threshold)
+            union_pairs(parent, rows[x][i], rows[y][j])
+        tied = np.flatnonzero(parent != np.arange(len(rep)))
+        return pa.record_batch([pa.array(rep[tied]), pa.array(rep[parent[tied]])], ["a", "b"])
+
+    return made
+
+
+def _count(threshold: float):
+    def made(b: pa.RecordBatch) -> pa.RecordBatch:
+        rep, mine, other = (b.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "block", "n"))
+        left, right = b.column("left")[0].as_py(), b.column("right")[0].as_py()
+        links = np.zeros(len(rep), np.int64)
+        for _, rows, unit in _units(b, "embedding"):
+            x, y = rows[mine[rows] == left], rows[mine[rows] == right]
+            ux, uy = unit[mine[rows] == left], unit[mine[rows] == right]
+            near = ux @ uy.T >= threshold
+            if left == right:
+                np.fill_diagonal(near, False)
+                links[x] = near @ other[x]
+            else:
+                links[x] = near @ other[y]
+                links[y] = near.T @ other[x]
+        return pa.record_batch([pa.array(rep), pa.array(links)], ["rep", "links"])
+
+    return made
+
+
+def _block_pairs(rows: DataFrame, keys: tuple[str, ...], block: int, *columns: str) -> DataFrame:
+    """Each group's rows once for each pair of its blocks that they are part of, sorted by (keys, left, right)."""
+    groups = rows.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("long").alias("blocks"))
+    sized = rows.join(groups, list(keys)).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    pairs = sized.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        *keys, F.least("block", "with").alias("left"), F.greatest("block", "with").alias("right"), "block", "rep", *columns
+    )
+    by = (*keys, "left", "right")
+    return pairs.repartition(*by).sortWithinPartitions(*by)
+
+
 def near_duplicates(
     vectors: DataFrame, threshold: float = 0.9, window: int = 256, recall: float = 0.995, block: int = 1024
 ) -> DataFrame:
@@ -164,29 +193,25 @@ def near_duplicates(
         .agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
         .withColumn("rep", F.monotonically_increasing_id())
     )
-    passes = passes_needed(classes.count(), window, threshold, recall)
-    hashed = map_batches(
-        classes.select("rep", "embedding"), _hashes(passes), "tag long, key long, rep long, unit binary"
-    )
-    ordered = hashed.repartitionByRange("tag", "key", "rep").sortWithinPartitions("tag", "key", "rep")
-    found = connected_components(map_batches(ordered, _windows(window, threshold), "a long, b long"))
+    plain = classes.select("rep", "embedding")
+    types = "tag long, key long, rep long, embedding array<double>"
+    bits = _bits(map_batches(plain, _hashes(1), types), classes.count(), window, threshold, recall)
+    hashed = map_batches(plain, _hashes(passes_for(bits, threshold, recall)), types)
+    bucketed = hashed.withColumn("key", _prefix(F.col("key"), F.lit(bits)))
+    keys = ("tag", "key")
+    mates = _block_pairs(bucketed, keys, block, "embedding")
+    ties = map_batches(mates, _by_blocks((*keys, "left", "right"), _united(threshold)), "a long, b long")
+    found = connected_components(ties)
     found = store(found.withColumnRenamed("id", "rep").join(classes, "rep"))
-    blocks = found.groupBy("component").agg(
-        F.ceil(F.count("*") / block).cast("long").alias("blocks"), F.min("least").alias("first")
-    )
-    sized = found.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    pairs = sized.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "component", F.least("block", "with").alias("left"), F.greatest("block", "with").alias("right"), "block", "rep", "n", "embedding"
-    )
-    keys = ("component", "left", "right")
+    keys = ("component",)
+    pairs = _block_pairs(found, keys, block, "n", "embedding")
     direct = (
-        map_batches(
-            pairs.repartition(*keys).sortWithinPartitions(*keys), _count(threshold), "rep long, links long"
-        )
+        map_batches(pairs, _by_blocks((*keys, "left", "right"), _count(threshold)), "rep long, links long")
         .groupBy("rep")
         .agg(F.sum("links").alias("links"))
     )
-    known = sized.select("rep", "first").join(direct, "rep")
+    first = found.groupBy("component").agg(F.min("least").alias("first"))
+    known = found.join(first, "component").select("rep", "first").join(direct, "rep")
     labelled = classes.join(known, "rep", "left").select(
         "embedding",
         (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),

@@ -76,3 +76,28 @@ def test_large_group(spark, size):
     e = rng.standard_normal(24) + 0.05 * rng.standard_normal((size, 24))
     out = found(table(spark, [(i, [float(x) for x in v]) for i, v in enumerate(e)]))
     assert all(r[1:] == (size - 1, 0, r[0] == 0) for r in out)
+
+
+@pytest.mark.parametrize("mean", [0.5, 0.8])
+def test_pairs_among_crowded_vectors_are_found(spark, mean):
+    """Vectors about a common direction, in pairs at a cosine little above the threshold."""
+    rng = np.random.default_rng(4)
+    size, dim, cosine = 1500, 256, 0.905
+    away = rng.standard_normal((size, dim))
+    away[:, 0] = 0
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    unit = math.sqrt(1 - mean) * away
+    unit[:, 0] = math.sqrt(mean)
+    turn = rng.standard_normal((size, dim))
+    turn -= (turn * unit).sum(axis=1, keepdims=True) * unit
+    turn /= np.linalg.norm(turn, axis=1, keepdims=True)
+    e = np.vstack([unit, cosine * unit + math.sqrt(1 - cosine**2) * turn])
+    out = found(table(spark, [(i, [float(x) for x in v]) for i, v in enumerate(e)]), window=16, block=256)
+    met = sum(r[2] == r[0] - size for r in out if r[0] >= size)
+    assert met >= 0.99 * size
+
+
+def test_passes_keep_the_recall():
+    for bits in range(0, 40):
+        n = embedding_dedup.passes_for(bits, 0.9, 0.995)
+        assert 1 - (1 - (1 - math.acos(0.9) / math.pi) ** bits) ** n >= 0.995
