@@ -71,8 +71,95 @@ SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id =
 FROM component LEFT JOIN counted USING (vec_id)
 """
 
+_REPAIR_STEP = """
+  SELECT g, i - 1 AS i,
+         list_min([{'c': 3 + z.c, 'a': 'D' || z.a}, {'c': f + 2 + t + u.c, 'a': 'R' || u.a},
+                   {'c': f + t + if(x = 'u', u.c, if(x = 's', s.c, 1000000000)), 'a': 'K' || if(x = 'u', u.a, s.a)}]) AS z,
+         list_min([{'c': 3 + s.c, 'a': 'D' || s.a}, {'c': f + 2 + t + u.c, 'a': 'R' || u.a},
+                   {'c': f + t + if(x = 'u', u.c, 1000000000), 'a': 'K' || u.a}]) AS s,
+         list_min([{'c': 3 + u.c, 'a': 'D' || u.a}, {'c': f + 2 + t + e.c, 'a': 'R' || e.a},
+                   {'c': f + t + if(x = 'a', e.c, 1000000000), 'a': 'K' || e.a}]) AS u,
+         list_min([{'c': 3 + e.c, 'a': 'D' || e.a}, {'c': f + 2 + t + u.c, 'a': 'R' || u.a},
+                   {'c': f + t + if(x = 'u', u.c, 1000000000), 'a': 'K' || u.a}]) AS e
+  FROM (SELECT back.*, if(blank OR copy, 1000000000, 0) AS f, if(cut, 1, 0) AS t, x
+        FROM back JOIN flags ON flags.g = back.g AND flags.i = back.i - 1)"""
+_REPAIR_CLOSE = """
+  SELECT g, i, list_min([z, {{'c': 2 + u.c, 'a': 'I' || u.a}}]) AS z, list_min([s, {{'c': 2 + u.c, 'a': 'I' || u.a}}]) AS s,
+         list_min([u, {{'c': 2 + e.c, 'a': 'I' || e.a}}]) AS u, list_min([e, {{'c': 2 + u.c, 'a': 'I' || u.a}}]) AS e
+  FROM ({0})"""
+_CLOSED = _REPAIR_CLOSE.format(_REPAIR_CLOSE.format(_REPAIR_CLOSE.format(_REPAIR_STEP)))
+
+CONVERSATION_REPAIR = rf"""
+WITH RECURSIVE crcs AS (
+  SELECT list(v ORDER BY n) AS crc FROM (
+    SELECT n, list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, y: if(c % 2 = 1, xor(c // 2, 3988292384), c // 2)) AS v FROM range(256) r(n))
+),
+groups AS (SELECT conv_id, row_number() OVER () AS g FROM (SELECT DISTINCT conv_id FROM conversations)),
+faults AS (
+  SELECT g, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(
+             string_split(coalesce(CAST(c.conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+             lambda y: CAST(ascii(y) AS BIGINT))),
+           lambda c, b: xor(c // 256, crc[xor(c, b) % 256 + 1]))) % 20 AS fault
+  FROM conversations c JOIN groups ON groups.conv_id IS NOT DISTINCT FROM c.conv_id, crcs
+),
+damaged AS (
+  SELECT g, turn, if(fault = 4, 'user', role) AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(if(fault = 3, 2, 1)))
+  FROM faults WHERE fault <> 0
+),
+numbered AS (
+  SELECT g, turn, role, text, substr(role, 1, 1) AS x,
+         row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, left(role, 32), left(text, 32),
+                            sha256(length(role) || ':' || role || text)) AS i
+  FROM damaged
+),
+flags AS (
+  SELECT *, NOT regexp_matches(text, '[^ 	-]') AS blank,
+         row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 AS copy,
+         regexp_matches(text, '[^ 	-.!?][ 	-]*$') AS cut,
+         lag(x) OVER (PARTITION BY g ORDER BY i) || x AS pair
+  FROM numbered
+),
+back AS (
+  SELECT g, max(i) + 1 AS i, {{'c': 0::BIGINT, 'a': ''}} AS z, {{'c': 4::BIGINT, 'a': 'II'}} AS s,
+         {{'c': 2::BIGINT, 'a': 'I'}} AS u, {{'c': 0::BIGINT, 'a': ''}} AS e FROM numbered GROUP BY g
+  UNION ALL {_CLOSED}
+),
+best AS (SELECT g, z.c AS cost, z.a AS audit FROM back WHERE i = 1),
+letters AS (
+  SELECT g, unnest(string_split(audit, '')) AS letter, unnest(range(1, length(audit) + 1)) AS k,
+         length(replace(audit, 'D', '')) % 2 AS shift
+  FROM best WHERE audit <> ''
+),
+placed AS (
+  SELECT *, count(*) FILTER (letter <> 'I') OVER w AS i, count(*) FILTER (letter <> 'D') OVER w AS o
+  FROM letters WINDOW w AS (PARTITION BY g ORDER BY k)
+),
+repaired AS (
+  SELECT g, string_agg(if(letter = 'K', role, if((o - shift) % 2 = 0, 'assistant', 'user')) || ':'
+                       || if(letter = 'I', '', text), chr(10) ORDER BY k) AS text
+  FROM placed LEFT JOIN numbered USING (g, i) WHERE letter <> 'D' GROUP BY g
+),
+counts AS (
+  SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (NOT blank AND copy) AS duplicate, count(*) FILTER (NOT blank AND NOT copy AND cut) AS truncated,
+         count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM flags GROUP BY g
+)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(repaired.text, '')) AS repaired_sha256
+FROM groups LEFT JOIN counts USING (g) LEFT JOIN best USING (g) LEFT JOIN repaired USING (g)
+"""
+
 SQL = {
     "op1_substring_dedup": SUBSTRING_DEDUP,
     "op3_decontamination": DECONTAMINATION,
     "op6_embedding_dedup": EMBEDDING_DEDUP,
+    "op13_conversation_repair": CONVERSATION_REPAIR,
 }

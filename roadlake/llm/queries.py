@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from roadlake.llm import (
+    conversations,
     decontamination,
     embedding_dedup,
     licenses,
@@ -68,6 +69,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.damaged_report(table(spark, sf_dir, "conversations"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -82,6 +87,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_license_scan,
             op9_token_counts,
             op10_simhash,
+            op13_conversation_repair,
         )
     }
 

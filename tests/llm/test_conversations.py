@@ -1,0 +1,162 @@
+"""Conversation repair against a brute-force search, in one block and in many."""
+
+import functools
+import hashlib
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from roadlake.llm import conversations
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def damaged(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        key = ":".join(" " if x is None else str(x) for x in (conv, turn))
+        f = zlib.crc32(key.encode()) % 20
+        if f == 0:
+            continue
+        text = "" if f == 1 else "".join(c for c in text if c not in ".!?") if f == 2 else text
+        out += [(conv, turn, "user" if f == 4 else role, text)] * (2 if f == 3 else 1)
+    return out
+
+
+def fits(roles):
+    s = "".join(r[:1] or "-" for r in roles)
+    s = s[1:] if s.startswith("su") else s
+    return s == "ua" * (len(s) // 2)
+
+
+def place(row):
+    _, turn, role, text = row
+    digest = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).digest()
+    return turn is not None, turn or 0, role[:32].encode(), text[:32].encode(), digest
+
+
+def brute(rows):
+    """Counts, then the cheapest (cost, audit) by trying every edit of every row, inserts too."""
+    rows = sorted(rows, key=place)
+    seen, codes, counts = set(), [], [0, 0, 0]
+    for _, _, role, text in rows:
+        fault = 0 if not text.strip(SPACE) else 1 if (role, text) in seen else 2 if text.rstrip(SPACE)[-1] not in ".!?" else 3
+        seen.add((role, text))
+        codes.append(fault)
+        if fault < 3:
+            counts[fault] += 1
+
+    @functools.cache
+    def best(i, roles, inserted=0):  # roles so far, without whole pairs; three inserts in a row never help
+        found = []
+        if i == len(rows):
+            if fits(roles):
+                found.append((0, "", ()))
+        else:
+            role, text = rows[i][2:]
+            cost, audit, tail = best(i + 1, roles)
+            found.append((3 + cost, "D" + audit, tail))
+            if codes[i] > 1:
+                for new, price, letter in ((role, 0, "K"), ("user", 2, "R"), ("assistant", 2, "R")):
+                    cost, audit, tail = best(i + 1, shorten((*roles, new)))
+                    found.append((price + (codes[i] == 2) + cost, letter + audit, ((new, text), *tail)))
+        for new in ("user", "assistant"):
+            if inserted < 2:
+                cost, audit, tail = best(i, shorten((*roles, new)), inserted + 1)
+                found.append((2 + cost, "I" + audit, ((new, ""), *tail)))
+        return min(found, default=(10**9, "", ()))
+
+    cost, audit, repaired = best(0, ())
+    turns = [r[1] for r in rows if r[1] is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:], strict=False))
+    digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in repaired).encode()).hexdigest()
+    return gaps, *counts, illegal, cost, audit, digest
+
+
+def shorten(roles):
+    """Drops whole pairs, which leave the state of the pattern as it is."""
+    s = [r[:1] or "-" for r in roles]
+    at = 1 if s[:1] == ["s"] else 0
+    if any(x not in "ua" for x in s[at:]) or any(a == b for a, b in zip(s[at:], s[at + 1 :], strict=False)) or s[at : at + 1] == ["a"]:
+        return ("-",)
+    return roles[:at] + roles[at + 2 :] if len(s) > at + 2 else roles
+
+
+def expected(rows):
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[0], []).append(r)
+    return {k: brute(tuple(v)) for k, v in groups.items()}
+
+
+def sample(seed, n):
+    rng = random.Random(seed)
+    roles = ["user", "assistant", "user", "assistant", "system", "tool", "", None, "umpire"]
+    texts = ["Yes.", "No!", "Well", "And? ", " \t", "", "a", None, "ok.\n", "Ünd", "x" * 40 + "1", "x" * 40 + "2."]
+    rows = []
+    for conv in [*range(n), None]:
+        for k in range(rng.randrange(9)):
+            turn = rng.choice([k, k, k, k + 1, None, 3 * k])
+            rows.append((conv, turn, rng.choice(roles), rng.choice(texts)))
+    return rows
+
+
+def got(df):
+    return {r.conv_id: tuple(r)[1:] for r in df.collect()}
+
+
+@pytest.mark.parametrize("block", [1, 4096])
+def test_report_equals_brute_force(spark, block):
+    rows = [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in sample(1, 60)]
+    df = spark.createDataFrame(sample(1, 60), SCHEMA).repartition(3)
+    found, want = got(conversations.report(df, block=block)), expected(rows)
+    assert found.keys() == want.keys()
+    for k in want:
+        assert found[k] == want[k], (k, [r for r in rows if r[0] == k])
+
+
+def test_damaged_report(spark):
+    rows = sample(2, 60)
+    rows += [(900, next(t for t in range(99) if zlib.crc32(f"900:{t}".encode()) % 20 == 0), "user", "Gone.")]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("f", F.lit(1)).withColumn("pos", F.lit("x")).withColumn("audit", F.lit(0))
+    found = got(conversations.damaged_report(df))
+    want = expected(damaged(rows))
+    nothing = (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    assert found.keys() == {r[0] for r in rows}
+    for k, v in found.items():
+        assert v == want.get(k, nothing)
+    assert nothing in found.values()
+
+
+def test_a_long_conversation_in_many_blocks_equals_one(spark):
+    rng = random.Random(3)
+    rows = [(7, k // 2, rng.choice(["user", "assistant", "system", "bot"]), f"{rng.randrange(900)}{rng.choice('.!x ')}") for k in range(3000)]
+    rows += [(8, 1, "user", "same.")] * 2000
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    one, many = (got(conversations.report(df, block=b)) for b in (100_000, 1))
+    assert one == many and len(one[7][6]) >= 3000
+    assert one[8][6] == "K" + "D" * 1999 + "I" and one[8][2] == 1999
+
+
+def test_repair_gives_the_rows(spark):
+    rows = [(1, 0, "assistant", "Hm."), (1, 1, "tool", "x"), (1, 2, "assistant", ""), (2, None, "system", "Be good."), (2, 0, "user", "Hi.")]
+    found = sorted((tuple(r) for r in conversations.repair(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
+    edits = [(1, 0, "I", None, "user", ""), (1, 1, "K", 0, "assistant", "Hm."), (1, None, "D", 1, "tool", "x"), (1, None, "D", 2, "assistant", "")]
+    assert [r for r in found if r[0] == 1] == sorted(edits, key=str)
+    assert sorted(found[-3:], key=lambda r: r[1]) == [(2, 0, "K", None, "system", "Be good."), (2, 1, "K", 0, "user", "Hi."), (2, 2, "I", None, "assistant", "")]
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert conversations.damaged_report(empty).count() == conversations.repair(empty).count() == 0
+
+
+def test_long_texts_and_white_space(spark):
+    rows = [(1, 0, "user", "a." + " " * 1_000_000), (1, 1, "assistant", " " * 1_000_000), (1, 2, "assistant", "é " * 500_000 + "x")]
+    r = conversations.report(spark.createDataFrame(rows, SCHEMA)).first()
+    assert (r.blank, r.truncated, r.audit, r.cost) == (1, 1, "KDK", 4)

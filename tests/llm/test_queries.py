@@ -18,6 +18,7 @@ COLUMNS = {
     "op6_embedding_dedup": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
     "op7_packing": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
     "op8_license_scan": "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double",
+    "op13_conversation_repair": "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, audit string, repaired_sha256 string",
     "op10_simhash": "doc_id bigint, fingerprint string, component_id bigint",
 }
 
@@ -31,7 +32,7 @@ def duck(sf_small):
 
 
 def test_one_query_of_each_number():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.registry()) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.registry()) == [*range(1, 11), 13]
     assert set(SQL) <= set(queries.registry())
 
 
