@@ -118,9 +118,12 @@ numbered AS (
   FROM damaged
 ),
 flags AS (
-  SELECT *, NOT regexp_matches(text, '[^ 	-]') AS blank,
+  SELECT *, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
          row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 AS copy,
-         regexp_matches(text, '[^ 	-.!?][ 	-]*$') AS cut,
+         regexp_matches(text, '[^ 	-
+.!?][ 	-
+]*$') AS cut,
          lag(x) OVER (PARTITION BY g ORDER BY i) || x AS pair
   FROM numbered
 ),
@@ -157,9 +160,49 @@ SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank,
 FROM groups LEFT JOIN counts USING (g) LEFT JOIN best USING (g) LEFT JOIN repaired USING (g)
 """
 
+def _clustering(k: int = 8, rounds: int = 10, dims: int = 64, seed: int = 3) -> str:
+    """Inner products of these integers are exact in doubles."""
+    nearest = """
+  SELECT n, vec_id, v, d.i AS cluster, d.d AS distance FROM (
+    SELECT n, vec_id, v, list_min(list_transform(cs, lambda c: {{
+      'd': CAST(list_inner_product(v, v) - 2 * list_inner_product(v, c.c) + list_inner_product(c.c, c.c) AS BIGINT),
+      'i': c.i}})) AS d
+    FROM whole, (SELECT list({{'i': i, 'c': c}} ORDER BY i) AS cs FROM c{0}))"""
+    steps = "".join(
+        f"""
+a{r} AS MATERIALIZED ({nearest.format(r)}),
+s{r} AS (SELECT cluster, j, CAST(sum(CAST(v[j] AS BIGINT)) AS BIGINT) AS s, count(*) AS n
+       FROM a{r}, range(1, {dims + 1}) x(j) GROUP BY cluster, j),
+m{r} AS (SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY j) AS c FROM s{r} GROUP BY cluster),
+c{r + 1} AS MATERIALIZED (SELECT i, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} ON cluster = i),"""
+        for r in range(rounds)
+    )
+    return f"""
+WITH whole AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+c0 AS MATERIALIZED (
+  SELECT i, v AS c FROM (
+    SELECT v, row_number() OVER (ORDER BY sha256('{seed}:' || vec_id) NULLS LAST, v) - 1 AS i FROM whole)
+  WHERE i < {k}
+),{steps}
+last AS MATERIALIZED ({nearest.format(rounds)})
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(c, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM last JOIN c{rounds} ON i = cluster
+"""
+
+
+CENTROID_CLUSTERING = _clustering()
+
 SQL = {
     "op1_substring_dedup": SUBSTRING_DEDUP,
     "op3_decontamination": DECONTAMINATION,
     "op6_embedding_dedup": EMBEDDING_DEDUP,
+    "op11_clustering": CENTROID_CLUSTERING,
     "op13_conversation_repair": CONVERSATION_REPAIR,
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from roadlake.llm import (
+    clustering,
     conversations,
     decontamination,
     embedding_dedup,
@@ -69,6 +70,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.damaged_report(table(spark, sf_dir, "conversations"))
 
@@ -87,6 +92,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_license_scan,
             op9_token_counts,
             op10_simhash,
+            op11_clustering,
             op13_conversation_repair,
         )
     }
