@@ -20,6 +20,7 @@ from roadlake.llm import (
     simhash,
     substring_dedup,
     token_counts,
+    toxicity,
 )
 from roadlake.llm.common import table
 
@@ -74,6 +75,11 @@ def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.damaged_report(table(spark, sf_dir, "conversations"))
 
@@ -93,6 +99,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_token_counts,
             op10_simhash,
             op11_clustering,
+            op12_toxicity,
             op13_conversation_repair,
         )
     }
