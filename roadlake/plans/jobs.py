@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from roadlake.operators import bronze, features, gold, kpi, model, silver, split
 from roadlake.session import materialize
-from roadlake.sources import catalog, csv_batches, sinks, store
+from roadlake.sources import catalog, csv_batches, quoted_csv, sinks, store
 
 log = logging.getLogger(__name__)
 
@@ -41,10 +41,15 @@ class FeederReport:
 
 def run_split(spark: SparkSession, input_csv: str, output_dir: str, n_batches: int = 3,
               start_date: str = "2025-01-01", multi_line: bool = True) -> list[str]:
-    """Cut one CSV, in the order of its rows, into ``n_batches`` dated daily batches."""
-    if not multi_line:
+    """Cut one CSV, in the order of its rows, into ``n_batches`` dated daily batches.
+
+    The file is read by many tasks either way; ``multi_line`` lets quoted cells hold line breaks.
+    """
+    if multi_line:
+        rows, order = quoted_csv.read_quoted_csv(spark, input_csv), quoted_csv.ORDER
+    else:
         csv_batches.refuse_line_breaks(spark, input_csv)
-    rows, order = csv_batches.with_file_order(csv_batches.csv_reader(spark, multi_line=multi_line).csv(input_csv))
+        rows, order = csv_batches.with_file_order(csv_batches.csv_reader(spark, multi_line=False).csv(input_csv))
     batches = split.ordered_split(rows, order, n_batches, start_date)
     return csv_batches.write_daily_batches(batches.drop(*order), output_dir)
 
