@@ -159,42 +159,44 @@ def _divide(values: np.ndarray, items: list[bytes]) -> None:
 
 
 class Kernel:
-    """Kernel values against landmarks."""
+    """Kernel values against landmarks, from the landmarks' subsequences as sorted (subsequence, landmark, weight)."""
 
     def __init__(self, landmarks: list[bytes]) -> None:
         self.landmarks = landmarks
-        self.place = np.full(_KEYS, -1, np.int32)
-        found = list(_subsequences(*_laid(landmarks))) if landmarks else []
-        keys = np.unique(np.concatenate([k for _, k, _ in found])) if found else np.zeros(0, np.int64)
-        self.place[keys] = np.arange(len(keys))
-        self.keys = keys
-        self.weights = np.zeros((len(keys), len(landmarks)))
-        for who, key, w in found:
-            np.add.at(self.weights, (self.place[key], who), w)
-        _divide(self.weights.T, landmarks)
+        scale = np.ones(len(landmarks))
+        _divide(scale, landmarks)
+        found = [(k * len(landmarks) + o, w * scale[o]) for o, k, w in _subsequences(*_laid(landmarks))]
+        pairs, inverse = np.unique(np.concatenate([k for k, _ in found]) if found else np.zeros(0, np.int64), return_inverse=True)
+        self.weight = np.bincount(inverse, np.concatenate([w for _, w in found]) if found else None, len(pairs))
+        key, self.landmark = np.divmod(pairs, max(1, len(landmarks)))
+        self.keys, self.place, counts = np.unique(key, return_inverse=True, return_counts=True)
+        self.end = np.cumsum(counts)
+        self.start = self.end - counts
 
     def __call__(self, items: list[bytes]) -> np.ndarray:
-        out = np.zeros((len(items), len(self.landmarks)))
-        for at in range(0, len(items), 2048):
-            some = items[at : at + 2048]
-            who, key, weight = [], [], []
-            for o, k, w in _subsequences(*_laid(some)):
-                known = self.place[k] >= 0
-                who.append(o[known])
-                key.append(self.place[k[known]])
-                weight.append(np.full(len(who[-1]), w))
-            if not who:
-                continue
-            who, key, weight = map(np.concatenate, (who, key, weight))
-            order = np.argsort(who, kind="stable")
-            if not len(order):
-                continue
-            who = who[order]
-            starts = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
-            out[at + who[starts]] = np.add.reduceat(self.weights[key[order]] * weight[order, None], starts, axis=0)
-        _divide(out, items)
+        width = len(self.landmarks)
+        out = np.zeros((len(items), width), np.float32)
+        for at in range(0, len(items), 1024):
+            some = items[at : at + 1024]
+            total = np.zeros(len(some) * width)
+            for who, key, w in _subsequences(*_laid(some)):
+                if not len(self.keys):
+                    break
+                near = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                known = self.keys[near] == key
+                who, near = who[known], near[known]
+                counts = self.end[near] - self.start[near]
+                entry = np.repeat(self.start[near] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+                total += np.bincount(np.repeat(who, counts) * width + self.landmark[entry], self.weight[entry] * w, len(total))
+            block = total.reshape(len(some), width)
+            _divide(block, some)
+            out[at : at + len(some)] = block
         return out
 
+    def folded(self, beta: np.ndarray) -> np.ndarray:
+        """The weight of each of ``keys`` in the machine with the coefficient beta at each landmark."""
+        return np.bincount(self.place, self.weight * beta[self.landmark], len(self.keys))
+
 
 @dataclass
 class Model:
@@ -237,29 +239,37 @@ def _evidence(margins: list[float], bias: float) -> list[float]:
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float, steps: int = 40) -> np.ndarray:
     """Squared hinge loss by Newton's method: ``y`` is a label times the margin wanted of the row.
 
-    The last coefficient is the bias and has no ridge.
+    The last coefficient is the bias and has no ridge.  ``x`` is taken in slices, whatever its type.
     """
     sign, wanted = np.sign(y), np.abs(y)
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
-    penalty = np.full(len(w), ridge)
+    penalty = np.full(x.shape[1] + 1, ridge)
     penalty[-1] = 1e-6
+    slices = [slice(i, i + 8192) for i in range(0, len(x), 8192)]
+
+    def values(w: np.ndarray) -> np.ndarray:
+        return np.concatenate([x[s] @ w[:-1] for s in slices]) + w[-1]
 
-    def loss(w: np.ndarray) -> float:
-        return float((weight * np.maximum(0, wanted - sign * (x @ w)) ** 2).sum() + (penalty * w * w).sum())
+    def loss(f: np.ndarray, w: np.ndarray) -> float:
+        return float((weight * np.maximum(0, wanted - sign * f) ** 2).sum() + (penalty * w * w).sum())
 
-    value = loss(w)
+    w = np.zeros(len(penalty))
+    f = values(w)
+    value = loss(f, w)
     for _ in range(steps):
-        on = sign * (x @ w) < wanted
-        inner = x[on] * weight[on, None]
-        gradient = inner.T @ (x[on] @ w - y[on]) + penalty * w
-        step = np.linalg.solve(inner.T @ x[on] + np.diag(penalty), gradient)
+        gradient, slope = penalty * w, np.diag(penalty)
+        for s in slices:
+            on = sign[s] * f[s] < wanted[s]
+            part = np.hstack([x[s][on].astype(np.float64), np.ones((int(on.sum()), 1))])
+            heavy = part * weight[s][on, None]
+            gradient += heavy.T @ (f[s][on] - y[s][on])
+            slope += heavy.T @ part
+        step = np.linalg.solve(slope, gradient)
         size = 1.0
-        while (new := loss(w - size * step)) > value and size > 1e-4:
+        while (new := loss(moved := values(w - size * step), w - size * step)) > value and size > 1e-4:
             size /= 2
         if value - new < 1e-9 * max(value, 1):
             break
-        w, value = w - size * step, new
+        w, f, value = w - size * step, moved, new
     return w
 
 
@@ -353,10 +363,12 @@ def _strongest(sample: DataFrame, model: Model | None, most: int) -> list[tuple[
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, toxic: int = 224, common: int = 32, most: int = 8, rounds: int = 3
+    docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, toxic: int = 224, common: int = 32, most: int = 8,
+    rounds: int = 3, room: int = 40_000,
 ) -> Model:
     """Learn from at most ``max_rows`` labelled texts outside fold 0, ``most`` sentences of each a round.
 
+    At most ``room`` clean windows teach at a time: those of the last round first, then the most frequent.
     Null ids and labels teach nothing.  With one label only, the score is its share.
     """
     sample = store(labelled(docs, labels, max_rows))
@@ -367,7 +379,7 @@ def train(
     prior = float(np.log((bad + 0.5) / (n - bad + 0.5)))
     lean, usual = _choose(sample, prior, toxic, common)
     kernel = Kernel(list(dict.fromkeys([*lean, *usual])))
-    values, vectors = np.linalg.eigh(kernel(kernel.landmarks))
+    values, vectors = np.linalg.eigh(kernel(kernel.landmarks).astype(np.float64))
     root = vectors / np.sqrt(np.maximum(values, 1e-3 * values.max()))
     wanted = {w: float(np.clip(_odds(float(b), float(m), prior), 1, 4)) for w, (b, m) in lean.items()}
     clean = Counter({w: m - b for w, (b, m) in lean.items() if m > b})
@@ -383,18 +395,21 @@ def train(
             elif model and rows[0][3] > 0 and not set(found) & lean.keys():
                 guilty[found[0]] += 1
         clean |= innocent
+        if len(clean) > room:
+            first = sorted(clean, key=lambda w: (w not in lean, w not in innocent, -clean[w], w))[:room]
+            clean = Counter({w: clean[w] for w in first})
         bent: Counter[bytes] = Counter()
         least: dict[bytes, float] = {}
         for w, m in guilty.items():
             for v in disturbed(w):
                 bent[v] += m / 4
                 least[v] = max(least.get(v, 0), 1 + 0.6 * (wanted.get(w, 1.0) - 1))
-        x = kernel([*guilty, *bent, *clean]) @ root
+        x = kernel([*guilty, *bent, *clean]) @ root.astype(np.float32)
         y = np.array([*(wanted.get(w, 1.0) for w in guilty), *(least[w] for w in bent), *([-1.0] * len(clean))])
         weight = np.array([*guilty.values(), *bent.values(), *clean.values()], float)
         weight[y > 0] *= SHARE * weight[y < 0].sum() / weight[y > 0].sum()
         w = _svm(x, y, weight, 1e-5 * weight.sum())
-        model = Model(kernel.keys, kernel.weights @ (root @ w[:-1]), float(w[-1]))
+        model = Model(kernel.keys, kernel.folded(root @ w[:-1]), float(w[-1]))
     texts = [list(g) for _, g in groupby(_strongest(sample, model, 3), key=lambda r: r[0])]
     evidence = [_evidence([m for *_, m in rows], model.bias) for rows in texts]
     model.line = _line(np.array(evidence), np.array([rows[0][1] for rows in texts]))
