@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from roadlake.operators import profile
 from roadlake.plans import jobs
 from roadlake.session import drop_scratch
+from roadlake.sources import store, versions
 
 
 def _props(pairs):
@@ -89,6 +90,7 @@ def build_parser() -> argparse.ArgumentParser:
     i.add_argument("--input", required=True)
     i.add_argument("--bronze", required=True)
     i.add_argument("--checkpoint", required=True)
+    i.add_argument("--cumulative", action="store_true", help="the last day holds every batch, as the feeder leaves it")
     i.add_argument("--columns", help="raw header, comma separated (default: read from one batch)")
     _line_option(i)
     return ap
@@ -135,18 +137,26 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
         result = {"accuracy": rep.accuracy, "n_train": rep.n_train, "n_test": rep.n_test,
                   "features": rep.features, "model": rep.model_path}
     elif args.command == "ingest":
-        from roadlake.streaming.bronze_stream import ingest_available
+        from roadlake.streaming.bronze_stream import ingest_available, ingest_cumulative
         cols = args.columns.split(",") if args.columns else _raw_header(spark, args.input)
-        q = ingest_available(spark, args.input, cols, args.bronze, args.checkpoint,
-                             multi_line=not args.single_line)
+        ingest = ingest_cumulative if args.cumulative else ingest_available
+        q = ingest(spark, args.input, cols, args.bronze, args.checkpoint,
+                   multi_line=not args.single_line)
         done = q.recentProgress
         result = {"columns": cols, "rows": sum(p["numInputRows"] for p in done),
                   "batches": [p["batchId"] for p in done]}
     else:  # explore
         snap = jobs.silver_snapshot(spark, args.silver, args.day)
+        pick = args.day or store.existing_days(spark, f"{args.silver.rstrip('/')}/accidents")[-1]
+        whole = versions.latest(spark, args.silver)
+        if whole and (args.day or whole.get("cumulative", True)):  # counted when the day was written
+            counted = jobs.silver_profile(spark, args.silver, pick).withColumn("non_null", F.col("n_rows") - F.col("null_count"))
+            columns = counted.select("table_name", "position", "column_name", "data_type", "n_rows", "non_null")
+        else:
+            columns = profile.schema_profile(snap)
         result = {
             "tables": sorted(snap),
-            "profile": [r.asDict() for r in profile.schema_profile(snap).collect()],
+            "profile": [r.asDict() for r in columns.collect()],
             "samples": {n: [r.asDict() for r in profile.sample_rows(df).collect()] for n, df in snap.items()},
         }
     drop_scratch(spark)

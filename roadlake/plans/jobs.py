@@ -23,9 +23,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadlake import schema as schema_contract
 from roadlake.operators import bronze, features, gold, kpi, model, silver, split
 from roadlake.session import materialize
-from roadlake.sources import catalog, csv_batches, quoted_csv, sinks, store
+from roadlake.sources import catalog, csv_batches, quoted_csv, sinks, store, versions
 
 log = logging.getLogger(__name__)
 
@@ -95,17 +96,18 @@ def conform_all(bronze_rows: DataFrame, group_cols=(store.BRONZE_PARTITION,)) ->
 
 def run_silver(spark: SparkSession, bronze_path: str, silver_root: str, schema: str = "silver",
                day: str | None = None) -> dict[str, str]:
-    """Conform Bronze (all days, or one) into Silver tables partitioned by Bronze day.
-
-    One job per table: the dedup's shuffle is the only one, and its tasks write
-    the day folders.  A full run replaces the whole store, so days that Bronze
-    no longer has go; a run of one day replaces just that day.  The stored
-    files carry no layout of the session that wrote them (no buckets), so any
-    later session may rewrite a day or read them.  The tables are also defined
-    in ``schema``, which must not name tables stored elsewhere.  Returns
-    table -> path.
+    """Conform Bronze (all days, or one) into Silver tables by Bronze day, and publish the three as one version.
+
+    The dedup's shuffle is the only one of a table, and its tasks write the day
+    folders; a job takes up to a month of days and counts their rows and NULLs
+    as it writes.  Readers see the new version once all three tables are there,
+    and the old one if the run fails before.  A full run's version holds just
+    the days of Bronze; a run of one day takes the other days from the version
+    before.  The tables are also defined in ``schema``, which must not name
+    tables stored elsewhere.  Returns table -> path.
     """
-    if day is not None and day not in store.existing_days(spark, bronze_path):
+    days = store.existing_days(spark, bronze_path)
+    if day is not None and day not in days:
         raise ValueError(f"Bronze {bronze_path} has no day {day}")
     rows = store.read_bronze(spark, bronze_path, day)
     catalog.reset_schema(spark, schema, [])
@@ -113,22 +115,47 @@ def run_silver(spark: SparkSession, bronze_path: str, silver_root: str, schema:
     paths = {name: f"{root}/{name}" for name in SILVER_TABLES}
     for name, path in paths.items():
         catalog.check_location(spark, f"`{schema}`.`{name}`", path)
+    before = versions.latest(spark, root) if day else None
+    run = versions.new_run()
+    tables = {}
     for name, df in conform_all(rows).items():
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if day else "static")
-         .partitionBy(store.BRONZE_PARTITION).parquet(paths[name]))
-        catalog.register_parquet(spark, f"`{schema}`.`{name}`", paths[name])
+        entry = versions.write_days(df, root, name, run, [day] if day else days)
+        if before and name in before["tables"]:
+            kept = {d: x for d, x in before["tables"][name]["days"].items() if d != day}
+            entry["days"] = kept | entry["days"]
+        tables[name] = entry
+    versions.publish(spark, root, tables, cumulative=_is_cumulative(spark, bronze_path, days))
+    for name, entry in tables.items():
+        folders = {d: versions.day_folder(root, name, x["run"], d) for d, x in entry["days"].items()}
+        catalog.register_days(spark, f"`{schema}`.`{name}`", paths[name], versions.schema_of(entry), folders)
     return paths
 
 
+def _is_cumulative(spark: SparkSession, bronze_path: str, days: list[str]) -> bool:
+    """Whether the last Bronze day holds the other days' batches too; one day alone does."""
+    last = store.read_bronze(spark, bronze_path, days[-1]) if days else None
+    if last is None or len(days) == 1 or "situation_date" not in last.columns:
+        return True
+    return bool(last.where(F.col("situation_date") != F.col(store.BRONZE_PARTITION)).head(1))
+
+
 def silver_snapshot(spark: SparkSession, silver_root: str, day: str | None = None) -> dict[str, DataFrame]:
     """Silver as the marts see it: one Bronze day (default: the latest, which holds everything).
 
-    Read by folder, so any process can; only that day's files are read.
+    If the last day of Bronze holds only its own batch, as a streamed Bronze
+    does, the default is all days, of each key the row that a dedup over all
+    of them keeps.  Read by folder, so any process can; only the days' own
+    files are read.
     """
+    manifest = versions.latest(spark, silver_root)
     out = {}
     for name in SILVER_TABLES:
         path = f"{silver_root.rstrip('/')}/{name}"
         days = store.existing_days(spark, path)
+        if day is None and manifest and not manifest.get("cumulative", True):
+            rows = store.read_bronze(spark, path).drop(store.BRONZE_PARTITION)
+            out[name] = silver.dedup_by_key(rows, [schema_contract.KEY])
+            continue
         pick = day or (days[-1] if days else None)
         if pick not in days:
             raise ValueError(f"Silver {path} has no day {pick}")
@@ -136,6 +163,14 @@ def silver_snapshot(spark: SparkSession, silver_root: str, day: str | None = Non
     return out
 
 
+def silver_profile(spark: SparkSession, silver_root: str, day: str | None = None) -> DataFrame:
+    """Columns, row and NULL counts of the published Silver (or one day of it), counted when it was written."""
+    manifest = versions.latest(spark, silver_root)
+    if manifest is None:
+        raise ValueError(f"{silver_root} holds no published Silver")
+    return versions.column_profile(spark, manifest, day)
+
+
 def run_snapshot(spark: SparkSession, silver_root: str, output_root: str, day: str | None = None) -> dict[str, str]:
     """Copy one day of each Silver table to ``output_root``; one failing table does not stop the others."""
     return catalog.snapshot_tables(spark, silver_snapshot(spark, silver_root, day), output_root)

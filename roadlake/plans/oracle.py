@@ -197,6 +197,9 @@ SELECT file_name, situation_date,
        CAST(row_number() OVER (ORDER BY situation_date, file_name) - 1 AS INTEGER) AS batch
 FROM picked"""
     q["ordered_split"] = _with(BATCHES, "SELECT * FROM batches")
+    q["ordered_split_file"] = _with(BATCHES, """
+SELECT seq, ID, Description || chr(10) || 'said "' || Timezone || '"' AS Description, City, batch, situation_date
+FROM batches""")
     q["ordered_split_counts"] = _with(BATCHES, """
 SELECT batch, situation_date, count(*) AS n_rows FROM batches GROUP BY batch, situation_date""")
     q["batch_pending"] = _with(BATCHES, """
@@ -301,6 +304,9 @@ def _profile_queries() -> dict[str, str]:
                          f"'{t}' AS data_type, count(*) AS n_rows, count({n}) AS non_null "
                          f"FROM {SILVER_VIEWS[table]}")
     q["schema_profile"] = _with(SILVER, "\nUNION ALL ".join(parts))
+    parts = [f"SELECT '{table}' AS table_name, '{n}' AS column_name, count(*) FILTER (WHERE {n} IS NULL) AS null_count, "
+             f"count(*) AS n_rows FROM {SILVER_VIEWS[table]}" for table, cols in SILVER_TYPES.items() for n, _ in cols]
+    q["stored_profile"] = _with(SILVER, "\nUNION ALL ".join(parts))
     counts = {"raw": "raw", "accidents": "accidents", "weather": "weather", "road_features": "road",
               "accidents_by_region": "mart_region", "accidents_by_hour_severity": "mart_hour",
               "accidents_by_weather": "mart_weather"}

@@ -18,8 +18,9 @@ from roadlake import schema as S
 from roadlake.functions.columns import (
     date_of, flag_to_int, hour_label, hour_of, month_of, normalized_text, severity_int, to_float, weekday_of)
 from roadlake.operators import bronze, features, gold, kpi, model, profile, silver, split
+from roadlake.plans import jobs
 from roadlake.session import materialize, scratch_path, scratch_schema, sf_table
-from roadlake.sources import catalog, csv_batches, store
+from roadlake.sources import catalog, csv_batches, quoted_csv, store
 from roadlake.sources.fixtures import incident_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +119,26 @@ def q_batch_discovery(spark, sf_dir):
     return csv_batches.select_batches(names, DISCOVERY_YEAR, DISCOVERY_MONTH, N_BATCHES)
 
 
+def q_ordered_split_file(spark, sf_dir):
+    """The feed as CSV files whose cells hold line breaks, split in the order of their rows."""
+    path = scratch_path(spark, "export")
+    feed = raw(spark, sf_dir).withColumn("Description", F.concat("Description", F.lit('\nsaid "'), "Timezone", F.lit('"')))
+    (feed.repartitionByRange("seq").sortWithinPartitions("seq")  # files in order by their names
+     .write.option("header", "true").option("escape", '"').option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false").csv(path))
+    rows = quoted_csv.read_quoted_csv(spark, path)
+    out = split.ordered_split(rows, quoted_csv.ORDER, N_BATCHES, FIRST_DAY)
+    return out.select(F.col("seq").cast("long").alias("seq"), "ID", "Description", "City", "batch", "situation_date")
+
+
+def q_stored_profile(spark, sf_dir):
+    """Columns and counts of a published Silver, as counted when it was written."""
+    root = scratch_path(spark, "silver")
+    rows = store.write_bronze(cumulative(spark, sf_dir), scratch_path(spark, "bronze"))
+    jobs.run_silver(spark, rows, root, schema=f"profiled_{uuid.uuid4().hex[:8]}")
+    return jobs.silver_profile(spark, root, LAST_DAY).select("table_name", "column_name", "null_count", "n_rows")
+
+
 def q_ordered_split_counts(spark, sf_dir):
     return split.batch_counts(batches(spark, sf_dir))
 
@@ -255,6 +276,8 @@ def registry() -> dict[str, Query]:
     q["stamp_date"] = q_stamp_date
     q["batch_discovery"] = q_batch_discovery
     q["ordered_split"] = batches
+    q["ordered_split_file"] = q_ordered_split_file
+    q["stored_profile"] = q_stored_profile
     q["ordered_split_counts"] = q_ordered_split_counts
     q["batch_pending"] = q_batch_pending
     q["union_by_name"] = q_union_by_name

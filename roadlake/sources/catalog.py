@@ -53,6 +53,18 @@ def register_parquet(spark: SparkSession, table: str, path: str) -> None:
     spark.catalog.recoverPartitions(table)
 
 
+def register_days(spark: SparkSession, table: str, path: str, schema, folders: Mapping[str, str],
+                  partition_col: str = "bronze_date") -> None:
+    """Define ``table`` over day folders that lie anywhere; ``path`` is where the table says it is stored."""
+    check_location(spark, table, path)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: its files stay
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (`{partition_col}`) LOCATION '{path}'")
+    if folders:
+        parts = " ".join(f"PARTITION (`{partition_col}` = DATE'{d}') LOCATION '{f}'" for d, f in sorted(folders.items()))
+        spark.sql(f"ALTER TABLE {table} ADD {parts}")
+
+
 def append_table(df: DataFrame, table: str, path: str | None = None) -> str:
     """Append rows to a catalog table (created on first use); duplicates are kept."""
     writer = df.write.mode("append").format("parquet")

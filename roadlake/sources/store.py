@@ -15,9 +15,18 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadlake.sources import versions
+
 BRONZE_PARTITION = "bronze_date"
 
 
+def published(spark: SparkSession, path: str) -> tuple[str, str, dict] | None:
+    """(folder, table, manifest) if ``path`` is a table of a folder published by versions, else None."""
+    root, _, name = path.rstrip("/").rpartition("/")
+    manifest = versions.latest(spark, root) if root else None
+    return (root, name, manifest) if manifest and name in manifest["tables"] else None
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     df.write.mode(mode).parquet(path)
     return path
@@ -37,7 +46,11 @@ def read_bronze(spark: SparkSession, path: str, day: str | date | None = None,
     """All of Bronze, or one day of it (partition-pruned).
 
     The days' schemas are merged: a column that some days lack is NULL there.
+    Of a published table it is the newest version.
     """
+    if found := published(spark, path):
+        root, name, manifest = found
+        return versions.read_table(spark, root, name, manifest, None if day is None else str(day))
     df = spark.read.option("mergeSchema", "true").parquet(path)
     if day is not None:
         df = df.filter(F.col(partition_col) == F.lit(str(day)).cast("date"))
@@ -50,10 +63,12 @@ def loaded_days(spark: SparkSession, path: str, partition_col: str = BRONZE_PART
     return files.select(F.col(partition_col).cast("date").alias(partition_col)).distinct()
 
 
-def existing_days(spark: SparkSession, path: str) -> list[str]:
+def existing_days(spark: SparkSession, path: str, partition_col: str = BRONZE_PARTITION) -> list[str]:
     """The same as sorted text; a store that does not exist yet has none."""
+    if found := published(spark, path):
+        return sorted(found[2]["tables"][found[1]]["days"])
     try:
-        return sorted(str(r[0]) for r in loaded_days(spark, path).collect())  # one row per day
+        return sorted(str(r[0]) for r in loaded_days(spark, path, partition_col).collect())  # one row per day
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
