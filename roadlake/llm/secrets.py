@@ -27,7 +27,8 @@ NAMES = (
     r"secret[_.-]?key|credentials?|auth)"
 )
 #: What may stand in an assigned value: in quotes all but quotes and white space, else also no brackets and separators.
-VALUE = r"(?:(?<=[\"'`])[^\s\"'`]{4,}|(?:(?!&\w{1,40}=)[^\s\"'`,;<>(){}\[\]]){4,})"
+#: Possessive, as greedy repeats of characters of one and two UTF-16 units recurse.
+VALUE = r"(?:(?<=[\"'`])[^\s\"'`]{4,}+|(?:(?!&\w{1,40}=)[^\s\"'`,;<>(){}\[\]]){4,}+)"
 KEY = r"PRIVATE KEY(?: BLOCK)?-----"
 #: A key block up to its END line; one without it up to the last line that can be its own.
 BLOCK = (
@@ -39,7 +40,7 @@ BLOCK = (
 CANDIDATE = (
     BLOCK + rf"|(?<![A-Za-z0-9])(?:AKIA|ASIA|ghp_|gho_|xox[abp]-|sk_live_|AIza|eyJ){RUN}{{8,}}"
     rf"|(?<=[=:>\s\"'`])(?=[^\s\"'`=:>])(?<=[=:]>?\s{{0,2}}[\"'`]?)(?<={NAMES}[\"'`\]]{{0,2}}\s{{0,2}}:?[=:]>?\s{{0,2}}[\"'`]?){VALUE}"
-    r"|(?<=:)(?<=://[^\s/:@]{0,64}:)[^\s/@\"'`<>]+(?=@)"
+    r"|(?<=:)(?<=://[^\s/:@]{0,64}:)[^\s/@\"'`<>]++(?=@)"
     rf"|(?<!{RUN})(?={RUN}{{16}})(?![A-Za-z0-9+/_.~%-]*+(?<={NAMES})=(?=[^\s\"'`=:>]){VALUE}){RUN}{{16,}}"
 )
 CREDENTIAL = r"(?i)(?:pass(?:word|wd|phrase)|pwd|secret|token|api.?key|access.?key|private.?key|credential|bearer|auth)"
@@ -207,34 +208,45 @@ def judged(docs: DataFrame, labelled: DataFrame | None = None, threshold: float
     )
 
 
+def _free(taken: list[str], *names: str) -> dict[str, str]:
+    """Column names that no column in ``taken`` has, by what they are for."""
+    lead = "__"
+    while any(t.lower().startswith(lead) for t in taken):
+        lead += "_"
+    return {n: lead + n for n in names}
+
+
 def mask(docs: DataFrame, labelled: DataFrame | None = None, mark: str = "[SECRET]") -> DataFrame:
     """All rows and columns of ``docs``; in their texts each confirmed secret is replaced by ``mark``.
 
     Rows without a candidate pass as they are; the others meet their findings
-    by doc_id and a hash of the text, so repeated rows are masked alike.
+    by doc_id and a hash of the text, so repeated rows are masked alike.  Columns
+    of any name pass.
     """
     names = docs.columns
+    made = _free(names, "text_key", "gaps", "values", "id", "key", "places")
     confirmed = (
         judged(docs, labelled)
         .where("is_secret")
-        .groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
-        .agg(F.collect_set("place").alias("__places"))
+        .groupBy(F.col("doc_id").alias(made["id"]), F.col("text_key").alias(made["key"]))
+        .agg(F.collect_set("place").alias(made["places"]))
     )
     has = F.coalesce(F.col("text").rlike(CANDIDATE), F.lit(False))
     gaps, values = F.split("text", CANDIDATE, -1), F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))
-    some = docs.where(has).withColumns({"__text_key": F.xxhash64("text"), "__gaps": gaps, "__values": values})
+    some = docs.where(has).withColumns({made["text_key"]: F.xxhash64("text"), made["gaps"]: gaps, made["values"]: values})
     joined = some.join(
         confirmed,
-        F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")),
+        F.col("doc_id").cast("long").eqNullSafe(F.col(made["id"])) & (F.col(made["text_key"]) == F.col(made["key"])),
         "left",
     )
+    found = F.col(made["values"])
     shown = F.transform(
-        "__gaps",
+        made["gaps"],
         lambda g, i: F.concat(
             g,
-            F.when(i == F.size("__values"), F.lit(""))
-            .when(F.coalesce(F.array_contains("__places", i), F.lit(False)), F.lit(mark))
-            .otherwise(F.get("__values", i)),
+            F.when(i == F.size(found), F.lit(""))
+            .when(F.coalesce(F.array_contains(made["places"], i), F.lit(False)), F.lit(mark))
+            .otherwise(F.get(found, i)),
         ),
     )
     return docs.where(~has).unionAll(joined.withColumn("text", F.array_join(shown, "")).select(*names))

@@ -128,3 +128,22 @@ def test_a_long_text_after_a_key_without_end(documents):
     text = "-----BEGIN PRIVATE KEY-----" + " filler words-here" * 100_000
     (r,) = secrets.candidates(documents([(1, text)])).collect()
     assert r.value == "-----BEGIN PRIVATE KEY-----"
+
+
+@pytest.mark.parametrize("lead", ["password=", 'token: "', "see postgres://user:", "-----BEGIN RSA PRIVATE KEY-----\n", "-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: ", "AKIA", ""])
+def test_long_values_of_mixed_character_widths(documents, lead):
+    """A million characters of one and two UTF-16 units by turns, in each alternative of the pattern."""
+    texts = [(1, lead + "a\U0001f600" * 500_000 + "@host"), (2, f'{lead}{"A1b2" * 250_000}" end'), (3, lead + "\U0001f600=&a" * 200_000)]
+    docs = documents(texts)
+    places = {d: t for d, t in texts}
+    for r in secrets.judged(docs).collect():
+        assert len(r.value) >= 4 and r.value in places[r.doc_id]
+    assert secrets.mask(docs).count() == 3
+
+
+def test_mask_keeps_columns_of_any_name(documents):
+    rows = [(1, f'token = "{HEX}" x'), (2, "plain")]
+    docs = documents(rows, __gaps="g", __values="v", __text_key="k", __places="p", __id="i", __key="y")
+    got = secrets.mask(docs)
+    assert got.columns == docs.columns
+    assert all((r["__gaps"], r["__values"], r["__text_key"], r["__places"], r["__id"], r["__key"]) == tuple("gvkpiy") for r in got.collect())
