@@ -4,11 +4,12 @@ Counts cover every training document.  At most ``head`` of the most frequent
 words are broadcast; all other words meet their counts in a join.  The model
 predicts the most frequent words, ``vocabulary`` or the square root of the
 number of distinct words if that is more, and one class for the rest, whose
-words then share it by their counts.  Its weights are learnt in two rounds from
-every training document: each task passes once over its own documents from the
-round's common start, and the results are averaged in a tree of tasks.  The
-documents are dealt to the rounds by a hash of id and text, a fifth to the first.
-A caller may give a smaller ``share`` of them; the query does not.
+words then share it by their counts.  Its weights are learnt in rounds from every
+training document: hashes deal the documents to rounds and, within a round, to
+shards of about SHARD_TOKENS tokens; each shard passes once over its documents
+from the round's common start, and the results are averaged.  So the model
+depends on the table alone, not on its partitions.  A caller may give a smaller
+``share`` of the documents; the query does not.
 """
 
 from __future__ import annotations
@@ -31,6 +32,12 @@ from roadlake.session import scratch_path
 END = b"\n"  # no word holds a line feed
 CLASSES = 48  # at least
 WIDTH, WINDOW = 1024, 32
+#: Of training: lanes, steps of back-propagation, tokens of a shard and of what a task lays on the lanes at a time.
+LANES, STEPS = 256, 16
+SHARD_TOKENS = 1_000_000
+BATCH_TOKENS = 500_000
+#: Shares of the training documents that have been learnt after each round.
+ROUNDS = (0.1, 0.3, 0.6, 1.0)
 
 
 def class_starts(counts: np.ndarray) -> np.ndarray:
@@ -117,50 +124,89 @@ def _vocabulary(counts: DataFrame, head: int, size: int) -> Vocabulary:
     return Vocabulary(rows, sum(r.c for r in steps), sum(r.n for r in steps), size)
 
 
-def _learnt(training: DataFrame, shared, params: recurrent.Params, rate: float) -> recurrent.Params:
-    """The average of what the tasks learn from their documents, weighted by tokens."""
+def _learnt(training: DataFrame, shared, params: recurrent.Params, rate: float, shards: int) -> recurrent.Params:
+    """The average of what ``shards`` copies of the model learn from their documents, weighted by tokens.
+
+    A shard's documents come to one task in the order of their hashes, whatever
+    the partitions; a task passes over its shards one after the other and adds
+    them up.  Rows that repeat a document's id and text teach once.
+    """
     start = training.sparkSession.sparkContext.broadcast(recurrent.flatten(params))
-    row = "weight double, params binary"
+    row = "weight double, total binary"
+
+    def summed(weight: float, total: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([weight]), pa.array([total.tobytes()], pa.binary())], ["weight", "total"])
 
-    def merged(parts: list[tuple[float, np.ndarray]]) -> pa.RecordBatch:
-        weight = sum(w for w, _ in parts)
-        flat = sum(w * p.astype(np.float64) for w, p in parts) / max(weight, 1e-9) if parts else np.zeros(0)
-        return pa.record_batch([pa.array([weight]), pa.array([flat.astype(np.float32).tobytes()], pa.binary())], ["weight", "params"])
+    def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = pickle.loads(shared.value)
+        kind = np.uint16 if len(vocabulary.counts) < 1 << 16 else np.int32
+        for batch in batches:
+            ids = [vocabulary.model_ids(vocabulary.ranks(t)[1]).astype(kind).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.record_batch([batch.column("shard"), batch.column("key"), pa.array(ids, pa.binary())], ["shard", "key", "ids"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pickle.loads(shared.value)
+        kind = np.uint16 if len(vocabulary.counts) < 1 << 16 else np.int32
         starts = class_starts(vocabulary.counts)
-        p = recurrent.unflatten(start.value, params)
-        model = recurrent.Model(p, starts)
-        memory = {k: np.full_like(v, 1e-8) for k, v in p.items()}
-        docs, tokens, seen = [], 0, 0
+        weight, total = 0.0, np.zeros(len(start.value))
+        model, memory, docs, tokens, seen, now, last = None, {}, [], 0, 0, None, None
+
+        def pass_over() -> None:
+            nonlocal docs, tokens, seen
+            if docs:
+                model.learn(docs, vocabulary.end, memory, rate, LANES, STEPS)
+            docs, tokens, seen = [], 0, seen + tokens
+
+        def leave() -> None:
+            nonlocal weight, total
+            pass_over()
+            weight += seen
+            total += seen * recurrent.flatten(model.p).astype(np.float64)
+
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                docs.append(vocabulary.model_ids(vocabulary.ranks(text)[1]))
+            columns = (batch.column(c).to_pylist() for c in ("shard", "key", "ids"))
+            for shard, key, ids in zip(*columns, strict=True):
+                if shard != now:
+                    if model:
+                        leave()
+                    p = recurrent.unflatten(start.value, params)
+                    model, memory = recurrent.Model(p, starts), {k: np.full_like(v, 1e-8) for k, v in p.items()}
+                    now, seen, last = shard, 0, None
+                if key == last:
+                    continue
+                last = key
+                docs.append(np.frombuffer(ids, kind).astype(np.int32))
                 tokens += len(docs[-1])
-                if tokens > 2_000_000:
-                    model.learn(docs, vocabulary.end, memory, rate, 256, WINDOW // 2)
-                    docs, tokens, seen = [], 0, seen + tokens
-        if docs:
-            model.learn(docs, vocabulary.end, memory, rate, 256, WINDOW // 2)
-        if seen + tokens:
-            yield merged([(float(seen + tokens), recurrent.flatten(p))])
+                if tokens > BATCH_TOKENS:
+                    pass_over()
+        if model:
+            leave()
+            yield summed(weight, total)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(r["weight"], np.frombuffer(r["params"], np.float32)) for b in batches for r in b.to_pylist()]
-        if parts:
-            yield merged(parts)
-
-    learnt = store(map_batches(training.select("text"), learn, row))
+        weight, total = 0.0, None
+        for b in batches:
+            for r in b.to_pylist():
+                weight += r["weight"]
+                part = np.frombuffer(r["total"])
+                total = part.copy() if total is None else total + part
+        if total is not None:
+            yield summed(weight, total)
+
+    place = F.pmod(F.xxhash64("key"), F.lit(shards))
+    ids = map_batches(training.select(place.alias("shard"), "key", "text"), ranked, "shard long, key binary, ids binary")
+    ordered = ids.repartition("shard").sortWithinPartitions("shard", "key")
+    learnt = store(map_batches(ordered, learn, row))
     n = learnt.count()
     while n > 16:
         n = -(-n // 16)
         learnt = store(map_batches(learnt.repartition(n), merge, row))
-    rows = [(r.weight, np.frombuffer(bytes(r.params), np.float32)) for r in learnt.collect()]
-    if not rows:
+    rows = [(r.weight, np.frombuffer(bytes(r.total))) for r in learnt.collect()]
+    if not sum(w for w, _ in rows):
         return params
-    flat = sum(w * p.astype(np.float64) for w, p in rows) / sum(w for w, _ in rows)
-    return recurrent.unflatten(flat, params)
+    average = sum(t for _, t in rows) / sum(w for w, _ in rows)
+    # cut to 2**-16, so that the order in which the parts were added does not show
+    return recurrent.unflatten(np.round(average * 65536) / 65536, params)
 
 
 def score(
@@ -183,20 +229,22 @@ def score(
     source = docs.select(
         held_out(F.col("doc_id").cast("long")).alias("held_out"),
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(1000)).alias("slice"),
+        F.unhex(F.md5(F.to_binary(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text"), F.lit("utf-8")))).alias("key"),
         "text",
     )
     training = source.where("not held_out").select(
-        "slice", F.coalesce(F.col("text").cast("binary"), F.lit(b"").cast("binary")).alias("text")
+        "slice", "key", F.coalesce(F.col("text").cast("binary"), F.lit(b"").cast("binary")).alias("text")
     )
     counts = store(word_counts(training))
     known = _vocabulary(counts, head, vocabulary)
     shared = spark.sparkContext.broadcast(pickle.dumps(known))
     starts = class_starts(known.counts)
     params = recurrent.fresh(known.counts, starts, hidden)
-    first, last = int(200 * share), int(1000 * share)
-    for low, high in ((0, first), (first, last)):
-        some = training.where((F.col("slice") >= low) & (F.col("slice") < high))
-        params = _learnt(some, shared, params, rate)
+    low = 0.0
+    for high in ROUNDS:
+        some = training.where((F.col("slice") >= int(1000 * share * low)) & (F.col("slice") < int(1000 * share * high)))
+        params = _learnt(some, shared, params, rate, max(1, round(known.total * share * (high - low) / SHARD_TOKENS)))
+        low = high
     weights = spark.sparkContext.broadcast(recurrent.flatten(params))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

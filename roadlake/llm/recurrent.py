@@ -10,12 +10,14 @@ truncates back-propagation at the window.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
 F4 = np.float32
 Params = dict[str, np.ndarray]
+#: Training cuts documents into pieces of so many words; scoring never does.
+PIECE = 512
 
 
 def class_starts(counts: np.ndarray, classes: int) -> np.ndarray:
@@ -54,11 +56,12 @@ def unflatten(flat: np.ndarray, like: Params) -> Params:
     return out
 
 
-def lanes(docs: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def lanes(docs: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Documents laid end to end on lanes, the longest lane first.
 
-    Returns (words, document of each place, lane ends): arrays of (steps, lanes);
-    words hold 0 beyond a lane's end.
+    Returns (words, document of each word, whether it begins one, starts and
+    lengths of the lanes): the lanes one behind the other, as long as the
+    documents together.
     """
     width = max(1, min(width, len(docs)))
     heap = [(0, k) for k in range(width)]
@@ -67,20 +70,15 @@ def lanes(docs: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray, n
         n, k = heapq.heappop(heap)
         placed[k].append(d)
         heapq.heappush(heap, (n + len(docs[d]), k))
-    size = [sum(len(docs[d]) for d in own) for own in placed]
-    order = np.argsort(-np.array(size), kind="stable")
-    steps = max(size)
-    words, doc = np.zeros((steps, width), np.int32), np.zeros((steps, width), np.int32)
-    first = np.zeros((steps, width), bool)
-    for lane, k in enumerate(order.tolist()):
-        at = 0
-        for d in placed[k]:
-            n = len(docs[d])
-            words[at : at + n, lane] = docs[d]
-            doc[at : at + n, lane] = d
-            first[at, lane] = True
-            at += n
-    return words, doc, first, np.array(size)[order]
+    size = np.array([sum(len(docs[d]) for d in own) for own in placed])
+    order = np.argsort(-size, kind="stable")
+    row = [d for k in order.tolist() for d in placed[k]]
+    sizes = np.array([len(docs[d]) for d in row])
+    words = np.concatenate([docs[d] for d in row])
+    first = np.zeros(len(words), bool)
+    first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+    size = size[order]
+    return words, np.repeat(np.array(row, np.int32), sizes), first, np.cumsum(size) - size, size
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -88,14 +86,15 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _windows(docs, width, window, end_word) -> Iterator[tuple]:
-    words, doc, first, size = lanes(docs, width)
-    before = np.vstack([np.full((1, words.shape[1]), end_word, np.int32), words[:-1]])
+    words, doc, first, start, size = lanes(docs, width)
+    before = np.r_[np.array([end_word], words.dtype), words[:-1]]
     before[first] = end_word
-    for at in range(0, len(words), window):
+    for at in range(0, int(size[0]), window):
         k = int((size > at).sum())  # lanes that are still running
-        rows = slice(at, min(at + window, len(words)))
-        there = np.arange(rows.start, rows.stop)[:, None] < size[:k]
-        yield words[rows, :k], before[rows, :k], first[rows, :k], there, doc[rows, :k], k
+        steps = np.arange(at, min(at + window, int(size[0])))[:, None]
+        there = steps < size[:k]
+        place = np.where(there, start[:k] + steps, start[:k])
+        yield words[place], before[place], first[place] & there, there, doc[place], k
 
 
 def _forward(p: Params, before: np.ndarray, first: np.ndarray, h: np.ndarray, keep: bool):
@@ -136,8 +135,9 @@ class Model:
         self.of = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
         self.hidden = params["u"].shape[0]
 
-    def _output(self, s: np.ndarray, words: np.ndarray, grads: Params | None):
-        """Log-probability of each word given its state; adds to grads and returns the states' gradient."""
+    def _output(self, s: np.ndarray, words: np.ndarray, update: Callable | None):
+        """Log-probability of each word given its state, and the states' gradient; calls ``update`` with the
+        gradients of the classes and of their words, once what depends on them is worked out."""
         p, own = self.p, self.of[words]
         rows = np.arange(len(words))
         logits = s @ p["c"].T + p["cb"]
@@ -145,11 +145,13 @@ class Model:
         prob, total = _softmax(logits)
         logp = chosen - total
         ds = None
-        if grads is not None:
+        if update:
             prob[rows, own] -= 1
-            grads["c"] += prob.T @ s
-            grads["cb"] += prob.sum(axis=0)
             ds = prob @ p["c"]
+            update("c", slice(None), prob.T @ s)
+            update("cb", slice(None), prob.sum(axis=0))
+        if update:
+            dw, dwb = np.zeros_like(p["w"]), np.zeros_like(p["wb"])
         order = np.argsort(own, kind="stable")
         cut = np.searchsorted(own[order], np.arange(len(self.starts)))
         for k in np.flatnonzero(np.diff(cut)).tolist():
@@ -163,11 +165,14 @@ class Model:
             chosen = logits[n, w]
             prob, total = _softmax(logits)
             logp[at] += chosen - total
-            if grads is not None:
+            if update:
                 prob[n, w] -= 1
-                grads["w"][a:b] += prob.T @ sk
-                grads["wb"][a:b] += prob.sum(axis=0)
                 ds[at] += prob @ p["w"][a:b]
+                dw[a:b] = prob.T @ sk
+                dwb[a:b] = prob.sum(axis=0)
+        if update:
+            update("w", slice(None), dw)
+            update("wb", slice(None), dwb)
         return logp, ds
 
     def log_likelihood(self, docs: list[np.ndarray], end_word: int, width: int = 512, window: int = 16) -> np.ndarray:
@@ -180,18 +185,51 @@ class Model:
             out += np.bincount(doc[there], logp, len(docs))
         return out
 
-    def learn(self, docs: list[np.ndarray], end_word: int, memory: Params, rate: float, width: int, window: int) -> None:
-        """One pass over the documents by truncated back-propagation; memory: Adagrad's sums of squares."""
+    def learn(
+        self, docs: list[np.ndarray], end_word: int, memory: Params, rate: float, width: int, window: int, piece: int = PIECE
+    ) -> None:
+        """One pass over the documents by truncated back-propagation; memory: Adagrad's sums of squares.
+
+        Longer documents are learnt in pieces, so that the lanes end together; a
+        piece starts with the word before it and no state.  Of the input words only
+        those of a window are updated, which is what Adagrad does with zeros.
+        """
         hidden, p = self.hidden, self.p
-        h = np.zeros((min(width, len(docs)), hidden), F4)
-        for words, before, first, there, _, k in _windows(docs, width, window, end_word):
+        begins = {}
+        parts: list[np.ndarray] = []
+        for d in docs:
+            for at in range(0, len(d), piece):
+                if at:
+                    begins[len(parts)] = d[at - 1]
+                parts.append(d[at : at + piece])
+        if not parts:
+            return
+        lead = np.full(len(parts), end_word, np.int32)
+        lead[list(begins)] = list(begins.values())
+        h = np.zeros((min(width, len(parts)), hidden), F4)
+        for words, before, first, there, part, k in _windows(parts, width, window, end_word):
+            before = np.where(first, lead[part], before)
+            share = F4(1 / max(1, int(there.sum())))
+
+            def update(name: str, rows, g: np.ndarray, share=share) -> None:
+                g *= share
+                sums = g * g
+                sums += memory[name][rows]
+                memory[name][rows] = sums
+                np.sqrt(sums, out=sums)
+                sums += F4(1e-6)
+                g *= F4(rate)
+                g /= sums
+                p[name][rows] -= g
+
             states, h, kept = _forward(p, before, first, h[:k], True)
-            grads = {name: np.zeros_like(v) for name, v in p.items()}
-            _, ds = self._output(states[there], words[there], grads)
+            _, ds = self._output(states[there], words[there], update)
             dstates = np.zeros_like(states)
             dstates[there] = ds
             dx = np.empty((len(words), k, 3 * hidden), F4)
             dh = np.zeros((k, hidden), F4)
+            du = np.zeros_like(p["u"])
+            back = np.ascontiguousarray(p["u"].T)
             for t in range(len(words) - 1, -1, -1):
                 h0, z, r, an, n = kept[t]
                 dh = dh + dstates[t]
@@ -202,16 +240,12 @@ class Model:
                 d[:, 2 * hidden :] = dn
                 da = d.copy()
                 da[:, 2 * hidden :] *= r
-                grads["u"] += h0.T @ da
-                dh = dh * z + da @ p["u"].T
+                du += h0.T @ da
+                dh = dh * z + da @ back
                 if first[t].any():
                     dh[first[t]] = 0
+            update("u", slice(None), du)
             flat, rows = dx.reshape(-1, 3 * hidden), before.ravel()
             order = np.argsort(rows, kind="stable")
             start = np.flatnonzero(np.r_[True, np.diff(rows[order]) != 0])
-            grads["x"][rows[order][start]] += np.add.reduceat(flat[order], start, axis=0)
-            n = F4(1 / max(1, int(there.sum())))
-            for name, g in grads.items():
-                g *= n
-                memory[name] += g * g
-                p[name] -= F4(rate) * g / (np.sqrt(memory[name]) + F4(1e-6))
+            update("x", rows[order][start], np.add.reduceat(flat[order], start, axis=0))

@@ -147,3 +147,39 @@ def test_vocabulary_and_classes_grow_with_the_corpus():
     assert len(lm_scoring.Vocabulary(head, 10**9, 10**6, 2000).ids) == 2000
     v = lm_scoring.Vocabulary(head, 10**10, 64 * 10**6, 2000)
     assert len(v.ids) == 8000 and len(lm_scoring.class_starts(v.counts)) - 1 > lm_scoring.CLASSES
+
+
+def test_scores_do_not_depend_on_partitions(spark, sf_small, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SHARD_TOKENS", 15_000)  # several shards a round
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    found = []
+    for n in (2, 16, 64):
+        rows = lm_scoring.score(docs.repartition(n)).collect()
+        found.append({r.doc_id: (r.score, r.base_score, r.n_known) for r in rows})
+    assert found[0].keys() == found[1].keys() == found[2].keys()
+    for k, want in found[0].items():
+        for other in found[1:]:
+            assert other[k][0] == pytest.approx(want[0], rel=1e-6) and other[k][1] == pytest.approx(want[1]) and other[k][2] == want[2]
+
+
+def test_one_long_document_needs_memory_for_itself_only():
+    import tracemalloc
+
+    docs = [np.zeros(5_000_000, np.int32), *[np.zeros(5, np.int32)] * 1000]
+    m = model()
+    tracemalloc.start()
+    windows = recurrent._windows(docs, 1024, 32, 2)
+    for _ in range(3):
+        words, before, first, there, doc, k = next(windows)
+        m._output(np.zeros((int(there.sum()), 4), np.float32), words[there], None)
+    assert k == 1 and tracemalloc.get_traced_memory()[1] < 500e6
+    tracemalloc.stop()
+
+
+def test_pieces_of_long_documents_are_all_learnt():
+    docs = [np.arange(10, dtype=np.int32).repeat(130), np.array([2], np.int32), np.zeros(0, np.int32)]
+    m, seen = model(), []
+    output = m._output
+    m._output = lambda s, w, update: (seen.extend(w.tolist()), output(s, w, update))[1]
+    m.learn(docs, 2, {k: np.full_like(v, 1e-8) for k, v in m.p.items()}, 0.1, 4, 16, piece=100)
+    assert sorted(seen) == sorted(np.concatenate(docs).tolist())
