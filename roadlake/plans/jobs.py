@@ -7,6 +7,7 @@ Each job takes the caller's session and paths; none stops the session.
 * ``run_silver``   Bronze -> the three Silver tables, per Bronze day
 * ``run_snapshot`` one day of Silver -> plain parquet copies
 * ``build_gold``   Silver accidents -> the three marts (+ optional JDBC export)
+* ``refresh_gold`` Bronze days -> marts kept by adding days
 * ``kpis``         Gold marts -> KPI frames
 * ``run_training`` Silver -> fitted pipeline, accuracy, saved model
 
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlake import schema as schema_contract
-from roadlake.operators import bronze, features, gold, kpi, model, silver, split
+from roadlake.operators import bronze, features, gold, increments, kpi, model, silver, split
 from roadlake.session import materialize
 from roadlake.sources import catalog, csv_batches, quoted_csv, sinks, store, versions
 
@@ -210,6 +211,60 @@ def build_gold(accidents: DataFrame, gold_root: str, jdbc_url: str | None = None
     return report
 
 
+def refresh_gold(spark: SparkSession, bronze_path: str, state_root: str, gold_root: str,
+                 days: list[str] | None = None, words: int = increments.WORDS) -> list[str]:
+    """Keep the marts by adding days: a key counts on the first day that has it.
+
+    Of each Bronze day ``state_root`` stores the accidents whose keys no
+    earlier day has, these keys with their filter, and the mergeable counts of
+    the marts.  Without ``days`` every day is worked out; otherwise these, and
+    later ones only if a day's keys have changed.  The marts are then summed
+    from the counts of all days; no other day's rows are read.  Returns the
+    days worked out.
+    """
+    root = state_root.rstrip("/")
+    every = store.existing_days(spark, bronze_path)
+    if unknown := set(days or []) - set(every):
+        raise ValueError(f"Bronze {bronze_path} has no day {sorted(unknown)}")
+    done, changed = [], False
+    for day in every:
+        if days is not None and day not in days and not changed:
+            continue
+        own = store.read_bronze(spark, bronze_path, day)
+        if "situation_date" in own.columns:  # the last day holds every batch
+            own = own.where(F.col("situation_date") == F.col(store.BRONZE_PARTITION))
+        fresh = silver.conform_accidents(own)
+        if earlier := [d for d in store.existing_days(spark, f"{root}/keys") if d < day]:
+            before = F.col(store.BRONZE_PARTITION) < F.lit(day).cast("date")
+            keys, filters = (store.read_bronze(spark, f"{root}/{n}").where(before) for n in ("keys", "filters"))
+            fresh = increments.unseen(fresh, keys, filters, words=words)
+        fresh = materialize(fresh)
+        old = _mark(spark, f"{root}/keys", day)
+        parts = {"accidents": fresh, "keys": fresh.select(schema_contract.KEY),
+                 "filters": increments.key_filter(fresh, words=words), "counts": gold.base_counts(fresh)}
+        for name, df in parts.items():
+            _replace_day(spark, df, f"{root}/{name}", day)
+        changed = changed or old != _mark(spark, f"{root}/keys", day)
+        done.append(day)
+    counts = store.read_bronze(spark, f"{root}/counts").drop(store.BRONZE_PARTITION)
+    for name, mart in gold.marts_from_base(counts).items():
+        store.write_parquet(mart, f"{gold_root.rstrip('/')}/{name}")
+    return done
+
+
+def _replace_day(spark: SparkSession, df: DataFrame, path: str, day: str) -> None:
+    """Put ``df`` in place of one day's folder, an empty one too."""
+    df.write.mode("overwrite").parquet(f"{path}/{store.BRONZE_PARTITION}={day}")
+
+
+def _mark(spark: SparkSession, path: str, day: str) -> tuple | None:
+    """Number and hash sum of a day's keys."""
+    if day not in store.existing_days(spark, path):
+        return None
+    keys = store.read_bronze(spark, path, day)
+    return tuple(keys.agg(F.count("*"), F.sum(F.xxhash64(schema_contract.KEY).cast("decimal(38,0)"))).first())
+
+
 def kpis(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
     root = gold_root.rstrip("/")
     by_region = spark.read.parquet(f"{root}/accidents_by_region")

@@ -213,6 +213,16 @@ SELECT * FROM batches b WHERE NOT EXISTS (
     q["table_scan"] = _with(SILVER, "SELECT * FROM accidents")
     per_day = _first_per_key(_acc_shape("cumulative", "bronze_date, "), ACC_COLS, "bronze_date, ID")
     q["silver_append"] = _with(BATCHES, per_day)
+    own = _first_per_key(_acc_shape("batches", "situation_date AS bronze_date, "), f"{ACC_COLS}, bronze_date", "bronze_date, ID")
+    new = f"""{BATCHES},
+own AS ({own}),
+fresh AS (SELECT * FROM own WHERE NOT EXISTS (
+  SELECT 1 FROM own e WHERE e.ID = own.ID AND e.bronze_date < own.bronze_date))"""
+    q["silver_append_new"] = _with(new, "SELECT * FROM fresh")
+    q["mart_by_region_merged"] = _with(new, """
+SELECT State, County, City, Severity, CAST(TRY_CAST(Start_Time AS TIMESTAMP) AS DATE) AS "date",
+       count(ID) AS accident_count, avg(TRY_CAST(Severity AS DOUBLE)) AS avg_severity
+FROM fresh GROUP BY 1, 2, 3, 4, 5""")
     q["silver_snapshot"] = _with(SILVER, """
 SELECT 'accidents' AS table_name, count(*) AS n_rows FROM accidents
 UNION ALL SELECT 'weather', count(*) FROM weather
@@ -363,6 +373,12 @@ SELECT CASE WHEN {bits} < 0.8 * 4294967296 THEN 'train' ELSE 'test' END AS part,
 FROM ff GROUP BY 1""")
     q["test_labels"] = _with(FEATURES, f"""
 SELECT Severity, count(*) AS n_rows FROM ff WHERE {bits} >= 0.8 * 4294967296 GROUP BY Severity""")
+    q["rf_table_scores"] = _with(FEATURES, f"""
+, labels AS (
+  SELECT Severity, CAST(row_number() OVER (ORDER BY count(*) DESC, Severity) - 1 AS DOUBLE) AS label
+  FROM ff GROUP BY Severity)
+SELECT labels.label, count(*) AS n_rows, count(*) AS n_same FROM ff JOIN labels ON ff.Severity = labels.Severity
+WHERE {bits} >= 0.8 * 4294967296 GROUP BY labels.label""")
     vector = ", ".join(f"CAST({x.strip()} AS DOUBLE)" for x in FEATURE_COLS.split(","))
     q["feature_vector"] = _with(FEATURES, f"""
 , labels AS (

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from roadlake import schema as S
 from roadlake.functions.columns import (
     date_of, flag_to_int, hour_label, hour_of, month_of, normalized_text, severity_int, to_float, weekday_of)
-from roadlake.operators import bronze, features, gold, kpi, model, profile, silver, split
+from roadlake.operators import bronze, features, forest, gold, kpi, model, profile, silver, split
 from roadlake.plans import jobs
 from roadlake.session import materialize, scratch_path, scratch_schema, sf_table
 from roadlake.sources import catalog, csv_batches, quoted_csv, store
@@ -139,6 +139,34 @@ def q_stored_profile(spark, sf_dir):
     return jobs.silver_profile(spark, root, LAST_DAY).select("table_name", "column_name", "null_count", "n_rows")
 
 
+def _refreshed(spark, sf_dir) -> tuple[str, str]:
+    """State and Gold kept day by day."""
+    rows = store.write_bronze(cumulative(spark, sf_dir), scratch_path(spark, "bronze"))
+    state, marts = scratch_path(spark, "state"), scratch_path(spark, "gold")
+    jobs.refresh_gold(spark, rows, state, marts)
+    return state, marts
+
+
+def q_silver_append_new(spark, sf_dir):
+    """Daily appends in which a key counts on the first day that has it."""
+    state, _ = _refreshed(spark, sf_dir)
+    return store.read_bronze(spark, f"{state}/accidents")
+
+
+def q_mart_by_region_merged(spark, sf_dir):
+    _, marts = _refreshed(spark, sf_dir)
+    return spark.read.parquet(f"{marts}/accidents_by_region")
+
+
+def q_rf_table_scores(spark, sf_dir):
+    """Test rows by label, and how many of them the forest's table scores as the fitted forest does."""
+    trained = model.train_model(joined(spark, sf_dir))
+    table = forest.save_forest(spark, trained.forest, scratch_path(spark, "forest"))
+    both = forest.score(trained.predictions, table, prediction_col="by_table")
+    return both.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("by_table") == F.col("prediction")).alias("n_same"))
+
+
 def q_ordered_split_counts(spark, sf_dir):
     return split.batch_counts(batches(spark, sf_dir))
 
@@ -276,6 +304,9 @@ def registry() -> dict[str, Query]:
     q["stamp_date"] = q_stamp_date
     q["batch_discovery"] = q_batch_discovery
     q["ordered_split"] = batches
+    q["silver_append_new"] = q_silver_append_new
+    q["mart_by_region_merged"] = q_mart_by_region_merged
+    q["rf_table_scores"] = q_rf_table_scores
     q["ordered_split_file"] = q_ordered_split_file
     q["stored_profile"] = q_stored_profile
     q["ordered_split_counts"] = q_ordered_split_counts
