@@ -102,3 +102,60 @@ def test_keep_one(documents):
     assert kept.columns == docs.columns
     out = [(r.doc_id, r.text) for r in kept.collect()]
     assert len(out) == 3 and (None, "zz") in out and (9, "zz top") in out and sum(d == 2 for d, _ in out) == 1
+
+
+def linked_groups(values, links):
+    parent = {v: v for v in values}
+
+    def find(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {v: find(v) for v in values}
+
+
+def spread_values(seed, n, centres, away):
+    rng = np.random.default_rng(seed)
+    v = rng.integers(0, 2**64, centres, dtype=np.uint64)[rng.integers(0, centres, n)]
+    for _ in range(away):
+        v = v ^ (np.uint64(1) << rng.integers(0, 64, n).astype(np.uint64))
+    return np.unique(v)
+
+
+def test_pages_connect_what_all_pairs_connect(spark):
+    for limit, page in ((2, 16), (0, 16), (3, 64), (2, 100_000)):
+        v = np.concatenate([spread_values(1, 900, 30, 3), spread_values(2, 300, 300, 0), np.array([0, 2**64 - 1], np.uint64)])
+        v = np.unique(v)
+        near = np.bitwise_count(v[:, None] ^ v[None, :]) <= limit
+        want = linked_groups(v.tolist(), [(int(v[i]), int(v[j])) for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True)])
+        df = spark.createDataFrame([(int(x),) for x in v.view(np.int64)], "fp long").repartition(3)
+        links = [(a % 2**64, b % 2**64) for a, b in simhash.near_links(df, limit, page).collect()]
+        assert linked_groups(v.tolist(), links) == want and len(links) < 12 * len(v)
+
+
+def test_upper_nodes_drop_whole_groups():
+    v = spread_values(3, 40_000, 40_000, 0)
+    index = simhash.GrayIndex(v)
+    list(index.pairs(2))
+    groups = sum(index.dropped[:-1])
+    leaves = index.dropped[-1]
+    assert groups > 0 and leaves < len(v) ** 2 / 10  # all pairs would look at each leaf for each query
+    rng = np.random.default_rng(4)
+    pages = np.array_split(index.values, 64)
+    every, some = (np.array([f.reduce(p) for p in pages]) for f in (np.bitwise_and, np.bitwise_or))
+    roots = simhash.GrayIndex(every & ~(every ^ some), ~(every ^ some))
+    q = rng.integers(0, 2**64, 500, dtype=np.uint64)
+    visits = sum(len(i) for i, _ in roots.search(q, 2))
+    assert sum(roots.dropped) > 0 and visits < 500 * 64 / 2
+
+
+def test_crowded_values_stay_in_bounded_pages(spark):
+    """A third of the values within a few bits: pages are cut by size."""
+    v = np.unique(np.concatenate([spread_values(5, 3000, 1, 4), spread_values(6, 6000, 6000, 0)]))
+    df = spark.createDataFrame([(int(x),) for x in v.view(np.int64)], "fp long")
+    paged = simhash._paged(df, 100)
+    assert max(r["count"] for r in paged.groupBy("page").count().collect()) <= 100 and paged.count() == len(v)
