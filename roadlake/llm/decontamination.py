@@ -77,7 +77,8 @@ def runs(hit: np.ndarray) -> list[tuple[int, int]]:
 def spans(text: bytes, hit: np.ndarray) -> list[dict]:
     """Character offsets, in the original text, of the runs of hit words."""
     at = [(m.start(), m.end()) for m in _WORD.finditer(text.translate(ALNUM))]
-    chars = lambda n: len(text[:n].decode())
+    before = np.cumsum(np.r_[0, (np.frombuffer(text, np.uint8) & 0xC0) != 0x80], dtype=np.int32)  # characters before a byte
+    chars = lambda n: int(before[n])
     return [{"start": chars(at[i][0]), "end": chars(at[j - 1][1])} for i, j in runs(hit)]
 
 
@@ -95,7 +96,7 @@ RESULT = pa.schema(
 )
 
 
-def _pass(docs: DataFrame, items: list, window: int, last: bool) -> DataFrame:
+def _pass(docs: DataFrame, items: list, window: int, last: bool, with_spans: bool) -> DataFrame:
     """One automaton over all rows; ``docs`` carries what earlier automata hit."""
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(patterns(items, window)))
 
@@ -117,7 +118,7 @@ def _pass(docs: DataFrame, items: list, window: int, last: bool) -> DataFrame:
                             "n_items": len(ids),
                             "items_sha256": hashlib.sha256(",".join(ids).encode()).hexdigest(),
                             "items": ids,
-                            "spans": spans(r["text"], hit) if hit.any() else [],
+                            "spans": spans(r["text"], hit) if with_spans and hit.any() else [],
                         }
                     )
                 else:
@@ -133,7 +134,9 @@ def _pass(docs: DataFrame, items: list, window: int, last: bool) -> DataFrame:
     return store(map_batches(docs, run, "doc_id long, text binary, hits binary, items array<string>"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_bytes: int = 512 << 10) -> DataFrame:
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, max_bytes: int = 512 << 10, with_spans: bool = True
+) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, items, spans.
 
     items: sorted ids of items with an occurring window; spans: character
@@ -141,11 +144,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_b
     item has no words, an item of fewer than ``window`` words is one window, an item without words has none.  An item without an id hits but
     is not listed; items that share an id count once.  Each row is judged by
     itself; an empty table gives no rows, an empty benchmark hits nothing.
+    Without ``with_spans`` the spans are left empty.
     """
     state = id_and_text(docs).withColumns({"hits": F.lit(b"").cast("binary"), "items": F.array().cast("array<string>")})
     blocks = _blocks(benchmark, max_bytes)
     for b, items in enumerate(blocks):
-        state = _pass(state, items, window, b == len(blocks) - 1)
+        state = _pass(state, items, window, b == len(blocks) - 1, with_spans)
     return state
 
 

@@ -160,13 +160,16 @@ def pack(
     epochs: int = 2,
     population: int = 4,
     generations: int = 16,
+    loosest: int = 8,
 ) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Null and empty texts are the end id alone.  Rows that share a doc_id, or
     have none, are packed as documents of their own.  Pieces are shuffled into
-    shards by their place, not by key, so no key makes a shard large.  An empty
-    table gives no rows.
+    shards by their place, not by key, so no key makes a shard large; the
+    ``loosest`` sequences of each shard are then packed again together with
+    those of other shards, starting from what they are.  An empty table gives no
+    rows.
     """
     cut = store(pieces(docs, tokenizer, capacity).withColumn("place", F.monotonically_increasing_id()))
     shards = max(1, -(-cut.count() // shard_pieces))
@@ -225,15 +228,43 @@ def pack(
             ):
                 flat = pa.RecordBatch.from_struct_array(items.values)
                 of = np.frombuffer(best, "<i4").astype(np.int64)
-                length = flat.column("length").to_numpy()
-                order = np.argsort(of, kind="stable")
-                before = np.cumsum(length[order]) - length[order]
-                first = np.r_[True, of[order][1:] != of[order][:-1]]
-                offset = np.empty_like(length)
-                offset[order] = before - np.maximum.accumulate(np.where(first, before, 0))
-                yield pa.record_batch(
-                    [*flat.columns, pa.array(of + (shard << 24)), pa.array(offset)],
-                    [*flat.schema.names, "sequence_id", "offset"],
-                )
+                fill = np.bincount(of, flat.column("length").to_numpy())
+                order = np.argsort(fill, kind="stable")[:loosest]
+                loose = np.isin(of, order[fill[order] < capacity])
+                columns = [*flat.columns, pa.array(of + (shard << 24)), pa.array(_offsets(of, flat)), pa.array(loose)]
+                yield pa.record_batch(columns, [*flat.schema.names, "sequence_id", "offset", "loose"])
+
+    kinds = f"{PIECE}, sequence_id long, offset long"
+    names = [c.split()[0] for c in kinds.split(", ")]
+    placed = store(map_batches(problem.join(best, "shard"), place, f"{kinds}, loose boolean"))
+    rest = placed.where("loose")
+    groups = max(1, -(-rest.count() // shard_pieces))
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for group, items in zip(batch.column("group").to_pylist(), batch.column("items"), strict=True):
+                flat = pa.RecordBatch.from_struct_array(items.values)
+                lengths = flat.column("length").to_pylist()
+                _, now = np.unique(flat.column("sequence_id").to_numpy(), return_inverse=True)
+                of = np.empty(len(lengths), np.int64)
+                for n, b in enumerate(evolve(lengths, [_to_bins(now)], capacity, group, population, generations)):
+                    of[b] = n
+                columns = [flat.column(c) for c in names[:-2]]
+                yield pa.record_batch([*columns, pa.array(of + (1 << 62) + (group << 24)), pa.array(_offsets(of, flat))], names)
+
+    row = F.struct("sequence_id", "offset", *names[:-2])
+    grouped = rest.groupBy(F.pmod(F.xxhash64(F.shiftright("sequence_id", 24)), F.lit(groups)).alias("group")).agg(
+        F.sort_array(F.collect_list(row)).alias("items")
+    )
+    return placed.where("not loose").select(names).unionAll(map_batches(grouped, again, kinds).select(names))
+
 
-    return map_batches(problem.join(best, "shard"), place, f"{PIECE}, sequence_id long, offset long")
+def _offsets(of: np.ndarray, flat: pa.RecordBatch) -> np.ndarray:
+    """Place of each piece in its sequence, gapless in the order of the rows."""
+    length = flat.column("length").to_numpy()
+    order = np.argsort(of, kind="stable")
+    before = np.cumsum(length[order]) - length[order]
+    first = np.r_[True, of[order][1:] != of[order][:-1]][: len(of)]
+    offset = np.empty_like(length)
+    offset[order] = before - np.maximum.accumulate(np.where(first, before, 0))
+    return offset

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlake.llm.common import filter_batches, id_and_text, map_batches
+from roadlake.llm.common import filter_batches, id_and_text, map_batches, store
 
 THRESHOLD = 0.3
 
@@ -166,8 +166,8 @@ def fold(doc_id, folds: int = 5):
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> Forest:
     """Learn from labelled rows outside fold 0, at most ``max_rows`` of them.
 
-    Null ids and labels teach nothing.  Without rows, or with one label only,
-    the model is the share of that label.
+    Null ids and labels teach nothing; of several rows with an id one text does.
+    Without rows, or with one label only, the model is the share of that label.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y"))
     sample = (
@@ -185,8 +185,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> Forest:
                 ["doc_id", "y", "x"],
             )
 
+    sample = store(sample)
+    one_text = (  # an id may stand in many rows: the largest text teaches
+        id_and_text(docs).join(F.broadcast(sample.select("doc_id").distinct()), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"))
+    )
     rows = map_batches(
-        id_and_text(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "y"),
+        one_text.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "y"),
         measured,
         "doc_id long, y double, x binary",
     ).toArrow()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roadlake.llm import (
     clustering,
@@ -22,7 +23,7 @@ from roadlake.llm import (
     token_counts,
     toxicity,
 )
-from roadlake.llm.common import table
+from roadlake.llm.common import store, table
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +36,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), with_spans=False)
     return found.selectExpr("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "n_hit > 0 AS contaminated")
 
 
@@ -64,7 +65,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+    """Each length that occurs, and the standard limits and quantiles (quantile_wanted) beside them."""
+    histogram = store(token_counts.length_histogram(table(spark, sf_dir, "documents")))
+    lengths = token_counts.from_histogram(histogram).withColumn("quantile_wanted", F.lit(None).cast("double"))
+    return lengths.unionByName(token_counts.answers(histogram))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,13 +3,15 @@
 The vocabulary and merges are those of the given ``tokenizers`` JSON file; the
 path is a parameter.  A text is cut before each space, which is always a piece
 boundary of the byte-level pre-tokenizer unless the space stands between other
-white space; such texts are encoded whole.  The strings of special tokens are
-ordinary text.  Tests hold the ids against the ``tokenizers`` library.
+white space; such texts are encoded whole.  The strings of the file's added tokens
+are cut out first and give their own ids, as the library's default call does.
+Tests hold the ids against the ``tokenizers`` library.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 #: White space other than space and line feed, and what Unicode versions disagree on.
 _ODD = [
@@ -40,7 +42,7 @@ class Encoder:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        special = {t["content"] for t in spec["added_tokens"]}
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         to_byte = _byte_of()
         ranks = {
             bytes(to_byte[c] for c in word): n for word, n in spec["model"]["vocab"].items() if word not in special
@@ -49,6 +51,9 @@ class Encoder:
             "file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
         self._bytes = [n.to_bytes(4, "little") for n in range(max(ranks.values()) + 1)]
+        self._special = {word: n.to_bytes(4, "little") for word, n in special.items()}
+        longest = sorted(map(re.escape, special), key=len, reverse=True)
+        self._cut = re.compile("(" + "|".join(longest) + ")").split if special else None
         self._max = max_words
         self._new: dict[str, bytes] = {}  # words met lately; a full one becomes the old one
         self._old: dict[str, bytes] = {}
@@ -61,6 +66,12 @@ class Encoder:
         return ids
 
     def encode(self, text: str) -> bytes:
+        if any(word in text for word in self._special):
+            parts = self._cut(text)  # every other one is an added token
+            return b"".join(self._special[x] if k % 2 else self._ordinary(x) for k, x in enumerate(parts) if x)
+        return self._ordinary(text)
+
+    def _ordinary(self, text: str) -> bytes:
         if "  " in text or " \n" in text or text.endswith("\n ") or any(c in text for c in _ODD):
             return self._plain(text)
         if len(self._new) > self._max:

@@ -69,3 +69,18 @@ def test_keep_clean(spark, documents):
     kept = decontamination.keep_clean(docs, benchmark)
     assert kept.columns == docs.columns
     assert sorted((key((r.doc_id,)), r.text) for r in kept.collect()) == [((-1,), None), ((2,), "one two")]
+
+
+def test_long_text_with_hits_throughout_takes_linear_time():
+    import time
+
+    import numpy as np
+
+    text = "é hit, miss! ".encode() * 400_000  # 5 MB and more
+    n = len(words(text.decode()))
+    hit = np.arange(n) % 3 == 1
+    began = time.process_time()
+    found = decontamination.spans(text, hit)
+    assert time.process_time() - began < 20 and len(found) == 400_000
+    whole = text.decode()
+    assert {whole[s["start"] : s["end"]] for s in found[:: 997]} == {"hit"}

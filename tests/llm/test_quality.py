@@ -71,3 +71,13 @@ def test_odd_rows(spark, documents):
     assert quality.score(documents([]), quality.train(documents([]), none)).count() == 0
     kept = quality.keep_accepted(docs, none)
     assert kept.columns == docs.columns and kept.count() == 5  # 0.5 for all
+
+
+def test_an_id_in_many_rows_sends_one_text_to_the_driver(spark, documents, monkeypatch):
+    i = next(i for i in range(20) if zlib.crc32(str(i).encode()) % 5)
+    docs = documents([(i, "a b c")]).crossJoin(spark.range(100_000)).drop("id")
+    labels = spark.createDataFrame([(i, 1, 0), (i, 1, 0)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append(len(x)))
+    quality.train(docs, labels)
+    assert seen == [2]

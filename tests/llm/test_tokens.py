@@ -12,7 +12,7 @@ from roadlake.llm.tokens import encoder
 
 TEXTS = [
     "", " ", "  ", "a", "One two  three\n\n four \n five.\tSix\r\n", "end \n", "end\n ", "x\n \ny", "   lead", "é ß ü  ö z",
-    "it's we'll I'M <|endoftext|> done", "12345 67 a1b2", "日本語 テキスト", "tab\t tab", "a​b c", "\x1c x \x1f", "!!! ??? ...",
+    "it's we'll I'M <|endoftext|> done", "12345 67 a1b2", "日本語 テキスト", "<|endoftext|>", "a <|endoftext|> b", "a  <|endoftext|><|endoftext|>\n<|endoftext", " <|endoftext|> ", "tab\t tab", "a​b c", "\x1c x \x1f", "!!! ??? ...",
 ]
 
 
@@ -21,7 +21,6 @@ def library():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -104,3 +103,31 @@ def test_evolution_beats_or_equals_best_fit_decreasing():
     assert sorted(i for b in best for i in b) == list(range(300))
     assert all(sum(lengths[i] for i in b) <= 1024 for b in best)
     assert len(best) <= len(first.bins)
+
+
+def test_answers_for_any_limit_and_quantile(documents, library):
+    rng = random.Random(8)
+    texts = [" ".join(["word"] * rng.choice([0, 1, 5, 300, 513, rng.randrange(3000)])) for _ in range(90)] + [None, ""]
+    n = sorted(len(library(t or "")) for t in texts)
+    h = token_counts.length_histogram(documents(list(enumerate(texts))))
+    limits, shares = [0, 1, 511, 512, 513, 1024, 2048, 131_072], [0.01, 0.25, 0.5, 0.9, 0.999, 1.0]
+    rows = token_counts.answers(h, limits, shares).collect()
+    by_limit = {r.context_limit: r for r in rows if r.quantile_wanted is None}
+    assert sorted(by_limit) == limits
+    for limit, r in by_limit.items():
+        assert r.docs_fitting == sum(x <= limit for x in n) == len(n) - r.docs_truncated
+        assert (r.tokens_within, r.truncated_total, r.total_tokens) == (sum(x for x in n if x <= limit), sum(min(x, limit) for x in n), sum(n))
+        assert r.quantile == pytest.approx(r.docs_fitting / len(n))
+    by_share = {r.quantile_wanted: r.context_limit for r in rows if r.quantile_wanted is not None}
+    import math
+
+    assert by_share == {q: n[math.ceil(q * len(n)) - 1] for q in shares}
+    assert token_counts.answers(h.limit(0), limits, shares).count() == 0
+
+
+def test_short_documents_of_many_shards_come_near_the_floor(documents):
+    rng = random.Random(9)
+    docs = [(i, " ".join(rng.choices(["of", "thing", "ou"], k=rng.randint(5, 60)))) for i in range(3000)]
+    rows, by = _packed(packing.pack(documents(docs), shard_pieces=300))  # ten shards of some ten sequences
+    floor = -(-sum(r.length for r in rows) // 1024)
+    assert len(rows) == 3000 and len(by) <= floor + 1
