@@ -18,6 +18,7 @@ import math
 import pickle
 from collections import Counter
 from collections.abc import Iterator
+from copy import copy
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from roadlake.session import scratch_path
 
 END = b"\n"  # no word holds a line feed
 CLASSES = 48  # at least
-WIDTH, WINDOW = 1024, 32
+WIDTH, WINDOW = 512, 32
 #: Of training: lanes, steps of back-propagation, tokens of a shard and of what a task lays on the lanes at a time.
 LANES, STEPS = 256, 16
 SHARD_TOKENS = 1_000_000
@@ -103,6 +104,13 @@ class Vocabulary:
         out[-1] = self.end
         return out
 
+    def named(self) -> Vocabulary:
+        """The same for the model alone: without the words that it does not name."""
+        small = copy(self)
+        small.known = {w: k for w, k in self.known.items() if k < len(self.ids)}
+        small.logs = self.logs[:0]
+        return small
+
     def ranks(self, text: bytes) -> tuple[list[bytes], np.ndarray]:
         w = words(text)
         get = self.known.get
@@ -238,12 +246,13 @@ def score(
     counts = store(word_counts(training))
     known = _vocabulary(counts, head, vocabulary)
     shared = spark.sparkContext.broadcast(pickle.dumps(known))
+    learning = spark.sparkContext.broadcast(pickle.dumps(known.named()))
     starts = class_starts(known.counts)
     params = recurrent.fresh(known.counts, starts, hidden)
     low = 0.0
     for high in ROUNDS:
         some = training.where((F.col("slice") >= int(1000 * share * low)) & (F.col("slice") < int(1000 * share * high)))
-        params = _learnt(some, shared, params, rate, max(1, round(known.total * share * (high - low) / SHARD_TOKENS)))
+        params = _learnt(some, learning, params, rate, max(1, round(known.total * share * (high - low) / SHARD_TOKENS)))
         low = high
     weights = spark.sparkContext.broadcast(recurrent.flatten(params))
 

@@ -18,6 +18,8 @@ F4 = np.float32
 Params = dict[str, np.ndarray]
 #: Training cuts documents into pieces of so many words; scoring never does.
 PIECE = 512
+#: Words of a window in scoring, where ``width`` lanes do not fill it.
+ROOM = 1 << 14
 
 
 def class_starts(counts: np.ndarray, classes: int) -> np.ndarray:
@@ -85,13 +87,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return F4(0.5) * (np.tanh(F4(0.5) * x) + F4(1))
 
 
-def _windows(docs, width, window, end_word) -> Iterator[tuple]:
+def _windows(docs, width, window, end_word, room: int = 0) -> Iterator[tuple]:
+    """Windows of ``window`` steps, or of more where few lanes are left, up to ``room`` words."""
     words, doc, first, start, size = lanes(docs, width)
     before = np.r_[np.array([end_word], words.dtype), words[:-1]]
     before[first] = end_word
-    for at in range(0, int(size[0]), window):
+    at, longest = 0, int(size[0])
+    while at < longest:
         k = int((size > at).sum())  # lanes that are still running
-        steps = np.arange(at, min(at + window, int(size[0])))[:, None]
+        steps = np.arange(at, min(at + max(window, room // k), longest))[:, None]
+        at += len(steps)
         there = steps < size[:k]
         place = np.where(there, start[:k] + steps, start[:k])
         yield words[place], before[place], first[place] & there, there, doc[place], k
@@ -104,8 +109,9 @@ def _forward(p: Params, before: np.ndarray, first: np.ndarray, h: np.ndarray, ke
     states = np.empty((len(before), len(h), hidden), F4)
     kept = []
     u = p["u"]
+    begins = first.any(axis=1)
     for t in range(len(before)):
-        if first[t].any():
+        if begins[t]:
             h = np.where(first[t][:, None], F4(0), h)
         a = h @ u
         gates = _sigmoid(x[t, :, : 2 * hidden] + a[:, : 2 * hidden])
@@ -179,7 +185,7 @@ class Model:
         """Natural-log probability of each document, all its words included."""
         out = np.zeros(len(docs))
         h = np.zeros((min(width, len(docs)), self.hidden), F4)
-        for words, before, first, there, doc, k in _windows(docs, width, window, end_word):
+        for words, before, first, there, doc, k in _windows(docs, width, window, end_word, ROOM):
             states, h, _ = _forward(self.p, before, first, h[:k], False)
             logp, _ = self._output(states[there], words[there], None)
             out += np.bincount(doc[there], logp, len(docs))
