@@ -1,14 +1,17 @@
-"""Embedding near-dedup by hyperplane buckets, each compared in full.
-
-In several passes distinct vectors fall into buckets by their leading
-random-hyperplane bits.  All pairs of a bucket are compared, a large bucket in
-pairs of blocks of bounded size, and those at or above the cosine threshold are
-united across passes.  A pair at the threshold shares a bucket with a
-probability that depends on its angle and the number of bits only, not on the
-other vectors; the passes follow from it and the recall wanted.  The number of
-bits is the one of least work by the measured sizes of the buckets, so crowded
-vectors get more bits and more passes.  The links inside a component are then
-counted exactly, in the same blocks.
+"""Embedding near-dedup by sorted projection passes.
+
+In several passes distinct vectors are sorted by the bits of random hyperplanes,
+put together as one key, and each is compared with its neighbours in a bounded
+window of that order; pairs at or above the cosine threshold are united across
+passes.  Vectors that share a pass's leading bits are neighbours in its order.  A
+pair at the threshold shares them with a probability that depends on its angle
+and the number of bits only, not on the other vectors; the passes follow from it
+and the recall wanted.  The number of bits is the one of least work, by the
+measured sizes of the groups of equal leading bits, of those whose groups fit the
+window.  A group that is wider than the window nevertheless, or that a border of
+the range partitions cuts, is compared in full, in pairs of blocks of bounded
+size: the exact rest, so crowded vectors lose nothing.  The links inside a
+component are then counted exactly, in the same blocks.
 """
 
 from __future__ import annotations
@@ -43,9 +46,10 @@ def passes_needed(n: int, window: int, threshold: float, recall: float) -> int:
 
 
 def _bits(first_pass: DataFrame, n: int, window: int, threshold: float, recall: float) -> int:
-    """The number of leading bits with the least work: passes, times the mates in a bucket and a row's own cost.
+    """The number of leading bits with the least work: passes, times the mates in a group and a row's own window.
 
-    A row's own cost counts as ``window`` comparisons.  No bits if all vectors fit one window.
+    Of the numbers of bits whose groups have half a window of mates or fewer for the mean row; of all if none has.
+    No bits if all vectors fit one window.
     """
     if n <= window:
         return 0
@@ -60,7 +64,8 @@ def _bits(first_pass: DataFrame, n: int, window: int, threshold: float, recall:
         .agg(F.sum(F.col("n") * F.col("n")).alias("pairs"))
         .collect()  # one row for each number of bits
     )
-    return min(sizes, key=lambda r: (passes_for(r.bits, threshold, recall) * (r.pairs / n + window), r.bits)).bits
+    fitting = [r for r in sizes if r.pairs / n <= window / 2] or sizes
+    return min(fitting, key=lambda r: (passes_for(r.bits, threshold, recall) * (r.pairs / n + window), r.bits)).bits
 
 
 def _prefix(key, bits):
@@ -140,6 +145,86 @@ def _united(threshold: float):
     return made
 
 
+PASS_OUT = "kind int, a long, b long, tag long, key long, rep long, embedding array<double>"
+
+
+def _neighbours(bits: int, window: int, threshold: float):
+    """Of rows in the order of (tag, key): ties within the window (kind 0), and the rows of the groups of equal leading
+    bits that are wider than the window or touch an end of the partition (kind 1)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors = pa.list_(pa.float64())
+
+        def ties(rep: np.ndarray, parent: np.ndarray) -> pa.RecordBatch:
+            tied = np.flatnonzero(parent != np.arange(len(rep)))
+            none = pa.nulls(len(tied), pa.int64())
+            columns = [pa.array(np.zeros(len(tied), np.int32)), pa.array(rep[tied]), pa.array(rep[parent[tied]]), none, none, none]
+            return pa.record_batch([*columns, pa.nulls(len(tied), vectors)], ["kind", "a", "b", "tag", "key", "rep", "embedding"])
+
+        def rest(t: pa.Table) -> pa.RecordBatch:
+            none = pa.nulls(len(t), pa.int64())
+            b = t.combine_chunks()
+            prefix = pa.array(_leading(b.column("key").to_numpy(), bits))
+            columns = [pa.array(np.ones(len(t), np.int32)), none, none, b.column("tag"), prefix, b.column("rep"), b.column("embedding")]
+            flat = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
+            return pa.record_batch(flat, ["kind", "a", "b", "tag", "key", "rep", "embedding"])
+
+        before: pa.Table | None = None  # the block before
+        group, held, size, wide = None, [], 0, True  # the group that goes on; that of the partition's start counts as wide
+
+        def blocks() -> Iterator[pa.Table]:
+            waiting: list[pa.Table] = []
+            rows = 0
+            for batch in batches:
+                waiting.append(pa.Table.from_batches([batch]))
+                rows += batch.num_rows
+                if rows >= window:
+                    t = pa.concat_tables(waiting)
+                    whole = rows - rows % window
+                    for at in range(0, whole, window):
+                        yield t.slice(at, window)
+                    waiting, rows = [t.slice(whole)], rows - whole
+            if rows:
+                yield pa.concat_tables(waiting)
+
+        for block in blocks():
+            both = (block if before is None else pa.concat_tables([before, block])).combine_chunks().to_batches()[0]
+            new = both.num_rows - len(block)
+            rep, tag = both.column("rep").to_numpy(), both.column("tag").to_numpy()
+            parent = np.arange(len(rep))
+            for _, rows, unit in _units(both, "embedding"):
+                mine = rows >= new
+                near = (unit[mine] @ unit.T >= threshold) & (tag[rows[mine]][:, None] == tag[rows])
+                i, j = np.nonzero(near)
+                union_pairs(parent, rows[mine][i], rows[j])
+            yield ties(rep, parent)
+            before = block
+            lead = _leading(block.column("key").to_numpy(), bits)
+            own = block.column("tag").to_numpy()
+            cut = np.flatnonzero((lead[1:] != lead[:-1]) | (own[1:] != own[:-1])) + 1
+            edges = [0, *cut.tolist(), len(block)]
+            inner = edges[1:-1]
+            runs = [(edges[0], edges[1])] + ([(inner[-1], edges[-1])] if inner else [])  # those between are whole and narrow
+            for s, e in runs:
+                name = (int(own[s]), int(lead[s]))
+                if name != group:
+                    group, held, size, wide = name, [], 0, group is None
+                held.append(block.slice(s, e - s))
+                size += e - s
+                wide = wide or size > window
+                if wide:
+                    yield rest(pa.concat_tables(held))
+                    held = []
+        if held:
+            yield rest(pa.concat_tables(held))
+
+    return run
+
+
+def _leading(key: np.ndarray, bits: int) -> np.ndarray:
+    return (key.view(np.uint64) >> np.uint64(BITS - bits)).view(np.int64) if bits else np.zeros(len(key), np.int64)
+
+
 def _count(threshold: float):
     def made(b: pa.RecordBatch) -> pa.RecordBatch:
         rep, mine, other = (b.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "block", "n"))
@@ -197,10 +282,18 @@ def near_duplicates(
     types = "tag long, key long, rep long, embedding array<double>"
     bits = _bits(map_batches(plain, _hashes(1), types), classes.count(), window, threshold, recall)
     hashed = map_batches(plain, _hashes(passes_for(bits, threshold, recall)), types)
-    bucketed = hashed.withColumn("key", _prefix(F.col("key"), F.lit(bits)))
+    signed = F.col("key").bitwiseXOR(F.lit(-(2**63)))  # the order of the bits
+    ordered = (
+        hashed.withColumn("order", signed)
+        .repartitionByRange("tag", "order", "rep")
+        .sortWithinPartitions("tag", "order", "rep")
+        .drop("order")
+    )
+    passed = store(map_batches(ordered, _neighbours(bits, window, threshold), PASS_OUT))
     keys = ("tag", "key")
-    mates = _block_pairs(bucketed, keys, block, "embedding")
-    ties = map_batches(mates, _by_blocks((*keys, "left", "right"), _united(threshold)), "a long, b long")
+    mates = _block_pairs(passed.where("kind = 1").select("tag", "key", "rep", "embedding"), keys, block, "embedding")
+    rest = map_batches(mates, _by_blocks((*keys, "left", "right"), _united(threshold)), "a long, b long")
+    ties = passed.where("kind = 0").select("a", "b").unionAll(rest)
     found = connected_components(ties)
     found = store(found.withColumnRenamed("id", "rep").join(classes, "rep"))
     keys = ("component",)
