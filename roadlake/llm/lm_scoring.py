@@ -19,6 +19,7 @@ import pickle
 from collections import Counter
 from collections.abc import Iterator
 from copy import copy
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -114,7 +115,7 @@ class Vocabulary:
     def ranks(self, text: bytes) -> tuple[list[bytes], np.ndarray]:
         w = words(text)
         get = self.known.get
-        return w, np.fromiter([get(x, -1) for x in w], np.int64, len(w))
+        return w, np.fromiter(map(get, w, repeat(-1)), np.int64, len(w))
 
 
 def _vocabulary(counts: DataFrame, head: int, size: int) -> Vocabulary:
@@ -269,7 +270,7 @@ def score(
                 w, ranks = v.ranks(text)
                 there = ranks >= 0
                 outside = ranks >= len(v.ids)
-                rare = Counter(w[i] for i in np.flatnonzero(~there).tolist())
+                rare = Counter(map(w.__getitem__, np.flatnonzero(~there).tolist()))
                 rare_words += rare
                 rare_counts += rare.values()
                 offsets.append(len(rare_words))

@@ -20,6 +20,7 @@ Params = dict[str, np.ndarray]
 PIECE = 512
 #: Words of a window in scoring, where ``width`` lanes do not fill it.
 ROOM = 1 << 14
+SMALL = 60
 
 
 def class_starts(counts: np.ndarray, classes: int) -> np.ndarray:
@@ -125,14 +126,21 @@ def _forward(p: Params, before: np.ndarray, first: np.ndarray, h: np.ndarray, ke
     return states, h, kept
 
 
-def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(probabilities, log of the sums) by row; the logits are overwritten."""
-    top = logits.max(axis=1, keepdims=True)
-    logits -= top
+def _softmax(logits: np.ndarray, small: bool, shares: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(probabilities, or exponentials without ``shares``, and the log of the sums) by row; the logits are overwritten.
+
+    ``small`` logits need no shift to keep their exponentials finite.
+    """
+    top = 0
+    if not small:
+        top = logits.max(axis=1, keepdims=True)
+        logits -= top
+        top = top[:, 0]
     np.exp(logits, out=logits)
-    total = logits.sum(axis=1, keepdims=True)
-    logits /= total
-    return logits, np.log(total)[:, 0] + top[:, 0]
+    total = logits.sum(axis=1)
+    if shares:
+        logits /= total[:, None]
+    return logits, np.log(total) + top
 
 
 class Model:
@@ -145,10 +153,12 @@ class Model:
         """Log-probability of each word given its state, and the states' gradient; calls ``update`` with the
         gradients of the classes and of their words, once what depends on them is worked out."""
         p, own = self.p, self.of[words]
+        # states lie within -1 and 1, which bounds every logit
+        small = max(float((np.abs(p[w]).sum(axis=1) + np.abs(p[b])).max()) for w, b in (("c", "cb"), ("w", "wb"))) < SMALL
         rows = np.arange(len(words))
         logits = s @ p["c"].T + p["cb"]
         chosen = logits[rows, own]
-        prob, total = _softmax(logits)
+        prob, total = _softmax(logits, small, bool(update))
         logp = chosen - total
         ds = None
         if update:
@@ -169,7 +179,7 @@ class Model:
             logits = sk @ p["w"][a:b].T + p["wb"][a:b]
             n = np.arange(len(at))
             chosen = logits[n, w]
-            prob, total = _softmax(logits)
+            prob, total = _softmax(logits, small, bool(update))
             logp[at] += chosen - total
             if update:
                 prob[n, w] -= 1
