@@ -1,19 +1,20 @@
 """SimHash near-duplicates through Gray-ordered hierarchical indexes.
 
-Fingerprints of whole texts are first reduced to distinct values, which are range
-partitioned by Gray rank and cut into pages of bounded size: equal ranks there are
-none, so no page is hot.  Neighbours in Gray order share most bits.  The bits that
-all values of a page share are its root; the roots, and the values within a page,
-form trees whose nodes hold what is common below them.  A search carries the
-differences found so far down a tree and drops a whole group as soon as they
-exceed the limit: a value visits only the pages whose roots lie within it, and in
-a page only such groups.  Each page emits spanning links, never all pairs, and
-they are joined by connected components.
+Fingerprints of whole texts are first reduced to distinct values.  Two values
+within two of 64 bits agree on at least two of four 16-bit blocks, so each value
+is sent to six buckets, one per pair of blocks.  A bucket sorts its values by
+Gray rank and factors the bits that neighbours share into upper nodes; a search
+carries the differences found so far down the tree and drops a whole group as
+soon as they exceed the limit.  Beyond two bits the Gray order itself is cut into
+pages under a tree of their shared bits, and a value visits only pages within the
+limit.  Buckets and pages emit spanning links, never all pairs, and these are
+joined by connected components.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 from math import isqrt
 
 import numpy as np
@@ -223,8 +224,8 @@ def _links(limit: int):
     return run
 
 
-def near_links(distinct: DataFrame, max_bits: int = 2, page: int = PAGE) -> DataFrame:
-    """Links (a, b) that connect the values ``fp`` as all pairs within ``max_bits`` would.
+def page_links(distinct: DataFrame, max_bits: int = 2, page: int = PAGE) -> DataFrame:
+    """``near_links`` within any number of bits, by pages of the Gray order.
 
     ``page`` is the least size of a page; pages grow with the square root of the
     values, so that their roots, which every task gets, stay few.
@@ -244,6 +245,61 @@ def near_links(distinct: DataFrame, max_bits: int = 2, page: int = PAGE) -> Data
     return map_batches(visits.repartition("page").sortWithinPartitions("page", "visitor"), _links(max_bits), "a long, b long")
 
 
+def _bucket_links(limit: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by bucket; a bucket may go over from one batch to the next."""
+        held_key, held_fp = np.zeros(0, np.int64), np.zeros(0, U64)
+
+        def emit(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+            start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            size = np.diff(np.r_[start, len(key)])
+            two = start[size == 2]
+            near = np.bitwise_count(fp[two] ^ fp[two + 1]) <= limit
+            a, b = [fp[two][near]], [fp[two + 1][near]]
+            for s, n in zip(start[size > 2].tolist(), size[size > 2].tolist(), strict=True):
+                x, y = forest(fp[s : s + n], limit)
+                a.append(x)
+                b.append(y)
+            return pa.record_batch([pa.array(np.concatenate(c).view(np.int64)) for c in (a, b)], ["a", "b"])
+
+        for batch in batches:
+            key = np.concatenate([held_key, batch.column("key").to_numpy()])
+            fp = np.concatenate([held_fp, batch.column("fp").to_numpy().view(U64)])
+            if not len(key):
+                continue
+            last = int(np.searchsorted(key, key[-1]))
+            if last:
+                yield emit(key[:last], fp[:last])
+            held_key, held_fp = key[last:], fp[last:]
+        if len(held_key):
+            yield emit(held_key, held_fp)
+
+    return run
+
+
+def block_links(distinct: DataFrame, max_bits: int = 2) -> DataFrame:
+    """``near_links`` within 0 to 2 bits: each value in six buckets, one per pair of equal 16-bit blocks."""
+    if not 0 <= max_bits <= 2:
+        raise ValueError("four blocks prove pairs within 0 to 2 bits only")
+    block = [F.shiftrightunsigned("fp", 16 * b).bitwiseAND(F.lit(0xFFFF)) for b in range(4)]
+    keys = [
+        F.lit(n << 32).bitwiseOR(F.shiftleft(block[i], 16)).bitwiseOR(block[j]).cast("long")
+        for n, (i, j) in enumerate(combinations(range(4), 2))
+    ]
+    spread = distinct.select("fp", F.explode(F.array(*keys)).alias("key"))
+    return map_batches(spread.repartition("key").sortWithinPartitions("key"), _bucket_links(max_bits), "a long, b long")
+
+
+def near_links(distinct: DataFrame, max_bits: int = 2) -> DataFrame:
+    """Links (a, b) that connect the values ``fp`` as all pairs within ``max_bits`` would.
+
+    Up to 2 bits the values meet in buckets, six rows a value; beyond, where
+    blocks prove nothing, they visit pages, whose visits grow faster than the
+    values.
+    """
+    return block_links(distinct, max_bits) if 0 <= max_bits <= 2 else page_links(distinct, max_bits)
+
+
 def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """One row per input row: doc_id, fingerprint (16 hex digits), component_id.
 

@@ -101,3 +101,46 @@ def test_passes_keep_the_recall():
     for bits in range(0, 40):
         n = embedding_dedup.passes_for(bits, 0.9, 0.995)
         assert 1 - (1 - (1 - math.acos(0.9) / math.pi) ** bits) ** n >= 0.995
+
+
+@pytest.mark.parametrize("window", [8, 64])
+def test_windows_cover_narrow_groups_and_name_the_rest(window):
+    """Ties join what lies near in whole groups of equal leading bits no wider than the window; all rows of others come out."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    bits, rows = 4, []
+    for tag in (3, 1 << 32 | 3):
+        for prefix, n in enumerate(rng.permutation([1, 2, 5, 8, 9, 30, 64, 65, 100, 3, 7, 0, 1, 40, 6, 12])):
+            low = np.sort(rng.integers(0, 2**59, int(n)))
+            rows += [(tag, (prefix << 60) + int(k)) for k in low]
+    tag, key = (np.array(c, np.uint64).view(np.int64) for c in zip(*rows, strict=True))
+    base = rng.standard_normal((6, 3))
+    e = base[rng.integers(0, 6, len(rows))] + 0.05 * rng.standard_normal((len(rows), 3))
+    t = pa.table({"tag": tag, "key": key, "rep": np.arange(len(rows)), "embedding": pa.array(e.tolist(), pa.list_(pa.float64()))})
+    out = pa.Table.from_batches(list(embedding_dedup._neighbours(bits, window, 0.9)(iter(t.to_batches(max_chunksize=37))))).to_pylist()
+    groups = {}
+    for i, (a, k) in enumerate(rows):
+        groups.setdefault((a, k >> 60), []).append(i)
+    ends = {(rows[0][0], rows[0][1] >> 60), (rows[-1][0], rows[-1][1] >> 60)}
+    wide = {g for g, own in groups.items() if len(own) > window or g in ends}
+    rest = sorted(r["rep"] for r in out if r["kind"] == 1)
+    assert rest == sorted(i for g in wide for i in groups[g])
+    assert all((r["tag"], r["key"]) in wide for r in out if r["kind"] == 1)
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    unit = e / np.linalg.norm(e, axis=1, keepdims=True)
+    for r in out:
+        if r["kind"] == 0:
+            assert rows[r["a"]][0] == rows[r["b"]][0] and abs(r["a"] - r["b"]) < 2 * window
+            parent[max(find(r["a"]), find(r["b"]))] = min(find(r["a"]), find(r["b"]))
+    for g in groups.keys() - wide:
+        own = groups[g]
+        for x in own:
+            for y in own:
+                assert unit[x] @ unit[y] < 0.9 or find(x) == find(y)

@@ -133,7 +133,8 @@ def test_pages_connect_what_all_pairs_connect(spark):
         near = np.bitwise_count(v[:, None] ^ v[None, :]) <= limit
         want = linked_groups(v.tolist(), [(int(v[i]), int(v[j])) for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True)])
         df = spark.createDataFrame([(int(x),) for x in v.view(np.int64)], "fp long").repartition(3)
-        links = [(a % 2**64, b % 2**64) for a, b in simhash.near_links(df, limit, page).collect()]
+        links = [(a % 2**64, b % 2**64) for a, b in simhash.page_links(df, limit, page).collect()]
+        assert linked_groups(v.tolist(), [(a % 2**64, b % 2**64) for a, b in simhash.near_links(df, limit).collect()]) == want
         assert linked_groups(v.tolist(), links) == want and len(links) < 12 * len(v)
 
 
