@@ -183,3 +183,66 @@ def test_pieces_of_long_documents_are_all_learnt():
     m._output = lambda s, w, update: (seen.extend(w.tolist()), output(s, w, update))[1]
     m.learn(docs, 2, {k: np.full_like(v, 1e-8) for k, v in m.p.items()}, 0.1, 4, 16, piece=100)
     assert sorted(seen) == sorted(np.concatenate(docs).tolist())
+
+
+def odd_model(scale, starts=(0, 1, 4, 10)):
+    """Weights of some size; the first class has one word only."""
+    m = model()
+    m = recurrent.Model(m.p, np.array(starts))
+    p = {k: v * scale if k in ("c", "w") else v for k, v in m.p.items()}
+    p["c"] = p["c"][: len(starts) - 1]
+    p["cb"] = p["cb"][: len(starts) - 1]
+    return recurrent.Model(p, m.starts)
+
+
+@pytest.mark.parametrize("scale", [1, 300])  # 300: logits that need a shift
+def test_likelihood_of_large_logits_and_classes_of_one_word(scale):
+    m, docs = odd_model(scale), docs_of()
+    with np.errstate(all="raise", under="ignore"):
+        found = m.log_likelihood(docs, 2, 4, 16)
+    assert np.allclose(found, [stepwise(m, d, 2) for d in docs], rtol=1e-4)
+
+
+@pytest.mark.parametrize("scale", [1, 40])
+def test_gradients_of_large_logits_and_classes_of_one_word(scale):
+    m, docs = odd_model(scale), [d[:6] for d in docs_of(4)]
+    p = {k: v.astype(np.float64) for k, v in m.p.items()}
+    n = sum(map(len, docs))
+    memory = {k: np.zeros_like(v) for k, v in m.p.items()}
+    m.learn(docs, 2, memory, 1e-12, 64, 1000)
+    assert not memory["w"][0].any() and not memory["wb"][0]  # alone in its class
+    loss = lambda q: sum(stepwise(recurrent.Model(q, m.starts), d, 2) for d in docs) / n
+    rng = np.random.default_rng(4)
+    for name, g2 in memory.items():
+        for _ in range(4):
+            at, two = tuple(rng.integers(0, s) for s in g2.shape), []
+            for step in (1e-5, -1e-5):
+                q = {k: v.copy() for k, v in p.items()}
+                q[name][at] += step
+                two.append(loss(q))
+            assert abs(two[0] - two[1]) / 2e-5 == pytest.approx(math.sqrt(g2[at]), rel=0.02, abs=1e-4), name
+
+
+def test_closed_gates_raise_no_warning():
+    m = model()
+    m.p["x"][:, :8] = -1000
+    with np.errstate(all="raise", under="ignore"):
+        found = m.log_likelihood(docs_of(3), 2)
+    assert np.isfinite(found).all()
+
+
+def test_learning_spends_nothing_on_likelihoods_and_sorts_short_numbers(monkeypatch):
+    """The costs that took the query over its limit: logarithms nobody reads, and slow sorts of each window's words."""
+    m, kinds, argsort = model(), set(), np.argsort
+    monkeypatch.setattr(recurrent.np, "log", lambda *a, **b: pytest.fail("a logarithm in learning"))
+    monkeypatch.setattr(recurrent.np, "argsort", lambda a, *x, **b: (kinds.add(a.dtype), argsort(a, *x, **b))[1])
+    monkeypatch.setattr(recurrent, "lanes", lambda *a, f=recurrent.lanes: (f(*a), kinds.clear())[0])
+    m.learn(docs_of(5), 2, {k: np.full_like(v, 1e-8) for k, v in m.p.items()}, 0.1, 4, 16)
+    assert kinds == {np.dtype(np.uint16)}
+
+
+@pytest.mark.parametrize("distinct", [10, 1 << 16, 1 << 17])
+def test_words_are_ordered_by_number_at_any_vocabulary(distinct):
+    words = np.random.default_rng(5).integers(0, distinct, 3000).astype(np.int32)
+    words[:2] = distinct - 1, 0
+    assert recurrent._by_word(words, distinct).tolist() == sorted(range(3000), key=words.__getitem__)
