@@ -58,8 +58,10 @@ def read_bronze(spark: SparkSession, path: str, day: str | date | None = None,
 
 
 def loaded_days(spark: SparkSession, path: str, partition_col: str = BRONZE_PARTITION) -> DataFrame:
-    """Days already in a day-partitioned store (one row per day), from its file listing alone."""
+    """Days already in a day-partitioned store (one row per day), from its file listing alone; a folder without files has none."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    if partition_col not in files.columns and files.select("path").isEmpty():
+        return spark.createDataFrame([], f"{partition_col} date")
     return files.select(F.col(partition_col).cast("date").alias(partition_col)).distinct()
 
 

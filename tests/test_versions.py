@@ -1,6 +1,7 @@
 """Silver is published as one version, profiled as it is written; a streamed Bronze feeds the same Gold."""
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from roadlake.operators import profile
@@ -126,3 +127,12 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     per_day = {str(r[0]): r[1] for r in store.read_bronze(spark, path).groupBy("bronze_date").count().collect()}
     assert per_day == {"2025-01-01": 1, "2025-01-02": 2, "2025-01-04": 4}
     assert load_batch(one.limit(0), 2, path) == [] and _rows(store.read_bronze(spark, path)) == state
+
+
+def test_a_store_without_a_day_yet_has_none(spark, tmp_path):
+    path = tmp_path / "bronze"
+    (path / "_batches").mkdir(parents=True)  # as a cumulative store's first batch finds it
+    assert store.existing_days(spark, str(path)) == [] and store.loaded_days(spark, str(path)).columns == ["bronze_date"]
+    spark.createDataFrame([("a",)], "ID string").write.mode("append").parquet(str(path))
+    with pytest.raises(AnalysisException):  # rows without a day are no day-partitioned store
+        store.existing_days(spark, str(path))
